@@ -51,6 +51,14 @@ def group_names(meta: DataFrame) -> list[str]:
     return sorted(r["g"] for r in rows)
 
 
+def group_sizes(meta: DataFrame) -> dict[str, int]:
+    """Samples per experimental group."""
+    names = group_names(meta)
+    rows = meta.groupBy(syntactic_name(F.col("exp_group")).alias("g")).agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = {r["g"]: r["n"] for r in rows}
+    return {g: sizes[g] for g in names}
+
+
 def pairwise_contrasts(groups: Sequence[str]) -> dict[str, dict[str, float]]:
     """``a_vs_b`` for every unordered pair."""
     return {f"{a}_vs_{b}": {a: 1.0, b: -1.0} for a, b in combinations(sorted(groups), 2)}
