@@ -85,7 +85,7 @@ vals AS (SELECT DISTINCT l_partkey AS f, {PLEX} AS plex, l_quantity AS v FROM li
 
 def _groups(spark, sf_dir):
     lines = b.table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("f"), b.plex().alias("plex"), F.col("l_quantity").alias("v"), F.col("l_returnflag").alias("flags"),
+        F.col("l_partkey").alias("f"), F.expr(b.PLEX).alias("plex"), F.col("l_quantity").alias("v"), F.col("l_returnflag").alias("flags"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_ord"))
     return annotate.concat_annotation(lines, "f", ["flags"], "row_ord"), annotate.collapse_redundant(lines, "f", ["plex", "v"])
 

@@ -6,18 +6,15 @@ line number, and the measured value is a sum over lines. Line number 7 is the po
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plexlake.functions.scalars import log2_intensity, zero_to_null
 from plexlake.operators.meta import attach_metadata
 from plexlake.operators.reshape import cells
-from plexlake.plans.sizing import Extent
+from plexlake.plans.sizing import Extent, measure
 
 SAMPLE_COLUMNS = ["l_linestatus", "l_returnflag", "l_linenumber"]
-FLAGS = {"A": 0, "N": 1, "R": 2}
 GROUPS = ["Group_A", "Group_N", "Group_R"]
 
 
@@ -25,34 +22,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def plex() -> Column:
-    return F.when(F.col("l_linestatus") == "F", "plex1").otherwise("plex2")
-
+PLEX = "if(l_linestatus = 'F', 'plex1', 'plex2')"
+CHANNEL = "concat(lower(l_returnflag), l_linenumber)"
+SAMPLE_NAME = f"concat({PLEX}, '_tmt_', {CHANNEL})"
+_FLAG_ORDER = "(instr('ANR', l_returnflag) - 1)"
+_LATE = "if(l_linestatus = 'O', 1, 0)"
+_NUMBER = (
+    f"if(l_linenumber = 7, concat('POOL', 1 + {_FLAG_ORDER} + 3 * {_LATE}), "
+    f"string(l_linenumber + 6 * {_FLAG_ORDER} + 18 * {_LATE}))"
+)
+_GROUP = "if(l_linenumber = 7, 'POOL', concat('Group', l_returnflag))"
+_EXP_GROUP = "if(l_linenumber = 7, 'POOL', concat('Group ', l_returnflag))"
 
-def sample_name() -> Column:
-    return F.concat(plex(), F.lit("_tmt_"), F.lower("l_returnflag"), F.col("l_linenumber").cast("string"))
 
-
-@lru_cache(maxsize=32)
-def _extent(application: str, sf_dir: str) -> Extent:
-    spark = SparkSession.getActiveSession()
-    per_sample = table(spark, sf_dir, "lineitem").groupBy(*SAMPLE_COLUMNS).count()
-    row = per_sample.agg(F.count(F.lit(1)), F.max("count")).first()
-    return Extent(row[0], row[1])
+_EXTENTS: dict[tuple[str, str], Extent] = {}
 
 
 def extent(spark: SparkSession, sf_dir: str) -> Extent:
     """Samples, and lines of the largest sample: no feature table has more rows per sample."""
-    return _extent(spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EXTENTS:
+        _EXTENTS[key] = measure(table(spark, sf_dir, "lineitem"), *SAMPLE_COLUMNS)
+    return _EXTENTS[key]
 
 
 def quantities(spark: SparkSession, sf_dir: str, feature: str = "l_suppkey", measure: str = "l_extendedprice") -> DataFrame:
-    """(protein_group, sample_name, value): one row per measured cell, summed map-side first."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col(feature).cast("string").alias("protein_group"), sample_name().alias("sample_name"))
-        .agg(F.sum(measure).alias("value"))
-    )
+    """(protein_group, sample_name, value): one row per measured cell.
+
+    Summed map-side on the raw key columns; names are made once per cell.
+    """
+    summed = table(spark, sf_dir, "lineitem").groupBy(feature, *SAMPLE_COLUMNS).agg(F.sum(measure).alias("value"))
+    return summed.selectExpr(f"string({feature}) AS protein_group", f"{SAMPLE_NAME} AS sample_name", "value")
 
 
 def log_long(spark: SparkSession, sf_dir: str, feature: str = "l_suppkey", measure: str = "l_extendedprice") -> DataFrame:
@@ -73,49 +73,34 @@ def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single lines as repeated measurements, zero is missing."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").cast("string").alias("protein_group"),
-        sample_name().alias("sample_name"),
-        zero_to_null(F.col("l_discount")).alias("v"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "string(l_partkey) AS protein_group", f"{SAMPLE_NAME} AS sample_name", "nullif(l_discount, 0D) AS v"
     )
 
 
+def _sample_rows(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(*SAMPLE_COLUMNS).distinct().selectExpr(*columns)
+
+
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sample with its number (``POOL<n>`` for pools)."""
-    flag = sum((F.when(F.col("l_returnflag") == k, v).otherwise(0) for k, v in FLAGS.items()), F.lit(0))
-    late = F.when(F.col("l_linestatus") == "O", 1).otherwise(0)
-    number = F.when(
-        F.col("l_linenumber") == 7, F.concat(F.lit("POOL"), (1 + flag + 3 * late).cast("string"))
-    ).otherwise((F.col("l_linenumber") + 6 * flag + 18 * late).cast("string"))
-    return (
-        table(spark, sf_dir, "lineitem").select(*SAMPLE_COLUMNS).distinct()
-        .select(
-            "*",
-            sample_name().alias("sample_name"), plex().alias("plex"),
-            F.concat(F.lower("l_returnflag"), F.col("l_linenumber").cast("string")).alias("channel"),
-            number.alias("number"),
-        )
+    return _sample_rows(
+        spark, sf_dir, f"{SAMPLE_NAME} AS sample_name", f"{PLEX} AS plex", f"{CHANNEL} AS channel", f"{_NUMBER} AS number"
     )
 
 
 def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sample_number, group_number, exp_group) as a user writes it."""
-    pool = F.col("l_linenumber") == 7
-    return samples(spark, sf_dir).select(
-        F.col("number").alias("sample_number"),
-        F.when(pool, "POOL").otherwise(F.concat(F.lit("Group"), F.col("l_returnflag"))).alias("group_number"),
-        F.when(pool, "POOL").otherwise(F.concat(F.lit("Group "), F.col("l_returnflag"))).alias("exp_group"),
+    return _sample_rows(
+        spark, sf_dir, f"{_NUMBER} AS sample_number", f"{_GROUP} AS group_number", f"{_EXP_GROUP} AS exp_group"
     )
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sample_number, sample_name, group_number, exp_group)."""
-    pool = F.col("l_linenumber") == 7
-    return samples(spark, sf_dir).select(
-        F.when(pool, F.col("number")).otherwise(F.concat(F.lit("sample_"), "number")).alias("sample_number"),
-        "sample_name",
-        F.when(pool, "POOL").otherwise(F.concat(F.lit("Group"), F.col("l_returnflag"))).alias("group_number"),
-        F.when(pool, "POOL").otherwise(F.concat(F.lit("Group "), F.col("l_returnflag"))).alias("exp_group"),
+    return _sample_rows(
+        spark, sf_dir, f"if(l_linenumber = 7, '', 'sample_') || {_NUMBER} AS sample_number", f"{SAMPLE_NAME} AS sample_name",
+        f"{_GROUP} AS group_number", f"{_EXP_GROUP} AS exp_group",
     )
 
 

@@ -38,7 +38,7 @@ def adjust_bh(
         upto = Window.partitionBy(*part).orderBy(p)
         rank = F.count(p).over(upto)  # range frame: ties share the highest rank
         n = F.count(p).over(Window.partitionBy(*part))
-        onward = upto.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+        onward = Window.partitionBy(*part).orderBy(F.desc(p))  # descending, so the minimum runs along in one pass
         return (
             df.withColumn("_raw", F.col(p) * n / F.nullif(rank, F.lit(0)))
             .withColumn(alias, F.when(F.col(p).isNotNull(), F.least(F.min("_raw").over(onward), F.lit(1.0))))
@@ -68,10 +68,10 @@ def _adjust_in_bins(df: DataFrame, p: str, by: list[str], alias: str, n_groups:
     raw = binned.join(broadcast_if(counts, n_bins), [*keys, "_bin"]).withColumn(
         "_raw", F.col("_p") * F.col("_total") / (F.col("_before") + F.sum("_c").over(inside))
     )
-    higher = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(1, Window.unboundedFollowing)
+    higher = Window.partitionBy(*keys).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
     minima = raw.groupBy(*keys, "_bin").agg(F.min("_raw").alias("_m"))
     minima = minima.select(*keys, "_bin", F.min("_m").over(higher).alias("_later"))
-    onward = Window.partitionBy(*keys, "_bin").orderBy("_p").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    onward = Window.partitionBy(*keys, "_bin").orderBy(F.desc("_p")).rowsBetween(Window.unboundedPreceding, 0)
     adjusted = raw.join(broadcast_if(minima, n_bins), [*keys, "_bin"]).select(
         *keys, "_p", F.least(F.min("_raw").over(onward), F.col("_later"), F.lit(1.0)).alias(alias)
     )

@@ -14,32 +14,35 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType
 
-from plexlake.plans.sizing import BROADCAST_ROWS, broadcast_if, rows_up_to
+from plexlake.plans.sizing import BROADCAST_ROWS, broadcast_if, rows_up_to, spread
 
 _MAX_K = 12
-_BASE = 1_000_003
-_MIX = 0x9E3779B97F4A7C15
-_SPOT = StructType([StructField("class", LongType()), StructField("anchor", LongType())])
+_BASE = np.uint64(1_000_003)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_NOTHING = np.empty(0, np.int64)
 
 
 def _kmer_hashes(text: str, k: int) -> np.ndarray:
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     n = len(codes) - k + 1
     if n <= 0:
-        return np.empty(0, np.int64)
-    h = np.zeros(n, np.uint64)
-    for i in range(k):
-        h = h * np.uint64(_BASE) + codes[i : i + n]
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(_MIX)
+        return _NOTHING
+    codes = codes.astype(np.uint64)
+    h = codes[:n].copy()
+    for i in range(1, k):
+        h *= _BASE
+        h += codes[i : i + n]
+    h ^= h >> np.uint64(31)
+    h *= _MIX
     return (h ^ (h >> np.uint64(29))).view(np.int64)
 
 
 def _window_minima(h: np.ndarray, w: int) -> np.ndarray:
     """Minimum of every w neighbours, by doubling."""
     if len(h) < w:
-        return np.empty(0, np.int64)
+        return _NOTHING
     span = 1
     while span * 2 <= w:
         h = np.minimum(h[:-span], h[span:])
@@ -48,21 +51,34 @@ def _window_minima(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
+def _changes(minima: np.ndarray) -> np.ndarray:
+    """Neighbouring windows mostly share their minimum: keep one of each run, then the distinct ones."""
+    if len(minima) == 0:
+        return minima
+    return np.unique(minima[np.concatenate([[True], minima[1:] != minima[:-1]])])
+
+
 def _shape(length: int) -> tuple[int, int]:
     """k and w for queries of at least ``length`` letters."""
     k = min(length, _MAX_K, max(6, length // 2))
     return k, length - k + 1
 
 
+def _marked(anchors, cls: int):
+    """Anchors of different length classes never meet."""
+    return anchors ^ np.int64(cls * 0x5851F42D4C957F2D & 0x7FFFFFFFFFFFFFFF)
+
+
 def _text_anchors(classes: dict[int, int]):
-    @F.pandas_udf(ArrayType(_SPOT))
+    @F.pandas_udf(ArrayType(LongType()))
     def anchors(texts: pd.Series) -> pd.Series:
         def one(text):
+            hashes = {k: _kmer_hashes(text, k) for k in {_shape(length)[0] for length in classes.values()}}
             spots = []
             for cls, length in classes.items():
                 k, w = _shape(length)
-                spots += [{"class": cls, "anchor": int(a)} for a in np.unique(_window_minima(_kmer_hashes(text, k), w))]
-            return spots
+                spots.append(_marked(_changes(_window_minima(hashes[k], w)), cls))
+            return np.concatenate(spots)
 
         return texts.map(one, na_action="ignore")
 
@@ -74,7 +90,7 @@ def _query_anchor(classes: dict[int, int]):
     def anchor(queries: pd.Series, cls: pd.Series) -> pd.Series:
         def one(query, c):
             k, w = _shape(classes[c])
-            return int(_kmer_hashes(query[: classes[c]], k)[:w].min())
+            return int(_marked(_kmer_hashes(query[: classes[c]], k)[:w].min(), c))
 
         return pd.Series([one(q, c) for q, c in zip(queries, cls, strict=True)], dtype="int64")
 
@@ -95,29 +111,23 @@ def contains_pairs(
     bounds = wanted.groupBy(cls.alias("class")).agg(F.min(F.length("_q")).alias("shortest"), F.count("*").alias("n")).collect()
     classes = {r["class"]: r["shortest"] for r in bounds}  # one entry per power of two
     n_queries = sum(r["n"] for r in bounds)
-    wanted = wanted.withColumn("class", cls).withColumn("anchor", _query_anchor(classes)(F.col("_q"), F.col("class")))
-    spots = texts.select(F.col(text_id).alias("_id"), F.col(text).alias("_t")).withColumn(
-        "_a", F.explode(_text_anchors(classes)(F.col("_t")))
-    )
+    if not classes:
+        return texts.where(F.lit(False)).select(F.col(text).alias(query), text_id)
+    wanted = wanted.select("_q", _query_anchor(classes)(F.col("_q"), cls).alias("anchor"))
+    sources = texts.select(F.col(text_id).alias("_id"), F.col(text).alias("_t"))
+    anchors = _text_anchors(classes)(F.col("_t"))
     if n_queries <= broadcast_limit:
         hits = (
-            spots.select("_id", "_t", F.col("_a.class").alias("class"), F.col("_a.anchor").alias("anchor"))
-            .join(broadcast_if(wanted, n_queries, broadcast_limit), ["class", "anchor"])
+            spread(sources)
+            .select("_id", "_t", F.explode(anchors).alias("anchor"))
+            .join(broadcast_if(wanted, n_queries, broadcast_limit), "anchor")
             .where(F.contains("_t", "_q"))
             .select("_q", "_id")
-        )
-    else:
-        candidates = (
-            spots.select("_id", F.col("_a.class").alias("class"), F.col("_a.anchor").alias("anchor"))
-            .join(wanted, ["class", "anchor"])
-            .select("_q", "_id")
             .distinct()
         )
-        hits = (
-            candidates.join(texts.select(F.col(text_id).alias("_id"), F.col(text).alias("_t")), "_id")
-            .where(F.contains("_t", "_q"))
-            .select("_q", "_id")
-        )
+    else:
+        candidates = spread(sources).select("_id", F.explode(anchors).alias("anchor")).join(wanted, "anchor").select("_q", "_id").distinct()
+        hits = candidates.join(sources, "_id").where(F.contains("_t", "_q")).select("_q", "_id")
     return hits.select(F.col("_q").alias(query), F.col("_id").alias(text_id))
 
 

@@ -30,6 +30,15 @@ def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return broadcast_if(df, rows_up_to(df, limit), limit)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before heavy work in Python.
+
+    Input of a real size has more partitions than cores and is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # Above this many rows in one group the built-in percentile is replaced by passes of counts.
 LARGE_GROUP_ROWS = 1_000_000
 
