@@ -8,6 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or spaces."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def zero_to_null(value: Column) -> Column:
     return F.nullif(value, F.lit(0.0))
 
@@ -124,4 +129,4 @@ def tag_count(peptide: Column, tag: str = "+79.97") -> Column:
 
 
 def first_of(columns: Sequence[str]) -> Column:
-    return F.coalesce(*[F.col(f"`{c}`") for c in columns])
+    return F.coalesce(*[F.col(quoted(c)) for c in columns])

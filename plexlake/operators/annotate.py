@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plexlake.functions.scalars import tag_count
+from plexlake.functions.scalars import quoted, tag_count
 
 _RUN = 8192  # rows joined to one string in the first stage
 
@@ -57,7 +57,7 @@ def attach_annotation(results: DataFrame, annotation: DataFrame, feature: str =
     """Results with annotation columns right after the feature."""
     extra = [c for c in annotation.columns if c != feature]
     rest = [c for c in results.columns if c != feature]
-    return results.join(annotation, feature).select(feature, *extra, *rest)
+    return results.join(annotation, feature).select(*[F.col(quoted(c)) for c in (feature, *extra, *rest)])
 
 
 def results_with_values(results: DataFrame, long: DataFrame, value: str, feature: str = "protein_group") -> DataFrame:

@@ -93,6 +93,7 @@ def box_statistics(long: DataFrame, value: str = "intens", extent: Extent | None
     The second pass joins only the fences (one row per sample) to the rows.
     """
     extent = extent or measure(long)
+    long = long.select("sample_name", value)
     quartiles = exact_quantiles(
         long, ["sample_name"], value, [0.25, 0.5, 0.75], extent.samples, extent.sample_rows
     ).select(

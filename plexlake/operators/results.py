@@ -8,7 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexlake.functions.scalars import readable_label
+from plexlake.functions.scalars import quoted, readable_label
 from plexlake.operators import model
 from plexlake.operators.annotate import attach_annotation, results_with_values
 from plexlake.operators.clean import significant
@@ -76,7 +76,7 @@ def _adjust_in_bins(df: DataFrame, p: str, by: list[str], alias: str, n_groups:
         *keys, "_p", F.least(F.min("_raw").over(onward), F.col("_later"), F.lit(1.0)).alias(alias)
     )
     joined = base.join(adjusted, [base[k].eqNullSafe(adjusted[k]) for k in keys] + [base[p] == adjusted["_p"]], "left")
-    return joined.select(*[base[c] for c in df.columns], adjusted[alias])
+    return joined.select(*[base[quoted(c)] for c in df.columns], adjusted[alias])
 
 
 def ranked(results: DataFrame, p: str = "p_value", feature: str = "protein_group", top: int | None = None) -> DataFrame:

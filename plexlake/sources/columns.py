@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plexlake.functions.scalars import quoted
+
 # Reporter channels of each labelling kit, in column order.
 CHANNELS = {
     "tmt6": ["126", "127n", "128c", "129n", "130c", "131"],
@@ -40,12 +42,12 @@ def select_columns(df: DataFrame, ids: Sequence[str], intensities: str, flags: S
     """Id columns by name, intensity columns by pattern, flag columns by prefix."""
     values = [c for c in df.columns if re.search(intensities, c)]
     marks = [c for c in df.columns if any(c.startswith(f) for f in flags)]
-    return df.select(*[F.col("`" + c + "`") for c in [*ids, *values, *marks]])
+    return df.select(*[F.col(quoted(c)) for c in [*ids, *values, *marks]])
 
 
 def drop_combined(df: DataFrame) -> DataFrame:
     """Drop columns that stand for several samples (``;`` or ``(`` in the name)."""
-    return df.select(*[F.col("`" + c + "`") for c in df.columns if not re.search(r"[;(]", c)])
+    return df.select(*[F.col(quoted(c)) for c in df.columns if not re.search(r"[;(]", c)])
 
 
 def snake_case(name: str) -> str:
@@ -56,11 +58,11 @@ def snake_case(name: str) -> str:
     return "x" + text if text[:1].isdigit() or not text else text
 
 
-def clean_columns(df: DataFrame, plex_word: str = "tm_tset") -> DataFrame:
-    """Snake case, no ``intensity_`` prefix, plex word unified, duplicates numbered."""
+def clean_columns(df: DataFrame, plex_word: str = "tm_tset", strip: str = "intensity_") -> DataFrame:
+    """Snake case, without the word to strip, plex word unified, duplicates numbered."""
     names: list[str] = []
     for column in df.columns:
-        name = snake_case(column).replace("intensity_", "").replace(plex_word, "plex")
+        name = snake_case(column).replace(strip, "").replace(plex_word, "plex")
         seen, unique = 1, name
         while unique in names:
             seen += 1

@@ -7,13 +7,10 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plexlake.functions.scalars import quoted
 from plexlake.operators.reshape import expression_matrix
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def cast_numeric(df: DataFrame, pattern: str) -> DataFrame:
     """Matching columns to DOUBLE; text that is no number becomes NULL."""
     return df.select(
