@@ -8,6 +8,7 @@ from plexlake.catalog import bindings as b
 from plexlake.catalog.registry import ANNOTATED, DENSE, MEDIANS, NORMALISED, SAMPLES, SPARSE, query, r6, with_ctes
 from plexlake.functions.quantiles import quantiles_by_counts
 from plexlake.operators import batch, meta, normalize, qc, reshape
+from plexlake.plans.session import materialise
 
 
 @query(with_ctes(DENSE) + "SELECT round(median(intens), 6) AS median_all FROM dense")
@@ -170,7 +171,7 @@ def no_batch_removal(spark, sf_dir):
 SELECT protein_group, sample_name, round(unbatched_intensity - m + (SELECT median(unbatched_intensity) FROM unbatched), 6) AS unbatched_intensity
 FROM unbatched JOIN second USING (sample_name)""")
 def renormalised_after_batch(spark, sf_dir):
-    unbatched = batch.pool_reference(_normalised(spark, sf_dir))
+    unbatched = materialise(batch.pool_reference(_normalised(spark, sf_dir)), "unbatched")
     out = normalize.renormalise(unbatched, extent=b.extent(spark, sf_dir))
     return out.select("protein_group", "sample_name", r6("unbatched_intensity"))
 
@@ -213,4 +214,5 @@ solved AS (
 FROM normalised x JOIN solved s ON s.protein_group = x.protein_group AND s.batch = x.plex WHERE step = 100""")
 def combat_corrected(spark, sf_dir):
     batches = b.samples(spark, sf_dir).select("sample_name", F.col("plex").alias("batch"))
-    return batch.combat(_normalised(spark, sf_dir), batches).select("protein_group", "sample_name", r6("unbatched_intensity"))
+    rows = materialise(_normalised(spark, sf_dir), "normalised")  # read for the parameters and for the correction
+    return batch.combat(rows, batches).select("protein_group", "sample_name", r6("unbatched_intensity"))

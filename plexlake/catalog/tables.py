@@ -336,9 +336,10 @@ def named_samples_removed(spark, sf_dir):
 SELECT k.protein_group, s.sample_name, round(intens, 6) AS intens FROM kept k CROSS JOIN sample_list s
 LEFT JOIN sparse x ON x.protein_group = k.protein_group AND x.sample_name = s.sample_name""")
 def missing_share_filter(spark, sf_dir):
+    """Filtered while sparse: only features that stay are filled up to the whole grid."""
     names = meta.sample_names(b.metadata(spark, sf_dir))
-    grid = reshape.densify(b.sparse(spark, sf_dir), names, "intens")
-    return clean.filter_missing(grid, 0.5, "intens").select("protein_group", "sample_name", r6("intens"))
+    kept = clean.filter_missing(b.sparse(spark, sf_dir), 0.5, "intens", n_samples=len(names))
+    return reshape.densify(kept, names, "intens").select("protein_group", "sample_name", r6("intens"))
 
 
 @query(with_ctes(ANNOTATED) + """SELECT protein_group, sample_name, round(intens, 6) AS intens FROM dense

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexlake.plans.sizing import BROADCAST_ROWS, LARGE_GROUP_ROWS, broadcast_if, rows_up_to
+from plexlake.plans.sizing import LARGE_GROUP_ROWS, broadcast_if
 
 _SKETCH = 1000  # rank error of the sketch is n / _SKETCH
 _MARGIN = 3.0 / _SKETCH  # more than the error plus two ranks once n > _SKETCH
@@ -72,7 +72,8 @@ def quantiles_by_counts(
     n_groups = 1 if not keys else n_groups
     rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
     if not keys:
-        rows = rows.withColumn("_all", F.lit(1))
+        # one group, by a key that is not a literal: the optimiser would turn that into a cross join
+        rows = rows.withColumn("_all", F.pmod(F.hash("_v"), F.lit(1)))
     points = [x for p in probs for x in (max(p - _MARGIN, 0.0), min(p + _MARGIN, 1.0))]
 
     sketch = rows.groupBy(*by).agg(
@@ -170,20 +171,25 @@ def cell_median(
     """Median per cell for many groups.
 
     ``null_propagating`` gives NULL when any member is NULL, otherwise NULLs are
-    skipped. A counting pass finds cells above ``hot_rows``; those (there are at
-    most rows / hot_rows of them) take :func:`exact_median`, all others the
-    built-in aggregate.
+    skipped. A first pass of counts and sums decides: when no cell has more than two
+    rows (the usual case, one measurement per cell) the mean is the median and that
+    pass is the result. Cells above ``hot_rows`` (at most rows / hot_rows of them)
+    take :func:`exact_median`, all others the built-in aggregate.
     """
     keys = list(keys)
-    middle = F.median(value)
-    if null_propagating:
-        middle = F.when(F.count(value) == F.count(F.lit(1)), middle)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys, "_n")
-    n_hot = rows_up_to(hot, BROADCAST_ROWS)
-    if n_hot == 0:
-        return df.groupBy(*keys).agg(middle.alias(alias))
-    hot = broadcast_if(hot, n_hot)
-    cold = df.join(hot, keys, "left_anti").groupBy(*keys).agg(middle.alias(alias))
-    big = exact_median(df.join(hot, keys, "left_semi"), keys, value, "_m", n_hot).join(hot, keys)
+    all_seen = F.count(value) == F.count(F.lit(1))
+
+    def guarded(middle: Column) -> Column:
+        return (F.when(all_seen, middle) if null_propagating else middle).alias(alias)
+
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = counts.agg(F.max("_n").alias("largest"), F.count_if(F.col("_n") > hot_rows).alias("hot")).first()
+    if (sizes["largest"] or 0) <= 2:
+        return df.groupBy(*keys).agg(guarded(F.avg(value)))
+    if sizes["hot"] == 0:
+        return df.groupBy(*keys).agg(guarded(F.median(value)))
+    hot = broadcast_if(counts.where(F.col("_n") > hot_rows), sizes["hot"])
+    cold = df.join(hot, keys, "left_anti").groupBy(*keys).agg(guarded(F.median(value)))
+    big = exact_median(df.join(hot, keys, "left_semi"), keys, value, "_m", sizes["hot"]).join(hot, keys)
     keep = F.when(F.col("n") == F.col("_n"), F.col("_m")) if null_propagating else F.col("_m")
     return cold.unionByName(big.select(*keys, keep.alias(alias)))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexlake.functions.scalars import first_of, is_flagged
+from plexlake.plans.session import materialise
 from plexlake.plans.sizing import broadcast_if, checked_broadcast
 
 FLAGS = ("reverse", "potential_contaminant", "only_identified_by_site")
@@ -33,7 +34,7 @@ def remove_contaminants(df: DataFrame, contaminants: DataFrame, accession: str =
         .join(known, "_token", "left_semi")
         .select(accession).distinct()
     )
-    return df.join(checked_broadcast(hits), accession, "left_anti")
+    return df.join(checked_broadcast(materialise(hits, "contaminants")), accession, "left_anti")
 
 
 def drop_all_missing(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -54,16 +55,17 @@ def remove_samples(long: DataFrame, names: Sequence[str] = ()) -> DataFrame:
     return long.where(~F.col("sample_name").isin(*names)) if names else long
 
 
-def filter_missing(long: DataFrame, max_missing: float, value: str, feature: str = "protein_group") -> DataFrame:
-    """Keep features whose share of NULL values is at most ``max_missing``.
+def filter_missing(
+    long: DataFrame, max_missing: float, value: str, feature: str = "protein_group", n_samples: int | None = None
+) -> DataFrame:
+    """Keep features whose share of missing values is at most ``max_missing``.
 
-    The share is combined map-side; the semi join then moves each row once by feature.
+    With ``n_samples`` absent rows count as missing too, so a sparse table need not be
+    filled first. The share is combined map-side; the semi join then moves each row
+    once by feature.
     """
-    kept = (
-        long.groupBy(feature)
-        .agg(F.avg(F.col(value).isNull().cast("double")).alias("_share"))
-        .where(F.col("_share") <= max_missing)
-    )
+    share = F.avg(F.col(value).isNull().cast("double")) if n_samples is None else 1 - F.count(value) / F.lit(n_samples)
+    kept = long.groupBy(feature).agg(share.alias("_share")).where(F.col("_share") <= max_missing)
     return long.join(kept, feature, "left_semi")
 
 

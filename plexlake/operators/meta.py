@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexlake.functions.scalars import channel_of, plex_of, sample_or_pool, sheet_sample_number
+from plexlake.functions.scalars import channel_of, plex_of, quoted, sample_or_pool, sheet_sample_number
 from plexlake.plans.sizing import broadcast_if, checked_broadcast
 
 
 def channel_rows(matrix: DataFrame, kit: str, plex: str = "plex") -> DataFrame:
     """Plex x channel matrix -> (sample_number, sample_name)."""
     channels = [c for c in matrix.columns if c != plex]
-    long = matrix.unpivot([plex], [F.col(f"`{c}`") for c in channels], "_channel", "_number")
+    long = matrix.unpivot([plex], [F.col(quoted(c)) for c in channels], "_channel", "_number")
     return long.where(F.col("_number").isNotNull()).select(
         sheet_sample_number(F.col("_number")).alias("sample_number"),
         F.lower(F.concat_ws("_", F.col(plex), F.lit(kit), F.col("_channel"))).alias("sample_name"),

@@ -27,7 +27,7 @@ from plexlake.functions.special import (
     trigamma,
     trigamma_inverse,
 )
-from plexlake.plans.sizing import broadcast_if
+from plexlake.plans.sizing import LARGE_GROUP_ROWS, broadcast_if
 
 Contrasts = Mapping[str, Mapping[str, float]]
 
@@ -165,10 +165,11 @@ class VariancePrior:
     n_features: int
 
 
-def variance_prior(fit: DataFrame, feature_rows: int | None = None) -> VariancePrior:
+def variance_prior(fit: DataFrame) -> VariancePrior:
     """Moments of log variances (Smyth 2004): two passes of plain aggregates, five numbers back."""
     usable = fit.where("df > 0 and sigma2 is not null").select("df", "sigma2")
-    row = exact_median(usable.withColumn("_all", F.lit(1)), ["_all"], "sigma2", "m", 1, feature_rows).first()
+    # counting a materialised fit reads file footers only
+    row = exact_median(usable, [], "sigma2", "m", 1, fit.count()).first()
     if row is None or row["m"] is None:
         raise ValueError("no feature has residual degrees of freedom")
     floor = _VARIANCE_FLOOR * row["m"]
@@ -259,16 +260,20 @@ def effect_prior(rows: DataFrame, prior: VariancePrior, n_contrasts: int, featur
     window holds that share only.
     """
     tested = rows.where(F.col("p_value").isNotNull()).withColumn("abs_t", F.abs("t"))
-    cut = exact_quantiles(
-        tested, ["contrast"], "p_value", [_PROPORTION / 2], n_contrasts, prior.n_features
-    ).select("contrast", F.col("n").alias("n_genes"), F.col("q")[0].alias("cut"))
-    joined = tested.join(broadcast_if(cut, n_contrasts), "contrast")
-    # the interpolated quantile may fall one rank short of the last wanted row
-    following = joined.where(F.col("p_value") > F.col("cut")).groupBy("contrast").agg(F.min("p_value").alias("following"))
-    near = joined.join(broadcast_if(following, n_contrasts), "contrast", "left").where(
-        F.col("p_value") <= F.coalesce(F.col("following"), F.col("cut"))
-    )
-    best_first = Window.partitionBy("contrast").orderBy("p_value", F.desc("abs_t"), feature)
+    per_contrast = Window.partitionBy("contrast")
+    if prior.n_features <= LARGE_GROUP_ROWS:
+        near = tested.withColumn("n_genes", F.count(F.lit(1)).over(per_contrast))
+    else:
+        cut = exact_quantiles(
+            tested, ["contrast"], "p_value", [_PROPORTION / 2], n_contrasts, prior.n_features
+        ).select("contrast", F.col("n").alias("n_genes"), F.col("q")[0].alias("cut"))
+        joined = tested.join(broadcast_if(cut, n_contrasts), "contrast")
+        # the interpolated quantile may fall one rank short of the last wanted row
+        above = joined.where(F.col("p_value") > F.col("cut")).groupBy("contrast").agg(F.min("p_value").alias("following"))
+        near = joined.join(broadcast_if(above, n_contrasts), "contrast", "left").where(
+            F.col("p_value") <= F.coalesce(F.col("following"), F.col("cut"))
+        )
+    best_first = per_contrast.orderBy("p_value", F.desc("abs_t"), feature)
     top = (
         near.withColumn("target", F.ceil(F.lit(_PROPORTION / 2) * F.col("n_genes")))
         .withColumn("rank", F.row_number().over(best_first))

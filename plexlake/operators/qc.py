@@ -24,8 +24,7 @@ def global_median(
 ) -> DataFrame:
     """One row (median_all) over all rows; NULL if asked so and any value is NULL."""
     extent = extent or measure(long)
-    rows = long.select(value).withColumn("_all", F.lit(1))
-    median = exact_median(rows, ["_all"], value, "median_all", 1, extent.rows)
+    median = exact_median(long.select(value), [], value, "median_all", 1, extent.rows)
     if null_propagating:
         gaps = long.agg(F.count_if(F.col(value).isNull()).alias("gaps"))
         return median.select(F.when(gaps.scalar() == 0, F.col("median_all")).alias("median_all"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexlake.functions.quantiles import cell_median
+from plexlake.functions.scalars import quoted
 
 # Matrices are made of one column per sample; more samples than this stay long.
 MAX_SAMPLE_COLUMNS = 5_000
@@ -15,8 +16,8 @@ MAX_SAMPLE_COLUMNS = 5_000
 
 def to_long(wide: DataFrame, samples: Sequence[str], value: str = "intens") -> DataFrame:
     """One row per feature row and sample, NULLs kept. No shuffle."""
-    ids = [F.col(f"`{c}`") for c in wide.columns if c not in set(samples)]
-    return wide.unpivot(ids, [F.col(f"`{s}`") for s in samples], "sample_name", value)
+    ids = [F.col(quoted(c)) for c in wide.columns if c not in set(samples)]
+    return wide.unpivot(ids, [F.col(quoted(s)) for s in samples], "sample_name", value)
 
 
 def cells(long: DataFrame, value: str, feature: str = "protein_group", hot_rows: int = 1_000_000) -> DataFrame:

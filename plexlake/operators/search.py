@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from plexlake.plans.sizing import BROADCAST_ROWS, broadcast_if, rows_up_to, spread
+from plexlake.plans.session import materialise
+from plexlake.plans.sizing import BROADCAST_ROWS, broadcast_if, checked_broadcast, spread
 
 _MAX_K = 12
 _BASE = np.uint64(1_000_003)
@@ -145,9 +146,9 @@ def fill_accessions(peptides: DataFrame, fasta: DataFrame, sequence: str = "pept
     pairs = contains_pairs(peptides.where(missing).select(sequence), sequence, fasta, "sequence", "fasta_ord")
     first = first_match(pairs, sequence, "fasta_ord")
     found = first.join(fasta.select("fasta_ord", F.col("accession").alias("_found")), "fasta_ord").select(sequence, "_found")
-    n_found = rows_up_to(found)
+    found = checked_broadcast(materialise(found, "matches"))
     return (
-        peptides.join(broadcast_if(found, n_found), sequence, "left")
+        peptides.join(found, sequence, "left")
         .withColumn(accession, F.when(missing, F.col("_found")).otherwise(F.col(accession)))
         .drop("_found")
         .select(*peptides.columns)
