@@ -213,6 +213,6 @@ solved AS (
   round(((normalized_intensity - grand) / sqrt(pooled) - g) / sqrt(d) * sqrt(pooled) + grand, 6) AS unbatched_intensity
 FROM normalised x JOIN solved s ON s.protein_group = x.protein_group AND s.batch = x.plex WHERE step = 100""")
 def combat_corrected(spark, sf_dir):
-    batches = b.samples(spark, sf_dir).select("sample_name", F.col("plex").alias("batch"))
+    batches = materialise(b.samples(spark, sf_dir).select("sample_name", F.col("plex").alias("batch")), "batches")
     rows = materialise(_normalised(spark, sf_dir), "normalised")  # read for the parameters and for the correction
     return batch.combat(rows, batches).select("protein_group", "sample_name", r6("unbatched_intensity"))

@@ -55,13 +55,15 @@ def _posterior(
     return pd.DataFrame({"g": g, "d": d})
 
 
-def combat_parameters(long: DataFrame, batches: DataFrame, value: str, feature: str = "protein_group") -> DataFrame:
+def combat_parameters(
+    long: DataFrame, batches: DataFrame, value: str, feature: str = "protein_group", n_batch_rows: int | None = None
+) -> DataFrame:
     """(feature, batch, grand, pooled, g, d) of empirical-Bayes location/scale correction.
 
     Only sufficient statistics per feature and batch are used (Johnson, Li and
     Rabinovic 2007). Features with no variance in some batch get NULL parameters.
     """
-    n_batch_rows = rows_up_to(batches)
+    n_batch_rows = rows_up_to(batches) if n_batch_rows is None else n_batch_rows
     sizes = batches.groupBy("batch").agg(F.count(F.lit(1)).alias("n_b"))
     joined = long.select(feature, "sample_name", value).join(broadcast_if(batches, n_batch_rows), "sample_name")
     v = F.col(value)
@@ -109,8 +111,8 @@ def combat(long: DataFrame, batches: DataFrame, value: str = "normalized_intensi
 
     Samples without a batch are left out; features without variance pass unchanged.
     """
-    parameters = combat_parameters(long, batches, value, feature)
     n_batch_rows = rows_up_to(batches)
+    parameters = combat_parameters(long, batches, value, feature, n_batch_rows)
     rows = long.join(broadcast_if(batches, n_batch_rows), "sample_name").join(parameters, [feature, "batch"])
     spread = F.sqrt("pooled")
     corrected = ((F.col(value) - F.col("grand")) / spread - F.col("g")) / F.sqrt("d") * spread + F.col("grand")
