@@ -72,13 +72,12 @@ def combat_parameters(
         .agg(
             F.count(v).alias("n"), F.avg(v).alias("m"),
             (F.var_pop(v) * F.count(v)).alias("ss"),
-            F.count_if(v.isNull()).alias("gaps"),
         )
         .join(broadcast_if(sizes, n_batch_rows), "batch")
     )
     whole = Window.partitionBy(feature)  # one row per batch
     total = F.sum("n_b").over(whole)
-    gaps = stats.agg(F.sum("gaps")).scalar()
+    gaps = joined.agg(F.count_if(v.isNull())).scalar()
     seen = F.sum("n").over(whole)
     per_batch = stats.select(
         feature, "batch", "n", "m", "ss",

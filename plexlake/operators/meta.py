@@ -35,7 +35,10 @@ def order_by_group(meta: DataFrame) -> DataFrame:
 
 
 def attach_metadata(long: DataFrame, meta: DataFrame, n_samples: int | None = None, strict: bool = False) -> DataFrame:
-    """Add metadata, plex, channel and pool label; samples without metadata drop."""
+    """Add metadata, plex, channel and pool label; samples without metadata drop.
+
+    ``n_samples`` is a known bound on the rows of ``meta``; without it they are counted.
+    """
     small = broadcast_if(meta, n_samples) if n_samples is not None else checked_broadcast(meta)
     return long.join(small, "sample_name").withColumns(
         {

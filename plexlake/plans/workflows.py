@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from plexlake.functions import scalars
 from plexlake.operators import annotate, batch, clean, meta, model, normalize, project, qc, reshape, results, search
 from plexlake.plans.session import materialise
-from plexlake.plans.sizing import measure
+from plexlake.plans.sizing import broadcast_if, measure
 from plexlake.sources import columns, tables
 from plexlake.sources.fasta import read_fasta
 
@@ -145,16 +145,17 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
     """All result tables of a run, by name."""
     spark = features.wide.sparkSession
     n = len(features.samples)
-    metadata = materialise(metadata, "metadata")  # one row per sample
+    metadata = materialise(metadata, "metadata")
+    n_meta = metadata.count()  # one row per sample; decides the broadcasts below
     raw = reshape.to_long(features.wide.select(FEATURE, *features.samples), features.samples)
     long = materialise(raw.withColumn("intens", scalars.log2_intensity(F.col("intens"))), "long")
     size = measure(long)
 
-    scope = clean.keep_common_samples(long, metadata, n) if settings.median_scope == "mapped" else long
+    scope = clean.keep_common_samples(long, metadata, n_meta) if settings.median_scope == "mapped" else long
     median_all = qc.global_median(scope, "intens", size)
     medians = qc.flag_high_medians(qc.sample_medians(long, "intens", size))
     flagged = qc.flag_maximum(qc.attach_samples(long, medians, size), "intens", size)
-    described = meta.attach_metadata(flagged, metadata, n)
+    described = meta.attach_metadata(flagged, metadata, n_meta)
     completeness = qc.completeness(described)
     detected = qc.detected_features(described)
     missing = qc.missing_per_feature(described)
@@ -191,7 +192,7 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
     used = clean.keep_common_samples(metadata, unbatched, n)
     if not settings.keep_pools:
         used = used.where(~F.startswith("group_number", F.lit("POOL")))
-    rows = after.join(F.broadcast(used) if n <= reshape.MAX_SAMPLE_COLUMNS else used, "sample_name")
+    rows = after.join(broadcast_if(used, n_meta), "sample_name")
     sizes = model.group_sizes(used)
     contrasts = settings.contrasts or model.pairwise_contrasts(list(sizes))
     contrasts = model.reverse_contrasts(contrasts, settings.reversed_contrasts)
@@ -220,7 +221,7 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
         "contrasts": model.contrast_table(spark, contrasts),
         "overall": results.ranked(overall),
         "by_contrast": by_contrast,
-        "heat_map": results.heat_map(overall, after, used, value, settings.significance, n_samples=n),
+        "heat_map": results.heat_map(overall, after, used, value, settings.significance, n_samples=n_meta),
     }
 
 
