@@ -41,9 +41,14 @@ def global_median_of_mapped_samples(spark, sf_dir):
     return qc.global_median(kept, "intens", size).select(r6("median_all"))
 
 
-@query(with_ctes(SPARSE) + "SELECT CASE WHEN count(intens) = count(*) THEN median(intens) END AS median_all FROM sparse")
+@query(with_ctes(SPARSE, DENSE) + """SELECT 'with gaps' AS source, CASE WHEN count(intens) = count(*) THEN round(median(intens), 6) END AS median_all FROM sparse
+UNION ALL SELECT 'complete', CASE WHEN count(intens) = count(*) THEN round(median(intens), 6) END FROM dense""")
 def global_median_null_propagating(spark, sf_dir):
-    return qc.global_median(b.sparse(spark, sf_dir), "intens", b.extent(spark, sf_dir), null_propagating=True)
+    size = b.extent(spark, sf_dir)
+    gaps, complete = (qc.global_median(long, "intens", size, null_propagating=True).select(r6("median_all"))
+                      for long in (b.sparse(spark, sf_dir), b.dense(spark, sf_dir)))
+    return gaps.select(F.lit("with gaps").alias("source"), "median_all").unionByName(
+        complete.select(F.lit("complete").alias("source"), "median_all"))
 
 
 @query(with_ctes(SPARSE) + "SELECT sample_name, round(median(intens), 6) AS MED FROM sparse GROUP BY 1")

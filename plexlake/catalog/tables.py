@@ -131,13 +131,13 @@ def sample_name_parts(spark, sf_dir):
 
 
 @query("""SELECT s_suppkey, 'S' || s_suppkey AS head, s_name || '|N' || s_nationkey AS tail, s_name AS before_last,
-  CAST(NULL AS VARCHAR) AS before_last_of_one, s_name AS tail_of_one FROM supplier""")
+  CASE WHEN s_nationkey > 12 THEN 'S' || s_suppkey END AS before_last_of_few, s_name AS tail_of_one FROM supplier""")
 def accession_fields(spark, sf_dir):
     key = F.col("s_suppkey").cast("string")
     accession = F.concat(F.lit("S"), key, F.lit("|"), F.col("s_name"), F.lit("|N"), F.col("s_nationkey").cast("string"))
     return b.table(spark, sf_dir, "supplier").select(
         "s_suppkey", s.accession_head(accession).alias("head"), s.accession_tail(accession).alias("tail"),
-        s.before_last(accession).alias("before_last"), s.before_last(F.col("s_name")).alias("before_last_of_one"),
+        s.before_last(accession).alias("before_last"), s.before_last(F.when(F.col("s_nationkey") > 12, F.concat(F.lit("S"), key, F.lit("|x"))).otherwise(F.col("s_name"))).alias("before_last_of_few"),
         s.accession_tail(F.col("s_name")).alias("tail_of_one"),
     )
 
