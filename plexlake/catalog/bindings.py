@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from plexlake.functions.scalars import log2_intensity, zero_to_null
 from plexlake.operators.meta import attach_metadata
-from plexlake.operators.reshape import cells
 from plexlake.plans.sizing import Extent, measure
 
 SAMPLE_COLUMNS = ["l_linestatus", "l_returnflag", "l_linenumber"]
@@ -114,10 +113,6 @@ def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annotated(spark, sf_dir).where("sample_or_pool = 'sample'")
 
 
-def cell_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells(dense(spark, sf_dir), "intens")
-
-
 def supplier_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("string").alias("protein_group"), F.col("s_name").alias("protein_names"),

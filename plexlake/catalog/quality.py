@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plexlake.catalog import bindings as b
-from plexlake.catalog.registry import ANNOTATED, DENSE, MEDIANS, NORMALISED, SAMPLES, SPARSE, query, r6, with_ctes
+from plexlake.catalog.registry import DENSE, MEDIANS, NORMALISED, SAMPLES, SPARSE, query, r6, with_ctes
 from plexlake.functions.quantiles import quantiles_by_counts
 from plexlake.operators import batch, meta, normalize, qc, reshape
 from plexlake.plans.session import materialise
