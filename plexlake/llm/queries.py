@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexlake.llm import packing, token_files
+from plexlake.llm import decontaminate, neardup, packing, pii, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,7 +36,69 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.slots.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(rf"""WITH RECURSIVE
+texts AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 OR w IS NULL THEN []::VARCHAR[]
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM texts),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+components AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN components ON doc_id = a""")
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.encode_corpus(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
     return token_files.token_digests(token_files.read_tokens(spark, path))
+
+
+def span_digest(spans, base: int):
+    """Hash and text of spans; ``base`` is how many kinds the contract names."""
+    named = F.filter(spans, lambda s: s["rank"] < base)
+    return F.sha2(pii.joined(named), 256).alias("base_sha256"), pii.joined(spans).alias("spans")
+
+
+def _is_kind(rank: int):
+    return lambda s: s["rank"] == rank
+
+
+@query()
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("spans", _is_kind(rank))).cast("long").alias(f"n_{kind.name}") for rank, kind in enumerate(pii.BASE)
+    ]
+    return found.select("doc_id", *counts, *span_digest(F.col("spans"), len(pii.BASE)))
+
+
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(rf"""WITH
+t AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+cut AS (SELECT item_id, unnest(CASE WHEN len(w) = 0 OR w IS NULL THEN [] WHEN len(w) < 13 THEN [w]
+    ELSE list_transform(range(1, len(w) - 11), lambda i: w[i:i+12]) END) AS x FROM b),
+win AS (SELECT DISTINCT item_id, len(x) AS l, array_to_string(x, ' ') AS g FROM cut),
+lens AS (SELECT DISTINCT l FROM win),
+grams AS (SELECT doc_id, l, w, unnest(range(1, len(w) - l + 2)) AS p FROM t, lens),
+occ AS (SELECT doc_id, p, l, item_id FROM (SELECT doc_id, l, p, array_to_string(w[p:p+l-1], ' ') AS g FROM grams) JOIN win USING (l, g)),
+hit AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + l)) AS q FROM occ) GROUP BY 1),
+items AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM occ GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(w) AS contaminated
+FROM t LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""")
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated"
+    )
