@@ -30,14 +30,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(steps)
 
 
-def per_process(key: str, make: Callable[[], Any]) -> Any:
-    """``make()`` once per Python worker.
+def per_process(key: str, make: Callable[[], Any], alone: str | None = None) -> Any:
+    """``make()`` once per Python worker; with ``alone``, older keys that start with it are let go.
 
     Functions travel to the workers by value, so a module's own globals would be new in every
     task; what should outlive a task is hung on a module of the worker process.
     """
     holder = sys.modules.setdefault("_plexlake_worker", types.ModuleType("_plexlake_worker"))
     if not hasattr(holder, key):
+        for old in [k for k in vars(holder) if alone is not None and k.startswith(alone)]:
+            delattr(holder, old)
         setattr(holder, key, make())
     return getattr(holder, key)
 
