@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plexlake.llm import tokens, words
+from plexlake.llm.stage import keep
 from plexlake.plans.session import scratch_path
 
 END_ID = 1
@@ -74,7 +75,7 @@ def read_tokens(spark: SparkSession, path: str, first: int | None = None, last:
     files = spark.read.schema(SCHEMA).parquet(path)
     totals = files.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    bases = totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    bases = keep(totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "shards")
     if first is not None:
         files = files.where(F.col("doc_id") >= first)
     if last is not None:
