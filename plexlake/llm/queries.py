@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexlake.llm import decontaminate, neardup, packing, pii, quality, token_files
+from plexlake.llm import decontaminate, neardup, packing, pii, quality, token_files, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,3 +107,18 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query()
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("""WITH RECURSIVE
+v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL),
+n AS (SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v),
+pairs AS (SELECT x.vec_id AS a, y.vec_id AS b FROM n x JOIN n y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE x.norm > 0 AND y.norm > 0 AND list_dot_product(x.e, y.e) / (x.norm * y.norm) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+components AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+links AS (SELECT a, count(*) AS n_links FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN components c ON c.a = vec_id LEFT JOIN links l ON l.a = vec_id""")
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
