@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexlake.llm import decontaminate, neardup, packing, pii, quality, token_files, vectors
+from plexlake.llm import decontaminate, neardup, packing, pii, quality, secret_scan, token_files, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,3 +122,17 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 FROM embeddings JOIN components c ON c.a = vec_id LEFT JOIN links l ON l.a = vec_id""")
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("spans", _is_kind(rank))).cast("long").alias(f"n_{kind}") for rank, kind in enumerate(secret_scan.KINDS)
+    ]
+    return found.select("doc_id", *counts, *span_digest(F.col("spans"), len(secret_scan.KINDS)))
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
