@@ -5,7 +5,7 @@
 2. Texts with equal sets are one class from here on, represented by its smallest id, so
    copies meet in counts and never in pairs.
 3. Classes that share a band key are candidates. Every bucket is first compared as a star
-   around its smallest id. Packed signatures give a similarity, corrected for chance
+   around the member that shares most buckets with others. Packed signatures give a similarity, corrected for chance
    agreement of low bits; what may reach the threshold is confirmed on the full sets.
 4. Buckets whose members are in one component by now are done. In the others, what
    is outside the hub's component meets all members, again by signatures first. So no link
@@ -13,7 +13,8 @@
    itself.
 
 With 32 bands of 4 minima a pair at the threshold is missed with probability
-(1 - 0.75**4)**32 = 5e-6, less above it.
+(1 - 0.75**4)**32 = 5e-6, and a signature rules it out wrongly with probability 3e-5; both fall
+quickly above the threshold, and a document is lost only if all its links are.
 
 Defined results: NULL text reads as empty; texts without words link with nothing; repeated rows are
 copies of each other and get the same answer; should different texts share a ``doc_id``, that id
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from plexlake.llm import words
 from plexlake.llm.graph import connected_components
 from plexlake.llm.stage import keep
+from plexlake.plans.sizing import checked_broadcast
 
 WORD_BYTES = words.byte_set(b"\x20\x09\x0a\x0b\x0c\x0d")
 _RNG = np.random.Generator(np.random.PCG64(75))
@@ -49,7 +51,7 @@ class Settings:
     rows: int = 4
     bits: int = 2
     percent: int = 75  # link when 100 * intersection >= percent * union
-    slack: float = 5.0  # standard errors below the threshold that a signature may estimate
+    slack: float = 4.0  # standard errors below the threshold that a signature may estimate
     texts_per_task: int = 128  # of one hub, confirmed together
 
     @property
@@ -193,7 +195,7 @@ def confirm_links(pairs: DataFrame, docs: DataFrame, settings: Settings) -> Data
     own = portions.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("portion"), F.col("hub").alias("id"))
     wanted = keep(dealt.unionByName(own), "requests")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = wanted.join(texts, "id").groupBy("hub", "portion").applyInArrow(_confirm(settings), "a long, b long")
+    found = texts.join(checked_broadcast(wanted), "id").groupBy("hub", "portion").applyInArrow(_confirm(settings), "a long, b long")
     return keep(found, "links")
 
 
@@ -210,8 +212,14 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
 
     bands = heads.select("id", F.explode("bands").alias("band"))
-    buckets = keep(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("hub")).where("n > 1"), "buckets")
-    shared = keep(bands.join(buckets, "band").where("id <> hub OR n > 2"), "shared")
+    buckets = keep(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    met = keep(bands.join(buckets, "band"), "shared")
+    # the original of a family of copies meets most of them in most bands, so it makes the best hub
+    company = met.groupBy("id").agg(F.sum("n").alias("company"))
+    ranked = keep(met.join(company, "id").select("band", "n", "id", "company"), "shared")
+    central = ranked.groupBy("band").agg(F.max(F.struct("company", (-F.col("id")).alias("least"))).alias("_hub"))
+    central = keep(central.select("band", (-F.col("_hub.least")).alias("hub")), "buckets")
+    shared = keep(ranked.join(central, "band").select("band", "n", "id", "hub").where("id <> hub OR n > 2"), "shared")
 
     signatures = heads.select("id", "signature")
     hubs = signatures.select(F.col("id").alias("hub"), F.col("signature").alias("hub_signature"))
@@ -234,11 +242,14 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     open_bands = keep(outside.groupBy("band").agg(F.count(F.lit(1)).alias("_open")), "open")
     inside = named.where("id <> hub").join(open_bands, "band", "left_semi").join(signatures, "id")
     left = outside.select("band", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("signature").alias("sx"))
-    right = inside.select("band", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("signature").alias("sy"))
+    right = inside.select(
+        "band", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("signature").alias("sy"), (F.col("component") != F.col("main")).alias("oy")
+    )
     left, right = keep(left, "outside"), keep(right, "inside")
     near = differences(F.col("sx"), F.col("sy"), settings) <= settings.most_differences()
-    met = left.join(right, (left["band"] == right["band"]) & (F.col("cx") != F.col("cy")) & near)
-    rest = keep(met.select(F.least("x", "y").alias("hub"), F.greatest("x", "y").alias("id")).distinct(), "candidates")
+    once = ~F.col("oy") | (F.col("x") < F.col("y"))  # two outsiders meet twice
+    pairs = left.join(right, (left["band"] == right["band"]) & (F.col("cx") != F.col("cy")) & once & near)
+    rest = keep(pairs.select(F.col("x").alias("hub"), F.col("y").alias("id")).distinct(), "candidates")
     more = confirm_links(rest, docs, settings)
 
     joined = first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
