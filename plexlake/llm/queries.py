@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexlake.llm import decontaminate, neardup, packing, pii, quality, secret_scan, token_files, toxicity, vectors
+from plexlake.llm import decontaminate, licenses, neardup, packing, pii, quality, secret_scan, token_files, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,3 +136,14 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    one = lambda n: F.concat_ws(":", n["family"], n["start"].cast("string"), n["end"].cast("string"))
+    families = F.array_join(F.sort_array(F.array_distinct(F.transform("notices", lambda n: n["family"]))), ",")
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_notices"), families.alias("families"),
+        F.array_join(F.transform("notices", one), ",").alias("spans"),
+    )
