@@ -1,12 +1,60 @@
-"""From raw documents to packed training sequences: five stages over whole tables."""
+"""From raw documents to packed training sequences: five stages over whole tables.
+
+Every stage takes (spark, docs, sf_dir), where ``docs`` is what the one before kept, and returns rows with
+the columns of ``documents``; the last returns the pieces and their places in sequences. Stages are
+written to shared storage in between, so each can be repeated alone.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
-ORACLE_SQL = None
+from plexlake.llm import decontaminate, neardup, packing, pii, quality
+from plexlake.llm.stage import keep
+
+VOCABULARY = "word_bpe_49k.json"
+
+
+def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the language model rejects go."""
+    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest id."""
+    return neardup.distinct_documents(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with one word in twenty inside a benchmark window go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gives way to the name of its kind."""
+    return pii.redacted(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
+    packed = packing.pack(docs, public_tokenizers.path(VOCABULARY))
+    return packed.slots.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality_classifier", accept_quality),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("pii", redact_personal_data),
+    ("best_fit_packing", pack_sequences),
+]
+ORACLE_SQL = None  # neither the tokenizer nor the language model can be stated in SQL; tests compare with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = keep(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

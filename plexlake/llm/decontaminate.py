@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plexlake.llm.stage import keep
+from plexlake.llm.stage import keep, unused
 from plexlake.plans.sizing import checked_broadcast
 
 SIZE = 13
@@ -55,13 +55,18 @@ def windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     return keep(found.select("window", F.split("window", " ").alias("words"), "items"), "windows")
 
 
+def _whole_text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def _document_key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)).cast("long"))
+
+
 def _documents(docs: DataFrame) -> DataFrame:
     """Key columns and text; rows with equal keys have equal answers."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)).cast("long")).alias("_doc"),
-        F.xxhash64(text).alias("_text"), text.alias("text"),
-    )
+    text = _whole_text()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _document_key().alias("_doc"), F.xxhash64(text).alias("_text"), text.alias("text"))
 
 
 def prefix_words(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -108,11 +113,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Data
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, one_in: int = 20) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, item_ids, contaminated) of every row of ``docs``.
-
-    Contaminated: at least one word in ``one_in`` lies in a window that occurs.
-    """
+def _answers(docs: DataFrame, benchmark: DataFrame, size: int, one_in: int) -> DataFrame:
     found = keep(occurrences(docs, benchmark, size), "occurrences")
     key = ["_doc", "_text"]
     covered = found.select(*key, F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("at")).distinct()
@@ -124,6 +125,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, one_i
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     rows = words.join(answers, key, "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids")
+        "doc_id", *key, "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids")
     )
     return rows.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words")))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, one_in: int = 20) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, item_ids, contaminated) of every row of ``docs``.
+
+    Contaminated: at least one word in ``one_in`` lies in a window that occurs.
+    """
+    return _answers(docs, benchmark, size, one_in).drop("_doc", "_text")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, one_in: int = 20) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    bad = keep(_answers(docs, benchmark, size, one_in).where("contaminated").select("_doc", "_text").distinct(), "contaminated")
+    d, t = unused(docs, "_d"), unused(docs, "_t")
+    keyed = docs.withColumns({d: _document_key(), t: F.xxhash64(_whole_text())})
+    matched = (keyed[d] == bad["_doc"]) & (keyed[t] == bad["_text"])
+    return keyed.join(checked_broadcast(bad), matched, "left_anti").drop(d, t)

@@ -30,12 +30,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexlake.llm import words
 from plexlake.llm.graph import connected_components
-from plexlake.llm.stage import keep
+from plexlake.llm.stage import keep, unused
 from plexlake.plans.sizing import checked_broadcast
 
 WORD_BYTES = words.byte_set(b"\x20\x09\x0a\x0b\x0c\x0d")
@@ -263,3 +263,24 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     return rows.select("doc_id", "n_shingles", shared_ids.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def distinct_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` that represent their groups, with all their columns.
+
+    Of several rows with one ``doc_id`` the first by a hash of all columns stays; rows without a
+    ``doc_id`` all stay.
+    """
+    found = keep(near_duplicates(docs, settings), "groups")
+    ids = found.where("doc_id IS NOT NULL")
+    gone = keep(ids.where("NOT kept").select("doc_id").distinct(), "gone")
+    repeated = keep(ids.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
+    own = lambda other: docs["doc_id"].cast("long") == other["doc_id"]
+    rows = docs.join(checked_broadcast(gone), own(gone), "left_anti")
+    if repeated.isEmpty():
+        return rows
+    single = rows.join(checked_broadcast(repeated), own(repeated), "left_anti")
+    several = rows.join(checked_broadcast(repeated), own(repeated), "left_semi")
+    rank = unused(docs, "_rank")
+    order = Window.partitionBy(F.col("doc_id").cast("long")).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    return single.unionByName(several.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank))

@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plexlake.llm.stage import unused
+
 CONTEXT_CHARS = 40
 
 
@@ -162,3 +164,13 @@ def redact(docs: DataFrame, minimum: float = 0.0, text: str = "text", spans: str
     finish = lambda done: F.concat(done["out"], F.substring(body, done["at"] + 1, F.length(body)))
     replaced = F.when(F.size(used) > 0, F.aggregate(used, empty, step, finish)).otherwise(F.col(text))
     return docs.withColumn(text, replaced)
+
+
+def redacted(docs: DataFrame, minimum: float = 0.25) -> DataFrame:
+    """``docs`` with personal data in ``text`` replaced, and ``n_chars`` of the new text where there is one."""
+    spans = unused(docs, "_spans")
+    done = redact(find_spans(docs, alias=spans), minimum, spans=spans).drop(spans)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        done = done.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return done.select(*[F.col(f"`{c}`") for c in docs.columns])

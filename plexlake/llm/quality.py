@@ -28,9 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from plexlake.llm import words
-from plexlake.llm.stage import keep
+from plexlake.llm.stage import keep, unused
 from plexlake.plans.sizing import checked_broadcast
 
 ORDER = 4
@@ -195,32 +196,31 @@ def train(texts: DataFrame) -> Model:
     return Model(*parts)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang, n_symbols, log_perplexity) of every row."""
+def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity", n_symbols: str = "n_symbols", text: str = "text") -> DataFrame:
+    """``docs`` with the two columns added to every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model.parts)  # at most 64**4 rows
     symbols, name = _symbol_table(), f"model {uuid.uuid4().hex}"
+    at, names = docs.columns.index(text), [*docs.columns, n_symbols, log_perplexity]
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = words.per_process(name, lambda: log_table(*shared.value), alone="model ")
         for batch in batches:
-            for first, last, data, offsets in words.text_slices(batch.column(2)):
+            for first, last, data, offsets in words.text_slices(batch.column(at)):
                 codes, counts = _codes(data, offsets, symbols)
                 sums = np.add.reduceat(table[codes].astype(np.float64), np.cumsum(counts) - counts)
-                yield pa.record_batch(
-                    [*(batch.column(i).slice(first, last - first) for i in (0, 1)), pa.array(counts), pa.array(-sums / counts)],
-                    names=["doc_id", "lang", "n_symbols", "log_perplexity"],
-                )
+                rows = batch.slice(first, last - first)
+                yield pa.record_batch([*rows.columns, pa.array(counts), pa.array(-sums / counts)], names=names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(scores, "doc_id long, lang string, n_symbols long, log_perplexity double")
+    schema = StructType([*docs.schema.fields, StructField(n_symbols, LongType()), StructField(log_perplexity, DoubleType())])
+    return docs.mapInArrow(scores, schema)
 
 
-def thresholds(scores: DataFrame, trusted: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(lang, threshold) for the languages of ``scores``, NULL where nothing is trusted.
+def thresholds(scores: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, float | None]:
+    """(lang, threshold) of languages with enough of the trusted ``scores``, and the one for all others.
 
     Quantiles are read off counts in bins of a thousandth, so no language is gathered in one place.
     """
-    bins = scores.join(trusted, "doc_id", "left_semi").groupBy("lang", F.ceil(F.col("log_perplexity") * 1000).alias("bin"))
+    bins = scores.groupBy("lang", F.ceil(F.col("log_perplexity") * 1000).alias("bin"))
     counted = keep(bins.agg(F.count(F.lit(1)).alias("n")), "bins")
 
     def limits(counts: DataFrame, *by: str) -> DataFrame:
@@ -229,23 +229,52 @@ def thresholds(scores: DataFrame, trusted: DataFrame, settings: Settings = Setti
         at = [F.min(F.when(F.col("upto") >= F.col("total") * q, F.col("bin"))) for q in (settings.typical, settings.high)]
         grouped = ranked.groupBy(*by).agg(at[0].alias("typical"), at[1].alias("high"), F.max("total").alias("total"))
         limit = (F.col("high") + settings.margin * (F.col("high") - F.col("typical"))) / 1000
-        return grouped.select(*by, limit.alias("limit"), "total")
+        return grouped.select(*by, limit.alias("threshold"), "total")
 
-    own = limits(counted, "lang").where(F.col("total") >= settings.least_trusted)
+    own = keep(limits(counted, "lang").where(F.col("total") >= settings.least_trusted).select("lang", "threshold"), "thresholds")
     every = limits(counted.groupBy("bin").agg(F.sum("n").alias("n")).withColumn("_all", F.lit(1)), "_all").first()
-    overall = F.lit(None if every is None else every["limit"]).cast("double")
-    languages = scores.select("lang").distinct().alias("l")
-    found = languages.join(own.alias("o"), F.col("l.lang").eqNullSafe(F.col("o.lang")), "left")
-    return keep(found.select("l.lang", F.coalesce("o.limit", overall).alias("threshold")), "thresholds")
+    return own, None if every is None else every["threshold"]
+
+
+@dataclass(frozen=True)
+class Judge:
+    """What decides: the model, and thresholds by language."""
+
+    model: Model
+    own: DataFrame
+    overall: float | None
+    settings: Settings
+
+    def decide(self, docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[DataFrame, dict[str, str]]:
+        """``docs`` with four columns more; their names in ``docs``'s terms."""
+        names = {n: unused(docs, n) for n in ("log_perplexity", "n_symbols", "threshold", "kept")}
+        scored = score(docs, self.model, names["log_perplexity"], names["n_symbols"], text)
+        of_lang = unused(scored, "_lang")
+        own = self.own.select(F.col("lang").alias(of_lang), F.col("threshold").alias(names["threshold"]))
+        rows = scored.join(checked_broadcast(own), F.col(lang).cast("string").eqNullSafe(F.col(of_lang)), "left").drop(of_lang)
+        rows = rows.withColumn(names["threshold"], F.coalesce(names["threshold"], F.lit(self.overall).cast("double")))
+        excess = (F.col(names["log_perplexity"]) - F.col(names["threshold"])) * F.col(names["n_symbols"])
+        kept = F.col(names["threshold"]).isNull() | (excess <= self.settings.evidence)
+        return rows.withColumn(names["kept"], kept), names
+
+
+def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Judge:
+    """Train on the trusted part of ``docs`` and take the thresholds from its scores."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    trusted = rows.join(checked_broadcast(keep(trusted_ids(labels), "trusted")), "doc_id", "left_semi")
+    model = train(trusted.select("text"))
+    scores = keep(score(trusted, model).select("lang", "log_perplexity"), "scores")
+    return Judge(model, *thresholds(scores, settings), settings)
 
 
 def assess(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, lang, n_symbols, log_perplexity, threshold, kept) of every row of ``docs``."""
-    trusted = keep(trusted_ids(labels), "trusted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model = train(texts.join(checked_broadcast(trusted), "doc_id", "left_semi").select("text"))
-    scores = keep(score(docs, model), "scores")
-    limits = checked_broadcast(thresholds(scores, trusted, settings).withColumnRenamed("lang", "_lang"))
-    rows = scores.join(limits, scores["lang"].eqNullSafe(F.col("_lang")), "left").drop("_lang")
-    excess = (F.col("log_perplexity") - F.col("threshold")) * F.col("n_symbols")
-    return rows.withColumn("kept", F.col("threshold").isNull() | (excess <= settings.evidence))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+    decided, _ = judge(docs, labels, settings).decide(rows)
+    return decided.select("doc_id", "lang", "n_symbols", "log_perplexity", "threshold", "kept")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns."""
+    decided, names = judge(docs, labels, settings).decide(docs)
+    return decided.where(names["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
