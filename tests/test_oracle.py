@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from plexlake.catalog import all_oracles, all_queries
 from tests.oracle_check import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,11 +18,11 @@ def con():
 
 
 def test_only_projection_tables_go_without_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"pca_scores", "pca_components"}
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(all_queries()) - set(all_oracles()) == {"pca_scores", "pca_components"}
+    assert set(all_queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, con, name):
     good, note = compare(spark, con, name, SF_DIR)
     assert good, note
