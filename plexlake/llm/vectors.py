@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexlake.llm import words
-from plexlake.llm.graph import connected_components
+from plexlake.llm.graph import connected_components, roots
 from plexlake.llm.stage import keep
 
 THRESHOLD = 0.98
@@ -109,20 +109,6 @@ def near_pairs(a: Tree, b: Tree, reach: float) -> Iterator[tuple[np.ndarray, np.
         at = upto
 
 
-def _roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Smallest index reachable over the edges, by passing minima and jumping."""
-    root = np.arange(n)
-    while True:
-        least = np.minimum(root[x], root[y])
-        new = root.copy()
-        np.minimum.at(new, x, least)
-        np.minimum.at(new, y, least)
-        new = np.minimum(new, new[new])
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _compare(threshold: float):
     reach = math.sqrt(2 - 2 * threshold) + 1e-7
 
@@ -147,10 +133,10 @@ def _compare(threshold: float):
             np.add.at(links, i, copies[j])
             np.add.at(links, j, copies[i])
             # a spanning set of edges is enough from here on
-            root = _roots(len(ids), np.concatenate([*(e[0] for e in edges), i]), np.concatenate([*(e[1] for e in edges), j]))
+            root = roots(len(ids), np.concatenate([*(e[0] for e in edges), i]), np.concatenate([*(e[1] for e in edges), j]))
             moved = np.flatnonzero(root != np.arange(len(ids)))
             edges = [(moved, root[moved])]
-        root = _roots(len(ids), *edges[0]) if edges else np.arange(len(ids))
+        root = roots(len(ids), *edges[0]) if edges else np.arange(len(ids))
         hit = links > 0
         return pa.table({"id": ids[hit], "root": ids[root[hit]], "links": links[hit]})
 

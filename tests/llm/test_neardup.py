@@ -77,12 +77,12 @@ def test_empty_table_null_ids_and_one_of_each_group(spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("seed", [0, 1])
-def test_components(spark, seed):
+@pytest.mark.parametrize(("seed", "task_links"), [(0, 1_000_000), (1, 1_000_000), (2, 10)])
+def test_components(spark, seed, task_links):
     rng = random.Random(seed)
     pairs = [(i, i + 1) for i in range(40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(40)] + [(7, 7)]
     rng.shuffle(pairs)
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(pairs, "a long, b long"), task_links).collect()}
     want = groups({i for p in pairs for i in p}, pairs)
     assert got == {i: c for i, c in want.items() if any(i in p and p[0] != p[1] for p in pairs)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
