@@ -79,6 +79,24 @@ def annotation_concatenated(spark, sf_dir):
     return annotate.concat_annotation(b.table(spark, sf_dir, "conversations"), "conv_id", ["role", "text"], "turn")
 
 
+@query("""SELECT l_partkey, l_suppkey, s_name AS gene_name, CAST(s_nationkey AS VARCHAR) AS description
+FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_suppkey % 3 <> 0""")
+def peptides_without_match_kept(spark, sf_dir):
+    """A third of the accessions has no record; their rows stay."""
+    rows = b.table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", F.col("l_suppkey").cast("string").alias("good_accession"))
+    records = _suppliers_as_fasta(spark, sf_dir).where("fasta_ord % 3 <> 0")
+    return search.with_records(rows, records).select("l_partkey", "l_suppkey", "gene_name", "description")
+
+
+@query("""SELECT l_partkey, flags, l_linestatus FROM (SELECT DISTINCT l_partkey, l_linestatus FROM lineitem)
+JOIN (SELECT l_partkey, string_agg(l_returnflag, ';' ORDER BY l_orderkey * 8 + l_linenumber, l_returnflag) AS flags FROM lineitem GROUP BY 1) USING (l_partkey)""")
+def annotation_beside_distinct_rows(spark, sf_dir):
+    """Only the named columns are concatenated; a value that repeats in the others appears once."""
+    order = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("o")
+    lines = b.table(spark, sf_dir, "lineitem").select("l_partkey", F.col("l_returnflag").alias("flags"), "l_linestatus", order)
+    return annotate.concat_beside(lines, "l_partkey", ["flags"], ["l_linestatus"], "o")
+
+
 _JOINED = f"""ann AS (SELECT l_partkey AS f, string_agg(l_returnflag, ';' ORDER BY l_orderkey * 8 + l_linenumber, l_returnflag) AS flags FROM lineitem GROUP BY 1),
 vals AS (SELECT DISTINCT l_partkey AS f, {PLEX} AS plex, l_quantity AS v FROM lineitem)"""
 

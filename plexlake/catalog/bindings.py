@@ -34,15 +34,9 @@ _GROUP = "if(l_linenumber = 7, 'POOL', concat('Group', l_returnflag))"
 _EXP_GROUP = "if(l_linenumber = 7, 'POOL', concat('Group ', l_returnflag))"
 
 
-_EXTENTS: dict[tuple[str, str], Extent] = {}
-
-
 def extent(spark: SparkSession, sf_dir: str) -> Extent:
     """Samples, and lines of the largest sample: no feature table has more rows per sample."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _EXTENTS:
-        _EXTENTS[key] = measure(table(spark, sf_dir, "lineitem"), *SAMPLE_COLUMNS)
-    return _EXTENTS[key]
+    return measure(table(spark, sf_dir, "lineitem"), *SAMPLE_COLUMNS)
 
 
 def quantities(spark: SparkSession, sf_dir: str, feature: str = "l_suppkey", measure: str = "l_extendedprice") -> DataFrame:

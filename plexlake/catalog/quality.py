@@ -221,3 +221,16 @@ def combat_corrected(spark, sf_dir):
     batches = materialise(b.samples(spark, sf_dir).select("sample_name", F.col("plex").alias("batch")), "batches")
     rows = materialise(_normalised(spark, sf_dir), "normalised")  # read for the parameters and for the correction
     return batch.combat(rows, batches).select("protein_group", "sample_name", r6("unbatched_intensity"))
+
+
+_ABSENT = "plex1_tmt_a1"  # named in the batch table, not measured
+
+
+@query(with_ctes(_COMBAT.replace("FROM normalised GROUP", f"FROM normalised WHERE sample_name <> '{_ABSENT}' GROUP")) + f"""SELECT x.protein_group, x.sample_name,
+  round(((normalized_intensity - grand) / sqrt(pooled) - g) / sqrt(d) * sqrt(pooled) + grand, 6) AS unbatched_intensity
+FROM normalised x JOIN solved s ON s.protein_group = x.protein_group AND s.batch = x.plex WHERE step = 100 AND sample_name <> '{_ABSENT}'""")
+def combat_without_an_absent_sample(spark, sf_dir):
+    """Batch sizes count measured samples: one that the batch table names beyond them has no weight."""
+    batches = materialise(b.samples(spark, sf_dir).select("sample_name", F.col("plex").alias("batch")), "batches")
+    rows = materialise(_normalised(spark, sf_dir).where(F.col("sample_name") != _ABSENT), "normalised")
+    return batch.combat(rows, batches).select("protein_group", "sample_name", r6("unbatched_intensity"))

@@ -121,6 +121,27 @@ def pca_scores(spark, sf_dir):
     return scores.select("sample_name", "component", r6("score"))
 
 
+@query(with_ctes(_Z) + """SELECT a.sample_name AS sample_a, b.sample_name AS sample_b, round(sum(a.z * b.z), 4) AS g
+FROM zs a JOIN zs b USING (protein_group) GROUP BY 1, 2""")
+def pca_scores_give_back_the_gram_matrix(spark, sf_dir):
+    """Over all components, products of scores add up to the products of the standardised samples."""
+    scores, _ = project.pca(_cells(spark, sf_dir), _names(spark, sf_dir), "intens")
+    a = scores.select(F.col("sample_name").alias("sample_a"), "component", F.col("score").alias("x"))
+    other = scores.select(F.col("sample_name").alias("sample_b"), "component", F.col("score").alias("y"))
+    return a.join(other, "component").groupBy("sample_a", "sample_b").agg(F.round(F.sum(F.col("x") * F.col("y")), 4).alias("g"))
+
+
+@query(with_ctes(_Z) + "SELECT protein_group, sample_name, round(z, 4) AS z FROM zs")
+def pca_loadings_give_back_the_values(spark, sf_dir):
+    """Over all components, score times loading adds up to the standardised value."""
+    names = _names(spark, sf_dir)
+    rows = _cells(spark, sf_dir)
+    scores, components = project.pca(rows, names, "intens")
+    loadings = project.pca_loadings(project.standardise(rows, "intens", len(names)), scores, components, len(names))
+    product = scores.join(loadings, "component").groupBy("protein_group", "sample_name")
+    return product.agg(F.round(F.sum(F.col("score") * F.col("loading")), 4).alias("z"))
+
+
 @query()
 def pca_components(spark, sf_dir):
     _, components = project.pca(_cells(spark, sf_dir), _names(spark, sf_dir), "intens")

@@ -205,7 +205,7 @@ _MULTI_SQL = f"""SELECT CAST(l_suppkey AS VARCHAR) AS protein,
 FROM lineitem GROUP BY 1, 2, 3"""
 
 
-def _multiplicities(spark, sf_dir):
+def _site_table(spark, sf_dir, *halves):
     names = [f"reporter_intensity_corrected_{c}_plex{p}_{m}" for c in range(1, 8) for p in (1, 2) for m in (1, 2, 3)]
     m = F.col("l_returnflag")
     column = F.concat(
@@ -213,10 +213,13 @@ def _multiplicities(spark, sf_dir):
         F.when(F.col("l_linestatus") == "F", "1").otherwise("2"), F.lit("_"),
         F.when(m == "A", "1").when(m == "N", "2").otherwise("3"),
     )
-    cells = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("protein"), column.alias("c")).agg(
-        F.sum("l_extendedprice").alias("v"))
-    wide = cells.groupBy("protein").pivot("c", names).agg(F.first("v"))
-    return reshape.multiplicity_rows(wide)
+    keys = [F.col("l_suppkey").cast("string").alias("protein"), *[F.expr(half).alias("half") for half in halves]]
+    cells = b.table(spark, sf_dir, "lineitem").groupBy(*keys, column.alias("c")).agg(F.sum("l_extendedprice").alias("v"))
+    return cells.groupBy("protein", *["half" for _ in halves]).pivot("c", names).agg(F.first("v"))
+
+
+def _multiplicities(spark, sf_dir):
+    return reshape.multiplicity_rows(_site_table(spark, sf_dir))
 
 
 @query(_MULTI_SQL)
@@ -224,6 +227,21 @@ def multiplicity_to_rows(spark, sf_dir):
     return _multiplicities(spark, sf_dir).select("protein", "sample", "multiplicity", r6("value"))
 
 
+@query("""WITH v AS (SELECT CAST(l_suppkey AS VARCHAR) AS protein, l_orderkey % 2 AS half,
+  '___' || CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS multiplicity, l_linenumber, l_linestatus, sum(l_extendedprice) AS x
+  FROM lineitem GROUP BY ALL),
+rows_ AS (SELECT DISTINCT protein, half, m AS multiplicity FROM v, (VALUES ('___1'), ('___2'), ('___3')) AS t(m))
+SELECT protein, multiplicity, count(x) AS n_values, round(sum(x), 4) AS total
+FROM rows_ LEFT JOIN v USING (protein, half, multiplicity) GROUP BY protein, half, multiplicity""")
+def site_rows_with_equal_ids(spark, sf_dir):
+    """Two rows of every site, told apart by nothing: three multiplicities of each remain."""
+    rows = reshape.multiplicity_wide(_site_table(spark, sf_dir, "l_orderkey % 2").drop("half"))
+    values = [F.col(c) for c in rows.columns if c.startswith("reporter")]
+    n = sum((v.isNotNull().cast("long") for v in values), F.lit(0).cast("long"))
+    total = F.aggregate(F.array(*values), F.lit(0.0), lambda t, v: t + F.coalesce(v, F.lit(0.0)))
+    return rows.select("protein", "multiplicity", n.alias("n_values"), F.when(n > 0, F.round(total, 4)).alias("total"))
+
+
 @query(f"SELECT DISTINCT protein || '_' || sample || multiplicity AS protein_group FROM ({_MULTI_SQL})")
 def site_keys(spark, sf_dir):
     rows = _multiplicities(spark, sf_dir)

@@ -138,8 +138,11 @@ def quantiles_by_counts(
             F.max("w").alias("w"),
             F.min(F.when(F.col("end") > F.col("r0"), F.col("_v"))).alias("v0"),
             F.min(F.when(F.col("end") > F.col("r1"), F.col("_v"))).alias("v1"),
+            (F.min("before") > F.max("r0")).alias("_below"),
         )
-        .withColumn("q", F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("w"))
+        # a sketch that missed its own bound must not pass for a quantile
+        .withColumn("q", F.when(F.col("_below") | F.col("v1").isNull(), F.raise_error(F.lit("a rank lies outside its bracket"))).otherwise(
+            F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("w")))
         .groupBy(*by)
         .agg(*[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"_q{i}") for i in range(len(probs))])
     )

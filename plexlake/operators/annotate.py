@@ -44,6 +44,13 @@ def concat_annotation(
     )
 
 
+def concat_beside(
+    df: DataFrame, key: str, joined: Sequence[str], kept: Sequence[str], order: str, sep: str = ";"
+) -> DataFrame:
+    """Columns ``joined`` concatenated per key, beside every distinct combination of the columns ``kept``."""
+    return concat_annotation(df, key, joined, order, sep).join(df.select(key, *kept).distinct(), key)
+
+
 def join_groups(annotation: DataFrame, values: DataFrame, feature: str) -> DataFrame:
     """Annotation rows x intensity rows of the same feature (m x n where both repeat)."""
     return annotation.join(values, feature)

@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from plexlake.plans.sizing import broadcast_if, rows_up_to
 
 _TOLERANCE = 1e-10
-_MAX_STEPS = 2_000
+_MAX_STEPS = 200_000  # a fixed point that is not reached by then is an error, not a result
 _PRIOR = StructType([StructField("g", DoubleType()), StructField("d", DoubleType())])
 
 
@@ -43,15 +43,19 @@ def _posterior(
     """Posterior location and scale; sums of squares have a closed form in (n, mean, variance)."""
     n, g_hat, d_hat, g_bar, t2, a, b = (s.to_numpy(float) for s in (n, g_hat, d_hat, g_bar, t2, a, b))
     g, d = g_hat.copy(), d_hat.copy()
+    left = np.flatnonzero(~np.isnan(g) & ~np.isnan(d))
     with np.errstate(all="ignore"):
         for _ in range(_MAX_STEPS):
-            g_next = (t2 * n * g_hat + d * g_bar) / (t2 * n + d)
-            ss = (n - 1) * d_hat + n * (g_hat - g_next) ** 2
-            d_next = (0.5 * ss + b) / (n / 2 + a - 1)
-            step = np.fmax(np.abs(g_next - g), np.abs(d_next - d) / d)
-            g, d = g_next, d_next
-            if not np.any(step > _TOLERANCE):
+            if not len(left):
                 break
+            m, hat, scale, old_g, old_d = n[left], g_hat[left], d_hat[left], g[left], d[left]
+            new_g = (t2[left] * m * hat + old_d * g_bar[left]) / (t2[left] * m + old_d)
+            ss = (m - 1) * scale + m * (hat - new_g) ** 2
+            new_d = (0.5 * ss + b[left]) / (m / 2 + a[left] - 1)
+            g[left], d[left] = new_g, new_d
+            left = left[np.fmax(np.abs(new_g - old_g), np.abs(new_d - old_d) / old_d) > _TOLERANCE]
+    if len(left):
+        raise ArithmeticError(f"{len(left)} features have no posterior after {_MAX_STEPS} steps")
     return pd.DataFrame({"g": g, "d": d})
 
 
@@ -64,9 +68,11 @@ def combat_parameters(
     Rabinovic 2007). Features with no variance in some batch get NULL parameters.
     """
     n_batch_rows = rows_up_to(batches) if n_batch_rows is None else n_batch_rows
-    sizes = batches.groupBy("batch").agg(F.count(F.lit(1)).alias("n_b"))
     joined = long.select(feature, "sample_name", value).join(broadcast_if(batches, n_batch_rows), "sample_name")
     v = F.col(value)
+    # samples that are measured, not all that a batch table names
+    measured = joined.select("batch", "sample_name").distinct()
+    sizes = measured.groupBy("batch").agg(F.count(F.lit(1)).alias("n_b"))
     stats = (
         joined.groupBy(feature, "batch")
         .agg(

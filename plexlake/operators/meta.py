@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexlake.functions.scalars import channel_of, plex_of, quoted, sample_or_pool, sheet_sample_number
+from plexlake.functions.scalars import (
+    channel_of,
+    plex_of,
+    quoted,
+    readable_label,
+    replace_words,
+    sample_or_pool,
+    sheet_sample_number,
+)
 from plexlake.plans.sizing import broadcast_if, checked_broadcast
 
 
@@ -63,6 +71,17 @@ def running_number(meta: DataFrame, group: str = "exp_group") -> DataFrame:
     return meta.withColumn("running_number", F.row_number().over(Window.partitionBy(group).orderBy("sample_name")))
 
 
+def readable_names(meta: DataFrame, words: Mapping[str, str] | None = None, ending: str = "number") -> DataFrame:
+    """Add ``label``: the group, its words replaced, with the sample's number or a running one."""
+    named = meta.withColumn("exp_group", replace_words(F.col("exp_group"), words or {}))
+    if ending == "running":
+        number = F.col("running_number").cast("string")
+        return running_number(named).withColumn("label", F.concat_ws("_", "exp_group", number)).drop("running_number")
+    if ending != "number":
+        raise ValueError(f"unknown ending {ending!r}")
+    return named.withColumn("label", readable_label(F.col("exp_group"), F.col("sample_number")))
+
+
 def samples_on_one_side(left: DataFrame, right: DataFrame) -> DataFrame:
     """Sample names that only one of two tables holds, with the side."""
     a, b = left.select("sample_name").distinct(), right.select("sample_name").distinct()

@@ -7,14 +7,17 @@ arithmetic inside the row and move no data.
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from plexlake.functions.quantiles import exact_median, exact_quantiles
 from plexlake.functions.scalars import syntactic_name
@@ -125,18 +128,31 @@ def fit_groups(long: DataFrame, value: str, feature: str = "protein_group") -> D
     )
 
 
-def _contrast_struct(name: str, weights: Mapping[str, float]) -> Column:
-    """logFC and unscaled variance of one contrast; NULL if a needed group was not observed."""
-    used = {g: float(w) for g, w in weights.items() if w != 0}
-    cell = {g: F.try_element_at("groups", F.lit(g)) for g in used}
-    log_fc = sum((F.lit(w) * cell[g]["mean"] for g, w in used.items()), F.lit(0.0))
-    unscaled = sum((F.lit(w * w) / cell[g]["n"] for g, w in used.items()), F.lit(0.0))
-    return F.struct(F.lit(name).alias("contrast"), log_fc.alias("log_fc"), unscaled.alias("unscaled"))
+def _constant(rows: object, schema: str) -> Column:
+    """One literal of any size: parsed once when the plan is optimised, not an expression per number."""
+    return F.from_json(F.lit(json.dumps(rows)), schema)
 
 
 def apply_contrasts(fit: DataFrame, contrasts: Contrasts) -> DataFrame:
-    """Add ``coefs``: one (contrast, log_fc, unscaled) per contrast. Narrow."""
-    return fit.withColumn("coefs", F.array(*[_contrast_struct(c, w) for c, w in contrasts.items()])).drop("groups")
+    """Add ``coefs``: one (contrast, log_fc, unscaled) per contrast. Narrow.
+
+    log_fc and unscaled variance are NULL where a needed group was not observed.
+    """
+    terms = [{"c": c, "t": [{"g": g, "w": float(w)} for g, w in weights.items() if w]} for c, weights in contrasts.items()]
+    table = _constant(terms, "array<struct<c:string,t:array<struct<g:string,w:double>>>>")
+
+    def total(t: Column, part: Callable[[Column, Column], Column]) -> Column:
+        return F.aggregate(t, F.lit(0.0), lambda sum_, x: sum_ + part(x["w"], F.try_element_at("groups", x["g"])))
+
+    coefs = F.transform(
+        table,
+        lambda c: F.struct(
+            c["c"].alias("contrast"),
+            total(c["t"], lambda w, cell: w * cell["mean"]).alias("log_fc"),
+            total(c["t"], lambda w, cell: w * w / cell["n"]).alias("unscaled"),
+        ),
+    )
+    return fit.withColumn("coefs", coefs).drop("groups")
 
 
 def long_coefficients(coefficients: DataFrame) -> DataFrame:
@@ -163,13 +179,20 @@ class VariancePrior:
     s02: float
     df_pooled: float
     n_features: int
+    n_rows: int = 0  # of the whole fit, features without residual degrees of freedom too
+
+    @property
+    def most_rows(self) -> int:
+        """Bound on the rows of one contrast."""
+        return max(self.n_rows, self.n_features)
 
 
 def variance_prior(fit: DataFrame) -> VariancePrior:
     """Moments of log variances (Smyth 2004): two passes of plain aggregates, five numbers back."""
     usable = fit.where("df > 0 and sigma2 is not null").select("df", "sigma2")
     # counting a materialised fit reads file footers only
-    row = exact_median(usable, [], "sigma2", "m", 1, fit.count()).first()
+    n_rows = fit.count()
+    row = exact_median(usable, [], "sigma2", "m", 1, n_rows).first()
     if row is None or row["m"] is None:
         raise ValueError("no feature has residual degrees of freedom")
     floor = _VARIANCE_FLOOR * row["m"]
@@ -184,10 +207,10 @@ def variance_prior(fit: DataFrame) -> VariancePrior:
     ).first()
     excess = (s["var"] or 0.0) - s["trigamma"]
     if excess <= 0:
-        return VariancePrior(math.inf, math.exp(s["mean"]), float(s["df"]), s["n"])
+        return VariancePrior(math.inf, math.exp(s["mean"]), float(s["df"]), s["n"], n_rows)
     df0 = 2 * trigamma_inverse(excess)
     s02 = math.exp(s["mean"] + digamma_value(df0 / 2) - math.log(df0 / 2))
-    return VariancePrior(df0, s02, float(s["df"]), s["n"])
+    return VariancePrior(df0, s02, float(s["df"]), s["n"], n_rows)
 
 
 def posterior_variance(prior: VariancePrior) -> Column:
@@ -238,9 +261,14 @@ def f_statistics(moderated: DataFrame, contrasts: Contrasts, group_sizes: Mappin
     """
     basis, rank = contrast_basis(contrasts, group_sizes)
     names = list(contrasts)
-    t = [F.col("coefs")[i]["t"] for i in range(len(names))]
-    parts = [sum((float(basis[i, j]) * t[i] for i in range(len(names))), F.lit(0.0)) for j in range(rank)]
-    f = sum((p * p for p in parts), F.lit(0.0))
+
+    @F.pandas_udf(DoubleType())
+    def f_of(t: pd.Series) -> pd.Series:
+        rows = np.stack(t.map(lambda v: np.asarray(v, float)).to_list()) if len(t) else np.zeros((0, len(names)))
+        f = ((rows @ basis) ** 2).sum(axis=1)
+        return pd.Series(f).where(~np.isnan(f), None)
+
+    f = f_of(F.transform("coefs", lambda c: c["t"]))
     keep = [c for c in moderated.columns if c not in ("coefs", "n_obs", "df", "sigma2", "s2_post", "df_total")]
     return (
         moderated.withColumn("f", f)
@@ -261,11 +289,11 @@ def effect_prior(rows: DataFrame, prior: VariancePrior, n_contrasts: int, featur
     """
     tested = rows.where(F.col("p_value").isNotNull()).withColumn("abs_t", F.abs("t"))
     per_contrast = Window.partitionBy("contrast")
-    if prior.n_features <= LARGE_GROUP_ROWS:
+    if prior.most_rows <= LARGE_GROUP_ROWS:
         near = tested.withColumn("n_genes", F.count(F.lit(1)).over(per_contrast))
     else:
         cut = exact_quantiles(
-            tested, ["contrast"], "p_value", [_PROPORTION / 2], n_contrasts, prior.n_features
+            tested, ["contrast"], "p_value", [_PROPORTION / 2], n_contrasts, prior.most_rows
         ).select("contrast", F.col("n").alias("n_genes"), F.col("q")[0].alias("cut"))
         joined = tested.join(broadcast_if(cut, n_contrasts), "contrast")
         # the interpolated quantile may fall one rank short of the last wanted row

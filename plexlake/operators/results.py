@@ -95,7 +95,7 @@ def contrast_results(
     prior = model.variance_prior(fit)
     rows = model.moderated_t(model.moderate(model.apply_contrasts(fit, contrasts), prior))
     rows = materialise(model.log_odds(rows, prior, len(contrasts), feature), "contrasts")
-    rows = adjust_bh(rows, by=["contrast"], group_rows=prior.n_features, n_groups=len(contrasts))
+    rows = adjust_bh(rows, by=["contrast"], group_rows=prior.most_rows, n_groups=len(contrasts))
     table = rows.select(feature, "contrast", "log_fc", "ave_expr", "t", "p_value", "adj_p_value", "b")
     return attach_annotation(table, annotation, feature) if annotation is not None else table
 
@@ -109,7 +109,7 @@ def overall_results(
         return contrast_results(fit, contrasts, annotation, feature)
     prior = model.variance_prior(fit)
     moderated = model.moderate(model.apply_contrasts(fit, contrasts), prior)
-    table = adjust_bh(model.f_statistics(moderated, contrasts, group_sizes), group_rows=prior.n_features)
+    table = adjust_bh(model.f_statistics(moderated, contrasts, group_sizes), group_rows=prior.most_rows)
     return attach_annotation(table, annotation, feature) if annotation is not None else table
 
 

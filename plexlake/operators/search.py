@@ -155,6 +155,11 @@ def fill_accessions(peptides: DataFrame, fasta: DataFrame, sequence: str = "pept
     )
 
 
+def with_records(df: DataFrame, fasta: DataFrame, key: str = "good_accession", mode: str = "exact") -> DataFrame:
+    """``df`` with gene name and description of its key's record; rows without one stay, with NULL."""
+    return df.join(lookup_accessions(df, fasta, key, mode), key, "left")
+
+
 def lookup_accessions(keys: DataFrame, fasta: DataFrame, key: str = "good_accession", mode: str = "exact") -> DataFrame:
     """Distinct keys with gene name and description of the first matching record.
 

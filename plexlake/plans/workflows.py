@@ -9,19 +9,24 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plexlake.functions import scalars
-from plexlake.operators import annotate, batch, clean, meta, model, normalize, project, qc, reshape, results, search
+from plexlake.operators import annotate, batch, checks, clean, meta, model, normalize, project, qc, reshape, results, search
 from plexlake.plans.session import materialise
 from plexlake.plans.sizing import broadcast_if, measure
 from plexlake.sources import columns, tables
 from plexlake.sources.fasta import read_fasta
 
 FEATURE = "protein_group"
+# What a site table says of a site besides its intensities.
+SITE_IDS = (
+    "Protein", "Positions within proteins", "Gene names", "Fasta headers", "Localization prob", "Amino acid",
+    "Position in peptide", "PEP", "Score", "Sequence window", "Phospho (STY) Probabilities",
+)
 
 
 @dataclass(frozen=True)
@@ -31,6 +36,7 @@ class Features:
     wide: DataFrame  # feature id, annotation columns, one column per sample
     samples: list[str]
     annotation: DataFrame
+    checks: Mapping[str, DataFrame] = field(default_factory=dict)  # rows in breach, by name
 
 
 @dataclass(frozen=True)
@@ -49,6 +55,8 @@ class Settings:
     neighbours: int = 3
     significance: float = 0.01
     keep_pools: bool = True
+    words: Mapping[str, str] = field(default_factory=dict)  # replaced in the names of groups and samples
+    label: str = "number"  # readable sample names end in the sample's number, or in a "running" one per group
 
 
 # --- entries ----------------------------------------------------------------------------
@@ -107,35 +115,67 @@ def modified_peptides_csv(
     df = df.withColumn("good_accession", scalars.accession_head(F.col("accession"))).withColumn(
         "uniprot_id", scalars.accession_tail(F.col("accession"))
     )
-    df = df.join(search.lookup_accessions(df, records, mode=lookup), "good_accession")
+    df = search.with_records(df, records, mode=lookup)
     df = clean.remove_contaminants(df.withColumn(FEATURE, F.col("peptide")), contaminants, "good_accession")
-    texts = ["peptide", "peptide_seq", "good_accession", "gene_name", "description", "uniprot_id"]
-    return _grouped(materialise(df, "annotated"), samples, texts, "_ord")
+    df = materialise(df, "annotated")
+    described = peptide_annotation(df, "_ord")
+    unmatched = df.where("gene_name IS NULL AND description IS NULL").select(FEATURE, "good_accession").distinct()
+    found = {"unmatched_peptides": unmatched, "repeated_annotation": checks.duplicate_keys(described, [FEATURE])}
+    values = annotate.collapse_redundant(df, FEATURE, samples)
+    return Features(annotate.join_groups(described, values, FEATURE), samples, described, found)
+
+
+def peptide_annotation(df: DataFrame, order: str) -> DataFrame:
+    """Accessions and peptides of a group joined in order, the other columns as they are: distinct rows."""
+    names = df.withColumn("accession", F.col("good_accession"))
+    others = ["peptide_seq", "good_accession", "gene_name", "description", "uniprot_id"]
+    return annotate.concat_beside(names, FEATURE, ["accession", "peptide"], others, order)
 
 
 def clean_sites(
-    spark: SparkSession, path: str, kit: str, n_plex: int, minimum: float = 0.5,
-    ids: Sequence[str] = ("Protein", "Positions within proteins", "Gene names", "Localization prob"),
+    spark: SparkSession, path: str, kit: str, n_plex: int, minimum: float = 0.5, ids: Sequence[str] = SITE_IDS,
 ) -> Features:
-    """Modification sites: multiplicity columns become rows, weak and empty sites go."""
+    """Modification sites: multiplicity columns become rows, weak and empty sites go.
+
+    Id columns that the file lacks are left out, except the three that name a site and rate it.
+    """
     flags = ("Reverse", "Potential contaminant", "Only identified by site")
     df = tables.read_tsv(spark, path, quote="")
-    df = columns.clean_columns(columns.select_columns(df, ids, columns.REPORTER_PATTERN, flags), strip="")
+    needed = ("Protein", "Positions within proteins", "Localization prob")
+    present = [c for c in ids if c in df.columns or c in needed]
+    df = columns.clean_columns(columns.select_columns(df, present, columns.REPORTER_PATTERN, flags), strip="")
     df = df.withColumn("localization_prob", F.col("localization_prob").try_cast("double"))
     df = clean.confident_sites(clean.drop_flagged(df), minimum=minimum)
     values = [c for c in df.columns if c.startswith("reporter_intensity_corrected")]
-    rows = reshape.multiplicity_rows(columns.zero_to_null_columns(df, values))
     labels = [columns.snake_case(n).replace("intensity_", "") for n in columns.reporter_names(kit, n_plex)]
     found = {tuple(map(int, re.findall(r"_(\d+)_plex(\d+)_", c)[0])) for c in values}
     order = sorted(found, key=lambda channel_plex: channel_plex[::-1])
     if len(order) != len(labels):
         raise ValueError(f"{len(order)} reporter columns found, {kit} x {n_plex} plexes needs {len(labels)}")
     names = {f"reporter_intensity_corrected_{c}_plex{p}": label for (c, p), label in zip(order, labels, strict=True)}
+    wide = reshape.multiplicity_wide(columns.zero_to_null_columns(df, values)).withColumnsRenamed(names)
     key = scalars.site_key(F.col("protein"), F.col("positions_within_proteins"), F.col("multiplicity"))
-    id_columns = [c for c in rows.columns if c not in ("sample", "value")]
-    wide = rows.groupBy(*id_columns).pivot("sample", list(names)).agg(F.first("value")).withColumnsRenamed(names)
     wide = clean.drop_all_missing(wide, labels).withColumn(FEATURE, key)
-    return Features(wide, labels, annotate.annotation_dimension(wide, [FEATURE, *id_columns]))
+    return site_features(wide, labels)
+
+
+def site_features(wide: DataFrame, samples: Sequence[str]) -> Features:
+    """Features of a cleaned site table, as it comes from :func:`clean_sites` or was read back."""
+    described = [FEATURE, *[c for c in wide.columns if c not in samples and c != FEATURE]]
+    annotation = annotate.annotation_dimension(wide, described)
+    found = {"repeated_sites": checks.duplicate_keys(wide, [FEATURE]), "repeated_annotation": checks.duplicate_keys(annotation, [FEATURE])}
+    return Features(wide, list(samples), annotation, found)
+
+
+def write_sites(features: Features, path: str) -> None:
+    """The cleaned site table as a TSV file set."""
+    tables.write_tsv(features.wide, path)
+
+
+def cleaned_sites_tsv(spark: SparkSession, path: str) -> Features:
+    """The entry for a site table that :func:`write_sites` wrote."""
+    df = tables.read_tsv(spark, path, numeric=r"^plex[0-9]", quote="")
+    return site_features(df, columns.plex_columns(df))
 
 
 # --- shared pipeline --------------------------------------------------------------------
@@ -200,8 +240,15 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
     fit = materialise(model.fit_groups(rows, value), "fit")
     overall = materialise(results.overall_results(fit, contrasts, sizes, features.annotation), "overall")
     by_contrast = results.contrast_results(fit, contrasts, features.annotation)
-    labels = used.withColumn("label", scalars.readable_label(F.col("exp_group"), F.col("sample_number")))
+    labels = meta.readable_names(used, settings.words, settings.label)
+    matrix = reshape.expression_matrix(after, samples, value)
+    breaches = {
+        **features.checks,
+        "unmapped_samples": checks.unmapped_samples(long, metadata),
+        "samples_on_one_side": meta.samples_on_one_side(long, metadata),
+    }
     return {
+        **{f"check_{name}": rows for name, rows in breaches.items()},
         "metadata": meta.order_by_group(metadata),
         "long": described,
         "boxes_raw": qc.box_statistics(long, "intens", size),
@@ -217,10 +264,12 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
         "pca_components": components_after,
         "neighbours": project.nearest_neighbours(distances, settings.neighbours),
         "sample_labels": labels,
-        "expression_matrix": reshape.expression_matrix(after, samples, value),
+        "expression_matrix": matrix,
+        "readable_matrix": reshape.rename_samples(matrix, labels),
         "contrasts": model.contrast_table(spark, contrasts),
         "overall": results.ranked(overall),
         "by_contrast": by_contrast,
+        "by_contrast_with_values": by_contrast.join(reshape.rename_samples(matrix, labels), FEATURE, "left"),
         "heat_map": results.heat_map(overall, after, used, value, settings.significance, n_samples=n_meta),
     }
 

@@ -12,12 +12,19 @@ def read_fasta(spark: SparkSession, path: str, species_token: str = "MOUSE") ->
     """(header, sequence, description, gene_name, accession, fasta_ord).
 
     The text source splits on the record mark itself, so files are read in
-    parallel and a record is never cut. ``fasta_ord`` rises in file order.
+    parallel and a record is never cut. ``fasta_ord`` is (file, place in it): it rises along each
+    file, files by path, whatever way they are packed into tasks.
     """
     record = F.regexp_replace(F.regexp_replace("value", "\r", ""), "^>", "")
     lines = (
         spark.read.option("lineSep", "\n>").text(path)
-        .select(record.alias("r"), F.monotonically_increasing_id().alias("fasta_ord"))
+        .select(
+            record.alias("r"),
+            F.struct(
+                F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("row"),
+            ).alias("fasta_ord"),
+        )
         .where(F.trim("r") != "")
     )
     header = F.concat(F.lit(">"), F.substring_index("r", "\n", 1))

@@ -21,21 +21,31 @@ def cast_numeric(df: DataFrame, pattern: str) -> DataFrame:
     )
 
 
-def _read(spark: SparkSession, path: str, sep: str, numeric: str | None, quote: str | None) -> DataFrame:
+def _read(
+    spark: SparkSession, path: str, sep: str, numeric: str | None, quote: str | None, strict: bool = True, multi_line: bool = False
+) -> DataFrame:
+    """Rows with too few or too many fields end the read when ``strict``; else they are padded or cut."""
     reader = spark.read.option("sep", sep).option("header", True).option("escape", '"')
+    reader = reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").option("multiLine", multi_line)
     if quote is not None:
         reader = reader.option("quote", quote)
     df = reader.csv(path)
     return cast_numeric(df, numeric) if numeric else df
 
 
-def read_tsv(spark: SparkSession, path: str, numeric: str | None = r"(?i)intensity", quote: str | None = None) -> DataFrame:
+def read_tsv(
+    spark: SparkSession, path: str, numeric: str | None = r"(?i)intensity", quote: str | None = None, strict: bool = True,
+    multi_line: bool = False,
+) -> DataFrame:
     """Tab-separated export; ``quote=""`` turns quoting off as for site tables."""
-    return _read(spark, path, "\t", numeric, quote)
+    return _read(spark, path, "\t", numeric, quote, strict, multi_line)
 
 
-def read_csv(spark: SparkSession, path: str, numeric: str | None = r"(?i)intensity") -> DataFrame:
-    return _read(spark, path, ",", numeric, None)
+def read_csv(
+    spark: SparkSession, path: str, numeric: str | None = r"(?i)intensity", strict: bool = True, multi_line: bool = False
+) -> DataFrame:
+    """Comma-separated export; ``multi_line`` is for quoted line breaks and reads a file in one task."""
+    return _read(spark, path, ",", numeric, None, strict, multi_line)
 
 
 def read_channel_map(spark: SparkSession, path: str) -> DataFrame:
@@ -55,9 +65,13 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.write.option("sep", "\t").option("header", True).csv(path)
 
 
-def write_by_contrast(df: DataFrame, path: str) -> None:
-    """One folder per contrast."""
-    df.write.partitionBy("contrast").parquet(path)
+def write_by_contrast(df: DataFrame, path: str, rows_per_file: int = 5_000_000, tsv: bool = False) -> None:
+    """One folder per contrast, in few files: rows are dealt by contrast, large contrasts over several tasks."""
+    writer = df.hint("rebalance", "contrast").write.option("maxRecordsPerFile", rows_per_file).partitionBy("contrast")
+    if tsv:
+        writer.option("sep", "\t").option("header", True).csv(path)
+    else:
+        writer.parquet(path)
 
 
 def export_matrix(long: DataFrame, samples: list[str], value: str, path: str, feature: str = "protein_group") -> None:

@@ -200,3 +200,19 @@ def test_group_join_is_m_by_n_and_reported(spark):
     assert rows(checks.ambiguous_groups(df.select("f", "x"), values, "f")) == [("g", 3, 2)]
     assert rows(checks.key_is_unique(df, "f")) == [(4, 2, False)]
     assert rows(checks.duplicate_keys(df, ["f"])) == [("g", 3)]
+
+
+def test_rows_of_the_wrong_width_end_a_strict_read(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("a\tb\tIntensity x\n1\t2\t3\n4\t5\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.read_tsv(spark, str(tmp_path / "t.tsv")).collect()
+    assert tables.read_tsv(spark, str(tmp_path / "t.tsv"), strict=False).count() == 2
+    (tmp_path / "t.csv").write_text('a,b\n"x\ny",2\n')
+    assert [r["a"] for r in tables.read_csv(spark, str(tmp_path / "t.csv"), multi_line=True).collect()] == ["x\ny"]
+
+
+def test_records_are_ordered_by_file_whatever_their_sizes(spark, tmp_path):
+    (tmp_path / "a.fasta").write_text(">sp|A|X d OS=Mus\nAA\n")
+    (tmp_path / "b.fasta").write_text("".join(f">sp|B{i}|X d OS=Mus\nCC\n" for i in range(2000)))
+    first = read_fasta(spark, str(tmp_path)).orderBy("fasta_ord").select("accession").head(3)
+    assert [r["accession"].split("|")[0] for r in first] == ["A", "B0", "B1"]

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plexlake.operators import model
+from plexlake.operators import batch, meta, model
 from plexlake.plans import workflows as w
 from plexlake.sources.columns import CHANNELS
 from plexlake.sources.fasta import read_fasta
@@ -177,3 +177,70 @@ def test_modification_sites(spark, tmp_path):
     out = w.quantify(features, meta, w.Settings())
     check_results(out, ["P0_10___1", "P0_10___2", "P1_11___1"], len(keys))
     assert math.isfinite(out["by_contrast"].agg(F.max("b")).first()[0])
+
+
+def test_site_rows_with_equal_ids_stay_apart(spark, tmp_path):
+    columns = [f"Reporter intensity corrected {c} plex1___{m}" for c in range(1, 7) for m in (1, 2, 3)]
+    flags = ["Reverse", "Potential contaminant", "Only identified by site"]
+    head = ["Protein", "Positions within proteins", "Gene names", "Fasta headers", "Localization prob", "PEP", *columns, *flags]
+    rows = [["P1", "10", "G1", "h", "0.99", "0.1", *[str(100 * k + i + 1) for i in range(18)], "", "", ""] for k in (1, 2)]
+    path = tmp_path / "sites.txt"
+    path.write_text("\n".join("\t".join(r) for r in [head, *rows]) + "\n")
+    features = w.clean_sites(spark, str(path), KIT, 1)
+    assert features.wide.count() == 6
+    assert {(r["protein_group"], r["n_rows"]) for r in features.checks["repeated_sites"].collect()} == {(f"P1_10___{m}", 2) for m in (1, 2, 3)}
+    assert {"fasta_headers", "pep"} <= set(features.annotation.columns)
+    w.write_sites(features, str(tmp_path / "cleaned"))
+    back = w.cleaned_sites_tsv(spark, str(tmp_path / "cleaned"))
+    assert back.samples == features.samples
+    key = lambda f: sorted(tuple(r[s] for s in f.samples) for r in f.wide.collect())
+    assert key(back) == key(features)
+
+
+def test_peptides_without_a_record_stay_and_are_reported(spark, tmp_path):
+    (tmp_path / "db.fasta").write_text(">sp|S1|N1_MOUSE Protein 1 OS=Mus musculus GN=Gn1 PE=1\nAAAAACCCCCDDDDD\n")
+    (tmp_path / "cont.fasta").write_text(">sp|S9|X_MOUSE Keratin OS=Mus\nAAA\n")
+    names = [f"Intensity TMTset1 {KIT}-{c.upper()}" for c in CHANNELS[KIT]]
+    values = [["1"] * 6, ["2"] * 6, ["3"] * 6, ["3"] * 6]
+    peptides = [("AAAAAC", "S1|N1_MOUSE"), ("WWWWWW", ""), ("CCCDD", "S1|N1_MOUSE"), ("CCCDD", "S1|N1_MOUSE")]
+    lines = [",".join(["Peptide", "Accession", *names]), *[",".join([p, a, *v]) for (p, a), v in zip(peptides, values)]]
+    (tmp_path / "peptides.csv").write_text("\n".join(lines) + "\n")
+    contaminants = read_fasta(spark, str(tmp_path / "cont.fasta"))
+    features = w.modified_peptides_csv(spark, str(tmp_path / "peptides.csv"), str(tmp_path / "db.fasta"), contaminants)
+    assert sorted(r["protein_group"] for r in features.wide.collect()) == ["AAAAAC", "CCCDD", "WWWWWW"]
+    assert [r["protein_group"] for r in features.checks["unmatched_peptides"].collect()] == ["WWWWWW"]
+    twice = features.annotation.where("protein_group = 'CCCDD'").collect()
+    assert [(r["accession"], r["peptide"], r["gene_name"], r["description"]) for r in twice] == [("S1;S1", "CCCDD;CCCDD", "Gn1", "Protein 1")]
+
+
+def test_batch_sizes_count_measured_samples(spark):
+    rng = random.Random(8)
+    rows = [(f"f{i}", f"s{k}", rng.gauss(10 + (k > 2), 1)) for i in range(30) for k in range(6)]
+    long = spark.createDataFrame(rows, "protein_group string, sample_name string, normalized_intensity double")
+    batches = [(f"s{k}", "one" if k <= 2 else "two") for k in range(6)]
+    extra = [(f"absent{k}", "one") for k in range(4)]
+    out = []
+    for table in (batches, batches + extra):
+        done = batch.combat(long, spark.createDataFrame(table, "sample_name string, batch string"))
+        out.append({(r["protein_group"], r["sample_name"]): r["unbatched_intensity"] for r in done.collect()})
+    assert out[0] == pytest.approx(out[1])
+
+
+def test_readable_names(spark):
+    table = spark.createDataFrame([("a", "g1", "Control old", "s_1"), ("b", "g1", "Control old", "s_7"), ("c", "g2", "KO", "s_2")],
+                                  "sample_name string, group_number string, exp_group string, sample_number string")
+    label = lambda **k: [r["label"] for r in meta.readable_names(table, {"Control": "Ct"}, **k).orderBy("sample_name").collect()]
+    assert label() == ["Ct old_1", "Ct old_7", "KO_2"] and label(ending="running") == ["Ct old_1", "Ct old_2", "KO_1"]
+
+
+def test_many_contrasts_plan_and_run(spark):
+    """100 groups, all pairs: the weights are one constant, not an expression each."""
+    groups = [f"g{i}" for i in range(100)]
+    contrasts = model.pairwise_contrasts(groups)
+    rows = [(f"f{k}", g, float(hash((k, i, g)) % 97)) for k in range(3) for g in groups for i in range(2)]
+    long = spark.createDataFrame(rows, "protein_group string, exp_group string, v double")
+    coefs = model.long_coefficients(model.apply_contrasts(model.fit_groups(long, "v"), contrasts))
+    assert coefs.count() == 3 * 4950
+    one = coefs.where("protein_group = 'f1' AND contrast = 'g3_vs_g50'").first()
+    mean = lambda g: sum(v for f, h, v in rows if f == "f1" and h == g) / 2
+    assert one["log_fc"] == pytest.approx(mean("g3") - mean("g50")) and one["unscaled"] == pytest.approx(1.0)
