@@ -87,14 +87,16 @@ def ranked(results: DataFrame, p: str = "p_value", feature: str = "protein_group
 
 def contrast_results(
     fit: DataFrame, contrasts: model.Contrasts, annotation: DataFrame | None = None, feature: str = "protein_group",
+    prior: model.VariancePrior | None = None,
 ) -> DataFrame:
     """Per contrast and feature: log_fc, ave_expr, t, p_value, adj_p_value, b, with annotation.
 
     ``fit`` should be materialised: prior and tables read it several times.
     """
-    prior = model.variance_prior(fit)
-    rows = model.moderated_t(model.moderate(model.apply_contrasts(fit, contrasts), prior))
-    rows = materialise(model.log_odds(rows, prior, len(contrasts), feature), "contrasts")
+    prior = prior or model.variance_prior(fit)
+    # written before ranks and odds read it several times: each p-value is worked out once
+    rows = materialise(model.moderated_t(model.moderate(model.apply_contrasts(fit, contrasts), prior)), "contrasts")
+    rows = model.log_odds(rows, prior, len(contrasts), feature)
     rows = adjust_bh(rows, by=["contrast"], group_rows=prior.most_rows, n_groups=len(contrasts))
     table = rows.select(feature, "contrast", "log_fc", "ave_expr", "t", "p_value", "adj_p_value", "b")
     return attach_annotation(table, annotation, feature) if annotation is not None else table
@@ -102,12 +104,12 @@ def contrast_results(
 
 def overall_results(
     fit: DataFrame, contrasts: model.Contrasts, group_sizes: Mapping[str, int],
-    annotation: DataFrame | None = None, feature: str = "protein_group",
+    annotation: DataFrame | None = None, feature: str = "protein_group", prior: model.VariancePrior | None = None,
 ) -> DataFrame:
     """The table over all contrasts. With one contrast it is that contrast's own table."""
     if len(contrasts) == 1:
-        return contrast_results(fit, contrasts, annotation, feature)
-    prior = model.variance_prior(fit)
+        return contrast_results(fit, contrasts, annotation, feature, prior)
+    prior = prior or model.variance_prior(fit)
     moderated = model.moderate(model.apply_contrasts(fit, contrasts), prior)
     table = adjust_bh(model.f_statistics(moderated, contrasts, group_sizes), group_rows=prior.most_rows)
     return attach_annotation(table, annotation, feature) if annotation is not None else table

@@ -36,15 +36,33 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if configured:
         return configured
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all machines share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="plexlake-"))
     return context.getCheckpointDir()
 
 
+_made: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing there is reused or cleared."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, until :func:`remove_stages`."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_stages(spark: SparkSession) -> int:
+    """Delete what this application wrote below the shared folder, once no result that reads it is needed.
+
+    Only paths handed out by :func:`scratch_path` go; how many of them there were.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    gone = 0
+    for name in _made.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:

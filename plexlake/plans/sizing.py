@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of the narrow tables used here stay below ~100 bytes, so this is ~20 MB at most.
+# A table is broadcast only below both bounds.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def rows_up_to(df: DataFrame, limit: int = BROADCAST_ROWS) -> int:
@@ -21,22 +22,36 @@ def broadcast_if(df: DataFrame, n_rows: int | None, limit: int = BROADCAST_ROWS)
     return F.broadcast(df) if n_rows is not None and n_rows <= limit else df
 
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Count ``df`` (bounded) and hint a broadcast only when it is small.
+def _row_bytes(df: DataFrame) -> Column:
+    """About what a row takes: texts by their length, nested values by that of their JSON, the rest eight bytes."""
+    total = F.lit(8 * len(df.columns))
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if field.dataType.typeName() in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(column), F.lit(0))
+        elif field.dataType.typeName() in ("array", "map", "struct"):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return total
 
-    Beyond the limit the caller's join runs as a shuffled join, where AQE splits
+
+def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Measure ``df`` (bounded) and hint a broadcast only when it is small in rows and in bytes.
+
+    Beyond the limits the caller's join runs as a shuffled join, where AQE splits
     skewed partitions.
     """
-    return broadcast_if(df, rows_up_to(df, limit), limit)
+    rows, size = df.limit(limit + 1).agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
+    return F.broadcast(df) if rows <= limit and (size or 0) <= most_bytes else df
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small input over all cores before heavy work in Python.
 
-    Input of a real size has more partitions than cores and is left where it is.
+    Input of a real size comes in more files than cores and is left where it is; so is what does not
+    come from files, as a shuffle has dealt it out already.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
 # Above this many rows in one group the built-in percentile is replaced by passes of counts.

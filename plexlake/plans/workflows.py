@@ -196,9 +196,11 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
     medians = qc.flag_high_medians(qc.sample_medians(long, "intens", size))
     flagged = qc.flag_maximum(qc.attach_samples(long, medians, size), "intens", size)
     described = meta.attach_metadata(flagged, metadata, n_meta)
-    completeness = qc.completeness(described)
-    detected = qc.detected_features(described)
-    missing = qc.missing_per_feature(described)
+    plain = meta.attach_metadata(long, metadata, n_meta)  # without the medians and flags, which these do not need
+    completeness = qc.completeness(plain)
+    detected = qc.detected_features(plain)
+    missing = qc.missing_per_feature(plain)
+    of_sample = lambda table: meta.attach_metadata(table, metadata, n_meta)
 
     kept = clean.remove_samples(described.drop("high", "is_max"), settings.removed_samples)
     normalised = normalize.shift_to_median(kept, median_all)
@@ -238,8 +240,9 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
     contrasts = model.reverse_contrasts(contrasts, settings.reversed_contrasts)
     model.check_contrasts(contrasts, list(sizes))
     fit = materialise(model.fit_groups(rows, value), "fit")
-    overall = materialise(results.overall_results(fit, contrasts, sizes, features.annotation), "overall")
-    by_contrast = results.contrast_results(fit, contrasts, features.annotation)
+    prior = model.variance_prior(fit)
+    overall = materialise(results.overall_results(fit, contrasts, sizes, features.annotation, prior=prior), "overall")
+    by_contrast = results.contrast_results(fit, contrasts, features.annotation, prior=prior)
     labels = meta.readable_names(used, settings.words, settings.label)
     matrix = reshape.expression_matrix(after, samples, value)
     breaches = {
@@ -254,13 +257,15 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
         "boxes_raw": qc.box_statistics(long, "intens", size),
         "boxes_normalised": qc.box_statistics(filled, "normalized_intensity", size),
         "boxes_unbatched": qc.box_statistics(unbatched, value, size),
-        "completeness": completeness,
-        "detected": detected,
+        "completeness": of_sample(completeness),
+        "mean_completeness": qc.mean_line(completeness, "completeness"),
+        "detected": of_sample(detected),
+        "mean_detected": qc.mean_line(detected, "n_detected"),
         "missing_histogram": qc.missing_histogram(missing),
         "processed": unbatched,
-        "pca_scores_normalised": scores_before,
+        "pca_scores_normalised": of_sample(scores_before),
         "pca_components_normalised": components_before,
-        "pca_scores": scores_after,
+        "pca_scores": of_sample(scores_after),
         "pca_components": components_after,
         "neighbours": project.nearest_neighbours(distances, settings.neighbours),
         "sample_labels": labels,
