@@ -63,14 +63,19 @@ class Tree:
         order = np.argsort(node, kind="stable")
         borders = np.searchsorted(node[order], np.arange(len(centres) + 1))
         for k, centre in enumerate(centres.tolist()):
-            left = order[borders[k] : borders[k + 1]]
-            while len(left):
-                near = ((self.points[left] - self.points[centre]) ** 2).sum(axis=1) <= radius * radius
-                new_node[left[near]] = len(new_centres)
-                new_centres.append(centre)
+            members = order[borders[k] : borders[k + 1]]
+            points, open_ = self.points[members], np.ones(len(members), bool)
+            at = int(np.flatnonzero(members == centre)[0])
+            while True:
+                near = open_ & (points @ points[at] >= 1 - radius * radius / 2)
+                near[at] = True  # whatever rounding says
+                new_node[members[near]] = len(new_centres)
+                new_centres.append(int(members[at]))
                 parents.append(k)
-                left = left[~near]
-                centre = int(left[0]) if len(left) else centre
+                open_ &= ~near
+                if not open_.any():
+                    break
+                at = int(open_.argmax())
         return np.array(new_centres), np.array(parents), new_node
 
 
