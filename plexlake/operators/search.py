@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from plexlake.plans.session import materialise
-from plexlake.plans.sizing import BROADCAST_ROWS, broadcast_if, checked_broadcast, spread
+from plexlake.plans.sizing import BROADCAST_BYTES, BROADCAST_ROWS, checked_broadcast, spread
 
 _MAX_K = 12
 _BASE = np.uint64(1_000_003)
@@ -98,38 +98,55 @@ def _query_anchor(classes: dict[int, int]):
     return anchor
 
 
-def contains_pairs(
-    queries: DataFrame, query: str, texts: DataFrame, text: str, text_id: str, broadcast_limit: int = BROADCAST_ROWS
-) -> DataFrame:
-    """(<query>, <text_id>) for every distinct non-empty query and every text that contains it.
-
-    ``text_id`` must be unique. Up to ``broadcast_limit`` queries are broadcast and the
-    texts are scanned once without a shuffle. Beyond it, anchors and ids are shuffled
-    (AQE splits hot anchors) and texts are fetched again only for candidates.
-    """
+def _hits(
+    queries: DataFrame, query: str, texts: DataFrame, text: str, text_id: str, broadcast_limit: int
+) -> tuple[DataFrame, bool]:
+    """(<query>, <text_id>) of every verified hit, and whether a pair may come several times."""
     wanted = queries.select(F.col(query).alias("_q")).where(F.length("_q") > 0).distinct()
     cls = F.floor(F.log2(F.length("_q"))).cast("long")
-    bounds = wanted.groupBy(cls.alias("class")).agg(F.min(F.length("_q")).alias("shortest"), F.count("*").alias("n")).collect()
+    bounds = wanted.groupBy(cls.alias("class")).agg(
+        F.min(F.length("_q")).alias("shortest"), F.count("*").alias("n"), F.sum(F.octet_length("_q")).alias("bytes")
+    ).collect()
     classes = {r["class"]: r["shortest"] for r in bounds}  # one entry per power of two
-    n_queries = sum(r["n"] for r in bounds)
     if not classes:
-        return texts.where(F.lit(False)).select(F.col(text).alias(query), text_id)
+        return texts.where(F.lit(False)).select(F.col(text).alias(query), text_id), False
+    small = sum(r["n"] for r in bounds) <= broadcast_limit and sum(r["bytes"] for r in bounds) <= BROADCAST_BYTES
     wanted = wanted.select("_q", _query_anchor(classes)(F.col("_q"), cls).alias("anchor"))
     sources = texts.select(F.col(text_id).alias("_id"), F.col(text).alias("_t"))
     anchors = _text_anchors(classes)(F.col("_t"))
-    if n_queries <= broadcast_limit:
+    if small:
         hits = (
             spread(sources)
             .select("_id", "_t", F.explode(anchors).alias("anchor"))
-            .join(broadcast_if(wanted, n_queries, broadcast_limit), "anchor")
+            .join(F.broadcast(wanted), "anchor")
             .where(F.contains("_t", "_q"))
-            .select("_q", "_id")
-            .distinct()
         )
     else:
+        wanted = materialise(wanted, "queries")  # a plain scan, so that AQE can split a hot anchor on either side
         candidates = spread(sources).select("_id", F.explode(anchors).alias("anchor")).join(wanted, "anchor").select("_q", "_id").distinct()
-        hits = candidates.join(sources, "_id").where(F.contains("_t", "_q")).select("_q", "_id")
-    return hits.select(F.col("_q").alias(query), F.col("_id").alias(text_id))
+        hits = candidates.join(sources, "_id").where(F.contains("_t", "_q"))
+    return hits.select(F.col("_q").alias(query), F.col("_id").alias(text_id)), small
+
+
+def contains_pairs(
+    queries: DataFrame, query: str, texts: DataFrame, text: str, text_id: str, broadcast_limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """(<query>, <text_id>) for every distinct non-empty query and every text that contains it.
+
+    ``text_id`` must be unique. Up to ``broadcast_limit`` queries of bounded size are broadcast and the
+    texts are scanned once without a shuffle. Beyond it, anchors and ids are shuffled
+    (AQE splits hot anchors) and texts are fetched again only for candidates.
+    """
+    hits, repeated = _hits(queries, query, texts, text, text_id, broadcast_limit)
+    return hits.distinct() if repeated else hits
+
+
+def first_containing(
+    queries: DataFrame, query: str, texts: DataFrame, text: str, text_id: str, broadcast_limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """(<query>, <text_id>) of the first text that contains it; tasks keep one text per query, never the pairs."""
+    hits, _ = _hits(queries, query, texts, text, text_id, broadcast_limit)
+    return hits.groupBy(query).agg(F.min(text_id).alias(text_id))
 
 
 def first_match(pairs: DataFrame, query: str, text_id: str) -> DataFrame:
@@ -143,8 +160,7 @@ def fill_accessions(peptides: DataFrame, fasta: DataFrame, sequence: str = "pept
     NULL where no protein does.
     """
     missing = F.coalesce(F.col(accession), F.lit("")) == ""
-    pairs = contains_pairs(peptides.where(missing).select(sequence), sequence, fasta, "sequence", "fasta_ord")
-    first = first_match(pairs, sequence, "fasta_ord")
+    first = first_containing(peptides.where(missing).select(sequence), sequence, fasta, "sequence", "fasta_ord")
     found = first.join(fasta.select("fasta_ord", F.col("accession").alias("_found")), "fasta_ord").select(sequence, "_found")
     found = checked_broadcast(materialise(found, "matches"))
     return (
@@ -175,6 +191,6 @@ def lookup_accessions(keys: DataFrame, fasta: DataFrame, key: str = "good_access
         return wanted.join(records, key, "left")
     if mode != "contains":
         raise ValueError(f"unknown mode {mode!r}")
-    first = first_match(contains_pairs(wanted, key, fasta, "accession", "fasta_ord"), key, "fasta_ord")
+    first = first_containing(wanted, key, fasta, "accession", "fasta_ord")
     records = first.join(fasta.select("fasta_ord", "gene_name", "description"), "fasta_ord")
     return wanted.join(records.select(key, "gene_name", "description"), key, "left")

@@ -216,3 +216,16 @@ def test_records_are_ordered_by_file_whatever_their_sizes(spark, tmp_path):
     (tmp_path / "b.fasta").write_text("".join(f">sp|B{i}|X d OS=Mus\nCC\n" for i in range(2000)))
     first = read_fasta(spark, str(tmp_path)).orderBy("fasta_ord").select("accession").head(3)
     assert [r["accession"].split("|")[0] for r in first] == ["A", "B0", "B1"]
+
+
+def test_one_anchor_in_every_text(spark):
+    """All texts and queries share one stretch: both ways of meeting find what brute force finds."""
+    shared = "ACDEFGHIKLMNPQRSTVWY"
+    texts = [(i, f"{shared}{'K' * (i % 3)}W{i}") for i in range(60)]
+    queries = [(shared,), (shared + "KW",), (shared + "KKW",), ("WWWWWW",)]
+    t, q = spark.createDataFrame(texts, "id long, t string"), spark.createDataFrame(queries, "q string")
+    want = {x: min((i for i, b in texts if x in b), default=None) for (x,) in queries}
+    for limit in (100, 0):
+        got = {r["q"]: r["id"] for r in search.first_containing(q, "q", t, "t", "id", limit).collect()}
+        assert got == {x: i for x, i in want.items() if i is not None}
+        assert search.contains_pairs(q, "q", t, "t", "id", limit).count() == sum(x in b for (x,) in queries for _, b in texts)
