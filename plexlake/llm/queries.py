@@ -71,7 +71,33 @@ def _is_kind(rank: int):
     return lambda s: s["rank"] == rank
 
 
-@query()
+_BYTE = "0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+
+
+@query(rf"""WITH
+docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+kinds(rank, kind, pattern) AS (VALUES
+  (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), (1, 'ip', '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'),
+  (2, 'card', '[0-9](?:[\x20-]?[0-9])+'), (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]'), (4, 'iban', '[A-Za-z0-9]+')),
+lists AS (SELECT doc_id, rank, kind, regexp_extract_all(t, pattern) AS ms, regexp_split_to_array(t, pattern) AS gs FROM docs, kinds),
+found AS (SELECT doc_id, rank, kind, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g FROM lists),
+placed AS (SELECT *, sum(length(g) + length(m)) OVER (PARTITION BY doc_id, rank ORDER BY i) AS e FROM found),
+valid AS (SELECT doc_id, rank, kind, e - length(m) AS s, e FROM placed WHERE CASE rank
+  WHEN 0 THEN true
+  WHEN 1 THEN regexp_full_match(m, '{_BYTE}(\.{_BYTE}){{3}}')
+  WHEN 2 THEN length({_DIGITS}) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda k:
+    CASE WHEN k % 2 = 1 THEN ascii(reverse({_DIGITS})[k]) - 48
+    ELSE 2 * (ascii(reverse({_DIGITS})[k]) - 48) - CASE WHEN ascii(reverse({_DIGITS})[k]) - 48 > 4 THEN 9 ELSE 0 END END)) % 10 = 0
+  WHEN 3 THEN length({_DIGITS}) BETWEEN 9 AND 15
+  ELSE regexp_full_match(m, '[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}') AND list_reduce(
+    list_transform(range(1, length(m) + 1), lambda k: ascii((m[5:] || m[1:4])[k]) - CASE WHEN ascii((m[5:] || m[1:4])[k]) < 58 THEN 48 ELSE 55 END),
+    lambda a, x: (a * CASE WHEN x < 10 THEN 10 ELSE 100 END + x) % 97) = 1 END),
+joined AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n_email, count(*) FILTER (rank = 1) AS n_ip, count(*) FILTER (rank = 2) AS n_card,
+  count(*) FILTER (rank = 3) AS n_phone, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 4) AS base,
+  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans FROM valid GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN joined USING (doc_id)""")
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents"))
     counts = [
