@@ -49,6 +49,7 @@ def adjust_bh(
 
 def _adjust_in_bins(df: DataFrame, p: str, by: list[str], alias: str, n_groups: int | None) -> DataFrame:
     keys = by or ["_all"]
+    df = materialise(df, "tested")  # read three times below
     base = df if by else df.withColumn("_all", F.lit(1))
     # equal p-values of a group are one counted row from here on
     distinct = base.where(F.col(p).isNotNull()).groupBy(*keys, F.col(p).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
