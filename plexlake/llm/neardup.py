@@ -8,11 +8,9 @@
    around the member that shares most buckets with others. Packed signatures give a similarity, corrected for chance
    agreement of low bits; what may reach the threshold is confirmed on the full sets.
 4. Buckets whose members are in one component by now are done. In the others, what is outside
-   the hub's component is compared with all members by signatures, in blocks of bounded
-   size. Each outsider is first confirmed against its most similar partners, which brings most
-   of them in; whoever is still outside then is confirmed against all that it may be similar to.
-   So no link between components is lost, and a large group of near copies makes no
-   pairs among itself.
+   the hub's component meets all members once per component, in blocks of bounded size that
+   carry the texts: signatures rule out, full sets decide, and only links leave the task. So no
+   link between components is lost, and a large group of near copies makes no pairs.
 
 With 32 bands of 4 minima a pair at the threshold is missed with probability
 (1 - 0.75**4)**32 = 5e-6, and a signature rules it out wrongly with probability 3e-5; both fall
@@ -55,8 +53,7 @@ class Settings:
     percent: int = 75  # link when 100 * intersection >= percent * union
     slack: float = 4.0  # standard errors below the threshold that a signature may estimate
     texts_per_task: int = 128  # of one hub, confirmed together
-    block: int = 1024  # members of a bucket compared together
-    partners: int = 6  # that an outsider is confirmed against before all others
+    block: int = 512  # texts of either side that are compared in one place
 
     @property
     def hashes(self) -> int:
@@ -189,6 +186,10 @@ def _confirm(settings: Settings):
     return confirm
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
 def confirm_links(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """The (a, b) of ``pairs`` (hub, id) whose full sets are similar enough.
 
@@ -198,23 +199,26 @@ def confirm_links(pairs: DataFrame, docs: DataFrame, settings: Settings) -> Data
     dealt = pairs.join(portions, "hub").select("hub", F.pmod(F.xxhash64("id"), "n").alias("portion"), "id")
     own = portions.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("portion"), F.col("hub").alias("id"))
     wanted = keep(dealt.unionByName(own), "requests")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = texts.join(checked_broadcast(wanted), "id").groupBy("hub", "portion").applyInArrow(_confirm(settings), "a long, b long")
+    found = _texts(docs).join(checked_broadcast(wanted), "id").groupBy("hub", "portion").applyInArrow(_confirm(settings), "a long, b long")
     return keep(found, "links")
 
 
-def _partners(settings: Settings, most: int | None):
-    """Within sorted runs of (band, i, j): outsiders and members that their signatures let be near."""
+def _compare_blocks(settings: Settings):
+    """Within sorted runs of (main, i, j): links between outsiders and members."""
     limit = settings.most_differences()
     mask = np.uint64(sum(1 << i for i in range(0, 64, settings.bits)))
-    places = ("band", "i", "j")
 
-    def near(block: pa.Table) -> pa.RecordBatch:
+    def compare(block: pa.Table) -> pa.RecordBatch:
         ids, comp = block.column("id").to_numpy(), block.column("component").to_numpy()
-        role, out = block.column("outside").to_numpy(), block.column("stray").to_numpy(zero_copy_only=False)
+        role, stray = block.column("outside").to_numpy(), block.column("stray").to_numpy(zero_copy_only=False)
         packed = block.column("signature").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+        sets: list[np.ndarray] = []
+        for _, _, data, offsets in words.text_slices(block.column("text").combine_chunks()):
+            shingles, counts = shingle_sets(data, offsets, settings.shingle)
+            sets += np.split(shingles, np.cumsum(counts)[:-1])
         x, y = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
-        found: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
         for k in x.tolist():
             apart = packed[y] ^ packed[k]
             folded = apart.copy()
@@ -222,53 +226,56 @@ def _partners(settings: Settings, most: int | None):
                 folded |= apart >> np.uint64(shift)
             differ = np.bitwise_count(folded & mask).sum(axis=1, dtype=np.int64)
             # two outsiders meet in both roles: once is enough
-            good = np.flatnonzero((differ <= limit) & (comp[y] != comp[k]) & (~out[y] | (ids[y] > ids[k]) | (most is not None)))
-            if most is not None and len(good) > most:
-                good = good[np.argsort(differ[good], kind="stable")[:most]]
-            found.append(np.stack([np.full(len(good), ids[k]), ids[y[good]], differ[good]], axis=1))
+            maybe = y[(differ <= limit) & (comp[y] != comp[k]) & (~stray[y] | (ids[y] > ids[k]))]
+            maybe = maybe[100 * np.minimum(sizes[maybe], sizes[k]) >= settings.percent * np.maximum(sizes[maybe], sizes[k])]
+            if not len(maybe) or not sizes[k]:
+                continue
+            other = np.concatenate([sets[m] for m in maybe.tolist()])
+            at = np.minimum(np.searchsorted(sets[k], other), sizes[k] - 1)
+            both = np.add.reduceat((sets[k][at] == other).astype(np.int64), np.cumsum(sizes[maybe]) - sizes[maybe])
+            linked = maybe[100 * both >= settings.percent * (sizes[maybe] + sizes[k] - both)]
+            found.append(np.stack([np.full(len(linked), ids[k]), ids[linked]], axis=1))
         rows = np.concatenate(found)
-        return pa.record_batch([pa.array(rows[:, k]) for k in range(3)], names=["hub", "id", "differ"])
+        return pa.record_batch([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["a", "b"])
 
-    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
             held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            keys = np.stack([held.column(c).to_numpy() for c in places])
+            keys = np.stack([held.column(c).to_numpy() for c in ("main", "i", "j")])
             cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
             for a, b in zip([0, *cuts.tolist()], cuts.tolist()):
-                yield near(held.slice(a, b - a))
+                yield compare(held.slice(a, b - a))
             held = held.slice(int(cuts[-1])) if len(cuts) else held  # its run may go on in the next batch
         if held is not None and len(held):
-            yield near(held)
+            yield compare(held)
 
-    return partners
+    return blocks
 
 
-def outside_pairs(several: DataFrame, components: DataFrame, signatures: DataFrame, settings: Settings, most: int | None) -> DataFrame:
-    """(hub, id): members outside the component of their bucket's hub, with what they may be near to.
+def outside_links(shared: DataFrame, components: DataFrame, signatures: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): links of those that share a bucket with a hub outside their own component.
 
-    With ``most``, the so many best of each block and then of each outsider.
+    ``shared`` is (hub, id) of the buckets. All buckets of one hub component are one comparison of its
+    strays with its members, so nothing is compared once per band.
     """
     of_hub = components.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    named = several.join(components.select(F.col("node").alias("id"), "component"), "id", "left").join(of_hub, "hub", "left")
-    component = F.coalesce("component", "id")
-    stray = component != F.coalesce("hub_component", "hub")
-    named = keep(named.where("id <> hub").select("band", "id", component.alias("component"), stray.alias("stray")), "named")
-    sizes = named.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.count_if("stray").alias("strays")).where("strays > 0")
-    blocks = lambda n: F.ceil(F.col(n) / settings.block)
-    sizes = keep(sizes.select("band", blocks("strays").alias("ni"), blocks("members").alias("nj")), "sizes")
-    rows = keep(named.join(sizes, "band").join(signatures, "id"), "members")
+    named = shared.where("id <> hub").distinct().join(components.select(F.col("node").alias("id"), "component"), "id", "left").join(of_hub, "hub", "left")
+    main, component = F.coalesce("hub_component", "hub"), F.coalesce("component", "id")
+    named = keep(named.select(main.alias("main"), "id", component.alias("component")).distinct().withColumn("stray", F.col("component") != F.col("main")), "named")
+    sizes = named.groupBy("main").agg(F.count(F.lit(1)).alias("members"), F.count_if("stray").alias("strays")).where("strays > 0")
+    parts = lambda n: F.ceil(F.col(n) / settings.block)
+    sizes = keep(sizes.select("main", parts("strays").alias("ni"), parts("members").alias("nj")), "sizes")
+    rows = keep(named.join(sizes, "main").join(signatures.dropDuplicates(["id"]), "id"), "members")
+    wanted = checked_broadcast(keep(rows.select("id").distinct(), "requests"))
+    texts = keep(_texts(docs).join(wanted, "id", "left_semi"), "texts")
     at = lambda n: F.pmod(F.xxhash64("id"), n)
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    columns = ["band", "i", "j", "id", "component", "stray", "signature"]
+    columns = ["main", "i", "j", "id", "component", "stray", "signature"]
     asking = rows.where("stray").withColumn("i", at("ni")).withColumn("j", upto("nj")).select(*columns, F.lit(1).alias("outside"))
     asked = rows.withColumn("j", at("nj")).withColumn("i", upto("ni")).select(*columns, F.lit(0).alias("outside"))
-    dealt = asking.unionByName(asked).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    found = dealt.mapInArrow(_partners(settings, most), "hub long, id long, differ long").distinct()
-    if most is not None:
-        order = Window.partitionBy("hub").orderBy("differ", "id")
-        found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-    return keep(found.select("hub", "id"), "candidates")
+    dealt = asking.unionByName(asked).join(texts, "id").repartition("main", "i", "j").sortWithinPartitions("main", "i", "j")
+    return keep(dealt.mapInArrow(_compare_blocks(settings), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -302,16 +309,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     first = keep(connected_components(links), "components")
 
     # what the stars left open: buckets of three or more with members outside the hub's component
-    several = shared.where("n > 2").select("band", "hub", "id")
-    best = outside_pairs(several, first, signatures, settings, settings.partners)
-    more = confirm_links(best, docs, settings)
+    more = outside_links(shared.where("n > 2").select("hub", "id"), first, signatures, docs, settings)
     joined = first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-    second = keep(connected_components(joined), "components")
-    rest = outside_pairs(several, second, signatures, settings, None)
-    tried = best.select("hub", "id").unionByName(best.select(F.col("id").alias("hub"), F.col("hub").alias("id")))
-    last = confirm_links(keep(rest.join(tried, ["hub", "id"], "left_anti"), "candidates"), docs, settings)
-
-    joined = second.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(last)
     components = keep(connected_components(joined), "components")
     by_class = classes.join(components, classes["id"] == components["node"], "left").select(
         *same, F.coalesce("component", "id").alias("_component")
