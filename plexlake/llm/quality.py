@@ -38,6 +38,7 @@ ORDER = 4
 BITS = 6
 SYMBOLS = 1 << BITS
 REPEAT = 61
+SLICE_BYTES = 1 << 20  # several arrays of eight bytes a symbol are made of a slice
 _SPACE = words.byte_set(b"\x20\x09\x0a\x0b\x0c\x0d")
 _PUNCTUATION = b"!\"#$%&'()*+-/:;<=>?@[\\]^_`{|}~"
 
@@ -114,7 +115,7 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(SYMBOLS**ORDER, np.int32)
         for batch in batches:
-            for _, _, data, offsets in words.text_slices(batch.column(0)):
+            for _, _, data, offsets in words.text_slices(batch.column(0), SLICE_BYTES):
                 found, n = np.unique(_codes(data, offsets, table)[0], return_counts=True)
                 totals[found] += n.astype(np.int32)
         seen = np.flatnonzero(totals)
@@ -163,7 +164,7 @@ def log_table(codes: list, probabilities: list, contexts: list, weights: list) -
         lower = table.astype(np.float32)
         table = weight[:, None] * lower[np.arange(n) % len(lower)]
         table.reshape(-1)[codes[k]] = probabilities[k]
-    return np.log(table.reshape(-1))
+    return np.log(table, out=table).reshape(-1)
 
 
 def train(texts: DataFrame) -> Model:
@@ -205,7 +206,7 @@ def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity",
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = words.per_process(name, lambda: log_table(*shared.value), alone="model ")
         for batch in batches:
-            for first, last, data, offsets in words.text_slices(batch.column(at)):
+            for first, last, data, offsets in words.text_slices(batch.column(at), SLICE_BYTES):
                 codes, counts = _codes(data, offsets, symbols)
                 sums = np.add.reduceat(table[codes].astype(np.float64), np.cumsum(counts) - counts)
                 rows = batch.slice(first, last - first)
