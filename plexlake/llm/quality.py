@@ -1,12 +1,16 @@
 """Text quality by the perplexity of an interpolated modified Kneser-Ney model (Chen and Goodman 1999).
 
-The model predicts a text's symbols, 64 classes of bytes, from the three before them; a word that
-repeats the one before it is a symbol of its own, as no short context could tell. Trusted text
-trains it: documents whose labels all say quality 1. Counts of all trusted text are added up
-in tables sharded by n-gram; joins by context and by shorter n-gram give the discounted
-probabilities, order by order. A table cannot have more than 64**4 rows whatever the corpus, which
-is what makes it right to send it to all tasks: documents meet it there, where shuffling their
-n-grams would write several times the input.
+The model predicts a text's characters, each code point a symbol of its own, from the three before
+them; a word that repeats the one before it is a symbol too, as no short context could tell.
+Trusted text trains it: documents whose labels all say quality 1. Counts of all trusted text are
+added up in tables sharded by n-gram; joins by context and by shorter n-gram give the discounted
+probabilities, order by order. No table is gathered or sent to all tasks, so nothing bounds the
+number of n-grams but the text.
+
+Documents are scored by joins too. They are dealt into blocks of a few megabytes; each block asks once
+for every n-gram it holds, however often and in however many documents, so a common n-gram meets
+the table once a block. The distinct questions are answered order by order, and the
+answers go back to their block.
 
 A document is rejected when its perplexity is beyond its language's threshold by enough symbols to be
 sure. Thresholds come from the quantiles of trusted documents of a language; languages with little
@@ -20,12 +24,12 @@ nothing is rejected. Columns other than ``doc_id``, ``text`` and ``lang`` pass t
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -35,10 +39,8 @@ from plexlake.llm.stage import keep, unused
 from plexlake.plans.sizing import checked_broadcast
 
 ORDER = 4
-BITS = 6
-SYMBOLS = 1 << BITS
-REPEAT = 61
 SLICE_BYTES = 1 << 20  # several arrays of eight bytes a symbol are made of a slice
+BLOCK_BYTES = 8 << 20  # of text that ask for their n-grams together
 _SPACE = words.byte_set(b"\x20\x09\x0a\x0b\x0c\x0d")
 _PUNCTUATION = b"!\"#$%&'()*+-/:;<=>?@[\\]^_`{|}~"
 
@@ -61,6 +63,36 @@ def _symbol_table() -> np.ndarray:
     return table
 
 
+def _code_points(data: np.ndarray) -> np.ndarray:
+    """The code point that begins at each byte; bytes within a character have no meaning here."""
+    n = len(data)
+    wide = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int32)
+    first, (b, c, d) = wide[:n], (wide[k : n + k] & 0x3F for k in (1, 2, 3))
+    two, three, four = (first & 0x1F) << 6 | b, (first & 0x0F) << 12 | b << 6 | c, (first & 0x07) << 18 | b << 12 | c << 6 | d
+    return np.select([first < 0x80, first < 0xE0, first < 0xF0], [first, two, three], four)
+
+
+@dataclass(frozen=True)
+class Alphabet:
+    """How texts become symbols; symbol 0 is the edge of a text."""
+
+    bits: int
+    size: int
+    repeat: int  # the symbol of a word that repeats the one before it
+    characters: bool  # code points, or classes of bytes
+
+    def symbols(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol of every byte, and whether a symbol begins there."""
+        if not self.characters:
+            return _symbol_table()[data].astype(np.int32), np.ones(len(data), bool)
+        return _code_points(data) + 1, (data & 0xC0) != 0x80
+
+
+# Classes of bytes lose the letters of most scripts; what judges documents is trained on characters.
+CLASSES = Alphabet(6, 64, 61, False)
+CHARACTERS = Alphabet(21, 0x110002, 0x110001, True)
+
+
 @dataclass(frozen=True)
 class Settings:
     typical: float = 0.5  # quantiles of trusted perplexities, per language
@@ -76,53 +108,67 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
 
 
-def _codes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram codes of all texts, each with edges before and one behind, and their counts per text."""
+def _body(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of all texts with edges around each, where their n-grams begin, and how many a text has."""
     starts, ends = words.word_spans(data, offsets, _SPACE)
     hashes = words.span_hashes(data, starts, ends, lower=True)
     again = np.zeros(len(starts), bool)
     again[1:] = hashes[1:] == hashes[:-1]
     first = words.per_text(starts, offsets)[:-1]
     again[first[first < len(starts)]] = False
-    symbols = table[data]
+    symbols, begins = alphabet.symbols(data)
     gaps = ends[:-1][again[1:]]  # the space before a repeated word goes with it
-    symbols[gaps] = REPEAT
+    symbols[gaps] = alphabet.repeat
     edges = np.zeros(len(data) + 1, np.int8)
     np.add.at(edges, gaps + 1, 1)
     np.add.at(edges, ends[again], -1)
-    stay = np.cumsum(edges[:-1], dtype=np.int8) == 0
+    stay = (np.cumsum(edges[:-1], dtype=np.int8) == 0) & begins
     offsets = np.concatenate([[0], np.cumsum(stay)])[offsets]
-    data = symbols[stay]
+    symbols = symbols[stay]
     lengths = np.diff(offsets)
     n = len(lengths)
     pad = ORDER - 1
-    body = np.zeros(len(data) + n * pad + pad, np.uint8)  # the edges of the next text close this one
-    at = np.arange(len(data)) + np.repeat(pad * np.arange(1, n + 1), lengths)
-    body[at] = data
-    wide = body.astype(np.int32)
-    codes = np.zeros(len(body) - pad, np.int32)
-    for k in range(ORDER):
-        codes = (codes << BITS) | wide[k : k + len(codes)]
+    body = np.zeros(len(symbols) + n * pad + pad, np.int32)  # the edges of the next text close this one
+    body[np.arange(len(symbols)) + np.repeat(pad * np.arange(1, n + 1), lengths)] = symbols
     counts = lengths + 1  # the symbols and the end
     first = np.concatenate([[0], np.cumsum(lengths + pad)])[:-1]
-    return codes[words.gather_runs(first, counts)], counts
+    return body, words.gather_runs(first, counts), counts
+
+
+def _pack(parts: list[np.ndarray], bits: int) -> np.ndarray:
+    packed = parts[0].astype(np.int64)
+    for part in parts[1:]:
+        packed = packed << bits | part
+    return packed
+
 
+def _distinct(body: np.ndarray, at: np.ndarray, alphabet: Alphabet, **also: bool) -> tuple:
+    """(context, symbol) of the distinct n-grams that begin at ``at``, and what else np.unique is asked for."""
+    windows = lambda symbols: [symbols[k : k + len(body) - ORDER + 1] for k in range(ORDER)]
+    letters, small = np.unique(body, return_inverse=True) if alphabet.characters else (np.arange(alphabet.size), body)
+    width = int(len(letters) - 1).bit_length()
+    if ORDER * width <= 63:
+        found, *more = np.unique(_pack(windows(small), width)[at], **also) if also else (np.unique(_pack(windows(small), width)[at]),)
+        parts = [letters[found >> width * (ORDER - 1 - k) & ((1 << width) - 1)] for k in range(ORDER)]
+        return _pack(parts[:-1], alphabet.bits), parts[-1].astype(np.int32), *more
+    *before, last = windows(body)
+    contexts, which = np.unique(_pack(before, alphabet.bits)[at], return_inverse=True)
+    found, *more = np.unique(which << alphabet.bits | last[at], **also) if also else (np.unique(which << alphabet.bits | last[at]),)
+    return contexts[found >> alphabet.bits], (found & ((1 << alphabet.bits) - 1)).astype(np.int32), *more
 
-def ngram_counts(texts: DataFrame) -> DataFrame:
-    """(code, n) over all of ``texts`` (text): every task adds up its own before anything moves."""
-    table = _symbol_table()
+
+def ngram_counts(texts: DataFrame, alphabet: Alphabet = CHARACTERS) -> DataFrame:
+    """(context, symbol, n) over all of ``texts`` (text): every task adds up its own before anything moves."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(SYMBOLS**ORDER, np.int32)
         for batch in batches:
             for _, _, data, offsets in words.text_slices(batch.column(0), SLICE_BYTES):
-                found, n = np.unique(_codes(data, offsets, table)[0], return_counts=True)
-                totals[found] += n.astype(np.int32)
-        seen = np.flatnonzero(totals)
-        if len(seen):
-            yield pa.record_batch([pa.array(seen.astype(np.int32)), pa.array(totals[seen].astype(np.int64))], names=["code", "n"])
+                body, at, _ = _body(data, offsets, alphabet)
+                context, symbol, n = _distinct(body, at, alphabet, return_counts=True)
+                yield pa.record_batch([pa.array(context), pa.array(symbol), pa.array(n)], names=["context", "symbol", "n"])
 
-    return texts.mapInArrow(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(count, "context long, symbol int, n long")
+    return counted.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -136,84 +182,128 @@ def _discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.1), k) for d, k in zip(found, (0.9, 1.9, 2.9)))
 
 
-def _context(code: Column) -> Column:
-    return F.shiftright(code, BITS)
+def _nearest(order: int, alphabet: Alphabet) -> Column:
+    """The context of an n-gram of ``order``, cut out of a longer one."""
+    return F.col("context").bitwiseAND(F.lit((1 << alphabet.bits * (order - 1)) - 1).cast("long"))
 
 
 @dataclass(frozen=True)
 class Model:
-    """Per order: codes with probabilities, contexts with the weight of the next lower order."""
-
-    codes: list[np.ndarray]
-    probabilities: list[np.ndarray]
-    contexts: list[np.ndarray]
-    weights: list[np.ndarray]
-
-    @property
-    def parts(self) -> tuple:
-        return self.codes, self.probabilities, self.contexts, self.weights
-
+    """Per order: (context, symbol, p), and (context, weight) of the next lower order; tables on shared storage."""
 
-def log_table(codes: list, probabilities: list, contexts: list, weights: list) -> np.ndarray:
-    """log p of every code; what was not seen gets its context's weight times the lower order."""
-    table = np.full((1, SYMBOLS), 1.0 / SYMBOLS)
-    for k in range(ORDER):
-        n = SYMBOLS**k
-        weight = np.ones(n, np.float32)
-        weight[contexts[k]] = weights[k]
-        lower = table.astype(np.float32)
-        table = weight[:, None] * lower[np.arange(n) % len(lower)]
-        table.reshape(-1)[codes[k]] = probabilities[k]
-    return np.log(table, out=table).reshape(-1)
+    probabilities: list[DataFrame]
+    contexts: list[DataFrame]
+    alphabet: Alphabet
 
 
-def train(texts: DataFrame) -> Model:
+def train(texts: DataFrame, alphabet: Alphabet = CLASSES) -> Model:
     """Kneser-Ney over ``texts`` (text). Lower orders count different left neighbours, not occurrences."""
-    levels = [keep(ngram_counts(texts), "ngrams")]
+    levels = [keep(ngram_counts(texts, alphabet), "ngrams")]
     for order in range(ORDER - 1, 0, -1):
-        shorter = F.col("code").bitwiseAND(F.lit(SYMBOLS**order - 1)).alias("code")
-        levels.insert(0, keep(levels[0].groupBy(shorter).agg(F.count(F.lit(1)).alias("n")), "ngrams"))
-    parts: list[list[np.ndarray]] = [[], [], [], []]
-    lower: DataFrame | None = None
+        shorter = levels[0].groupBy(_nearest(order, alphabet).alias("context"), "symbol")
+        levels.insert(0, keep(shorter.agg(F.count(F.lit(1)).alias("n")), "ngrams"))
+    probabilities: list[DataFrame] = []
+    contexts: list[DataFrame] = []
     for order, counts in enumerate(levels, 1):
         d1, d2, d3 = _discounts(counts)
         taken = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        by_context = counts.groupBy(_context(F.col("code")).alias("context")).agg(
+        by_context = counts.groupBy("context").agg(
             F.sum("n").alias("total"),
             ((d1 * F.count_if(F.col("n") == 1) + d2 * F.count_if(F.col("n") == 2) + d3 * F.count_if(F.col("n") > 2)) / F.sum("n")).alias("weight"),
         )
         by_context = keep(by_context, "contexts")
-        rows = counts.select("code", "n", _context(F.col("code")).alias("context")).join(by_context, "context")
-        if lower is None:
-            below = F.lit(1.0 / SYMBOLS)
-        else:
-            rows = rows.join(lower, F.col("code").bitwiseAND(F.lit(SYMBOLS ** (order - 1) - 1)) == F.col("lower_code"))
-            below = F.col("lower_p")
-        found = keep(rows.select("code", ((F.col("n") - taken) / F.col("total") + F.col("weight") * below).alias("p")), "probabilities")
-        lower = found.select(F.col("code").alias("lower_code"), F.col("p").alias("lower_p"))
-        seen, known = found.orderBy("code").toPandas(), by_context.orderBy("context").toPandas()
-        for part, values in zip(parts, (seen["code"], seen["p"], known["context"], known["weight"])):
-            part.append(values.to_numpy())
-    return Model(*parts)
+        rows, below = _with_lower(counts.join(by_context, "context"), order, probabilities, alphabet)
+        found = rows.select("context", "symbol", ((F.col("n") - taken) / F.col("total") + F.col("weight") * below).alias("p"))
+        probabilities.append(keep(found, "probabilities"))
+        contexts.append(by_context.select("context", "weight"))
+    return Model(probabilities, contexts, alphabet)
+
+
+def _with_lower(rows: DataFrame, order: int, found: list[DataFrame], alphabet: Alphabet) -> tuple[DataFrame, Column]:
+    """``rows`` of n-grams next to the probabilities one order below, the last of ``found``."""
+    if order == 1:
+        return rows, F.lit(1.0 / alphabet.size)
+    lower = found[-1].select(F.col("context").alias("lower_context"), F.col("symbol").alias("lower_symbol"), F.col("p").alias("lower_p"))
+    same = (_nearest(order - 1, alphabet) == F.col("lower_context")) & (F.col("symbol") == F.col("lower_symbol"))
+    return rows.join(lower, same), F.col("lower_p")
+
+
+def answer(asked: DataFrame, model: Model) -> DataFrame:
+    """(context, symbol, p) of the distinct n-grams in ``asked``; what was not seen gets its context's weight times the lower order."""
+    levels = [asked]
+    for order in range(ORDER - 1, 0, -1):
+        levels.insert(0, levels[0].select(_nearest(order, model.alphabet).alias("context"), "symbol").distinct())
+    found: list[DataFrame] = []
+    for order, level in enumerate(levels, 1):
+        rows = level.join(model.probabilities[order - 1], ["context", "symbol"], "left").join(model.contexts[order - 1], "context", "left")
+        rows, below = _with_lower(rows, order, found, model.alphabet)
+        p = F.coalesce("p", F.coalesce("weight", F.lit(1.0)) * below)
+        found.append(keep(rows.select("context", "symbol", p.alias("p")), "answers"))
+    return found[-1]
+
+
+def _blocks(docs: DataFrame, text: str, block: str) -> DataFrame:
+    """``docs`` with the number of the block that each row belongs to."""
+    at, names = docs.columns.index(text), [*docs.columns, block]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, filled = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            for first, last, data, _ in words.text_slices(batch.column(at), SLICE_BYTES):
+                if filled and filled + len(data) > BLOCK_BYTES:
+                    number, filled = number + 1, 0
+                filled += len(data)
+                rows = batch.slice(first, last - first)
+                yield pa.record_batch([*rows.columns, pa.array(np.full(last - first, number, np.int64))], names=names)
+
+    return docs.mapInArrow(deal, StructType([*docs.schema.fields, StructField(block, LongType())]))
+
+
+def _asked(dealt: DataFrame, alphabet: Alphabet) -> DataFrame:
+    """(block, context, symbol): the distinct n-grams of each block of ``dealt`` (text, block)."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number in np.unique(batch.column(1).to_numpy()):
+                own = batch.filter(pa.array(batch.column(1).to_numpy() == number))
+                for _, _, data, offsets in words.text_slices(own.column(0), SLICE_BYTES):
+                    body, at, _ = _body(data, offsets, alphabet)
+                    context, symbol = _distinct(body, at, alphabet)
+                    blocks = pa.array(np.full(len(context), number, np.int64))
+                    yield pa.record_batch([blocks, pa.array(context), pa.array(symbol)], names=["block", "context", "symbol"])
+
+    return dealt.mapInArrow(ask, "block long, context long, symbol int").distinct()
 
 
 def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity", n_symbols: str = "n_symbols", text: str = "text") -> DataFrame:
     """``docs`` with the two columns added to every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.parts)  # at most 64**4 rows
-    symbols, name = _symbol_table(), f"model {uuid.uuid4().hex}"
+    alphabet, block = model.alphabet, unused(docs, "_block")
+    dealt = keep(_blocks(docs, text, block), "blocks")
+    asked = keep(_asked(dealt.select(F.col(f"`{text}`").cast("string"), block), alphabet), "asked")
+    found = answer(keep(asked.select("context", "symbol").distinct(), "questions"), model)
+    answers = asked.join(found, ["context", "symbol"]).select("block", "context", "symbol", F.log("p").alias("log_p"))
     at, names = docs.columns.index(text), [*docs.columns, n_symbols, log_perplexity]
 
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = words.per_process(name, lambda: log_table(*shared.value), alone="model ")
-        for batch in batches:
-            for first, last, data, offsets in words.text_slices(batch.column(at), SLICE_BYTES):
-                codes, counts = _codes(data, offsets, symbols)
-                sums = np.add.reduceat(table[codes].astype(np.float64), np.cumsum(counts) - counts)
-                rows = batch.slice(first, last - first)
-                yield pa.record_batch([*rows.columns, pa.array(counts), pa.array(-sums / counts)], names=names)
+    def scores(rows: pa.Table, known: pa.Table) -> pa.Table:
+        context, symbol, log_p = (known.column(k).to_numpy() for k in ("context", "symbol", "log_p"))
+        order = np.lexsort((symbol, context))
+        context, symbol, log_p = context[order], symbol[order], log_p[order]
+        starts = np.flatnonzero(np.diff(context, prepend=-1))
+        contexts = context[starts]
+        key = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(context))) << alphabet.bits | symbol
+        lengths, means = [], []
+        for _, _, data, offsets in words.text_slices(rows.column(at).combine_chunks(), SLICE_BYTES):
+            body, where, counts = _body(data, offsets, alphabet)
+            own_context, own_symbol, inverse = _distinct(body, where, alphabet, return_inverse=True)
+            values = log_p[np.searchsorted(key, np.searchsorted(contexts, own_context) << alphabet.bits | own_symbol)]
+            sums = np.add.reduceat(values[inverse], np.cumsum(counts) - counts)
+            lengths.append(counts)
+            means.append(-sums / counts)
+        columns = [rows.column(k) for k in range(len(names) - 2)]
+        return pa.table([*columns, pa.array(np.concatenate(lengths)), pa.array(np.concatenate(means))], names=names)
 
     schema = StructType([*docs.schema.fields, StructField(n_symbols, LongType()), StructField(log_perplexity, DoubleType())])
-    return docs.mapInArrow(scores, schema)
+    return dealt.groupBy(block).cogroup(answers.groupBy("block")).applyInArrow(scores, schema)
 
 
 def thresholds(scores: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, float | None]:
@@ -263,7 +353,7 @@ def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     """Train on the trusted part of ``docs`` and take the thresholds from its scores."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     trusted = rows.join(checked_broadcast(keep(trusted_ids(labels), "trusted")), "doc_id", "left_semi")
-    model = train(trusted.select("text"))
+    model = train(trusted.select("text"), CHARACTERS)
     scores = keep(score(trusted, model).select("lang", "log_perplexity"), "scores")
     return Judge(model, *thresholds(scores, settings), settings)
 

@@ -168,3 +168,52 @@ def test_quality_decides_by_language(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(rows) - set(range(150, 175))
     assert quality.assess(docs, labels.limit(0)).where("kept").count() == len(texts)
     assert quality.assess(docs.limit(0), labels).count() == 0
+
+
+def _kneser_ney_of(sequences, size):
+    """The same over sequences of symbols out of ``size``."""
+    counts = [Counter(tuple(s[i : i + 4]) for s in sequences for i in range(len(s) - 3))]
+    for k in (3, 2, 1):
+        counts.insert(0, Counter(g[-k:] for g in counts[0]))
+    levels = []
+    for level in counts:
+        of = Counter(level.values())
+        n1, n2, n3, n4 = (of[k] for k in (1, 2, 3, 4))
+        if n1 and n2 and n3:
+            y = n1 / (n1 + 2 * n2)
+            found = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
+            d = [min(max(a, 0.1), b) for a, b in zip(found, (0.9, 1.9, 2.9))]
+        else:
+            d = [0.5] * 3
+        total, taken = Counter(), defaultdict(float)
+        for g, c in level.items():
+            total[g[:-1]] += c
+            taken[g[:-1]] += d[min(c, 3) - 1]
+        levels.append((level, total, taken, d))
+
+    def p(context, symbol):
+        if context is None:
+            return 1 / size
+        level, total, taken, d = levels[len(context)]
+        lower = p(context[1:] if context else None, symbol)
+        if not total[context]:
+            return lower
+        c = level[(*context, symbol)]
+        return (c - d[min(c, 3) - 1] if c else 0) / total[context] + taken[context] / total[context] * lower
+
+    return p
+
+
+def test_every_character_is_a_symbol(spark):
+    rng = random.Random(7)
+    draw = lambda letters: " ".join(dict.fromkeys("".join(rng.choice(letters) for _ in range(60)).split()))
+    trusted = [draw("абвгд ЖЗИ") for _ in range(30)] + ["\U0001f600 é ß 漢字" + draw("xyz ")]
+    other = [draw("абвгд ЖЗИ"), draw("жзийклмн "), draw("АБВГД ЖЗИ"), "漢字 \U0001f600", None, "", "\x00 a"]
+    model = quality.train(frame(spark, trusted).select("text"), quality.CHARACTERS)
+    got = {r.doc_id: r for r in quality.score(frame(spark, other).withColumnRenamed("source", "_block"), model).collect()}
+    points = lambda texts: [[0, 0, 0, *(ord(c) + 1 for c in t or ""), 0] for t in texts]
+    p = _kneser_ney_of(points(trusted), quality.CHARACTERS.size)
+    for i, s in enumerate(points(other)):
+        want = -np.mean([np.log(p(tuple(s[k - 3 : k]), s[k])) for k in range(3, len(s))])
+        assert got[i].n_symbols == len(s) - 3 and abs(got[i].log_perplexity - want) < 1e-9
+    assert min(got[1].log_perplexity, got[2].log_perplexity) > got[0].log_perplexity + 1  # letters of the same kind, not the same letters
