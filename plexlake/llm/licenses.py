@@ -1,10 +1,14 @@
 """Licence notices in texts: a paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs are lines. Their words and word pairs, as far as they occur in any template, feed a sparse
+Paragraphs are runs of lines that hold more than comment marks and white space, so a notice is met whole
+however it was wrapped. Their words and word pairs, as far as they occur in any template, feed a sparse
 logistic regression over the licence families and an unknown class. It is trained on templates with
 words dropped and other prose around them, and for the unknown class on a bounded sample of the
 corpus's own paragraphs. A third of the samples is kept back to calibrate the probabilities. A
-prediction counts when its probability suffices and enough of a template's word pairs are there.
+prediction counts when its probability suffices and enough of a template's word pairs are there. A
+notice spans the lines that bear it: of all runs of a paragraph's lines, however long it is, the one
+most like the template, so prose above and below stays outside. These lines are classified.
+A paragraph can bear several notices.
 
 Defined results: NULL and empty texts hold no notice; repeated rows are answered each; a corpus too
 small to sample leaves the unknown class with the built-in sentences. Positions count code
@@ -88,29 +92,58 @@ class Settings:
     ridge: float = 1e-3
     steps: int = 250
     probability: float = 0.5
-    overlap: float = 0.6  # share of a template's word pairs that must be in the paragraph
+    overlap: float = 0.6  # share of a template's word pairs that must be in the lines
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(paragraph, hash) of words and word pairs, and where paragraphs begin, with the end."""
-    lines = np.flatnonzero(data == 10) + 1
-    borders = np.unique(np.concatenate([offsets, lines]))
+@dataclass(frozen=True)
+class Grams:
+    """Words in order with their lines, paragraphs and hashes; ``pair`` joins each word to the next one."""
+
+    starts: np.ndarray
+    line: np.ndarray
+    paragraph: np.ndarray
+    single: np.ndarray
+    pair: np.ndarray
+    together: np.ndarray  # words that have a next one in their paragraph
+
+
+def _grams(data: np.ndarray, offsets: np.ndarray) -> Grams:
     starts, ends = words.word_spans(data, offsets, WORD_BYTES)
     single = words.span_hashes(data, starts, ends, lower=True)
-    owner = np.searchsorted(borders, starts, side="right") - 1
-    together = np.flatnonzero(owner[1:] == owner[:-1])
-    pair = words.mix(single[together] * np.uint64(3) + single[together + 1] * np.uint64(0x9E3779B97F4A7C15))
-    return np.concatenate([owner, owner[together]]), np.concatenate([single, pair]), borders
+    text = np.searchsorted(offsets, starts, side="right")
+    line = np.searchsorted(np.flatnonzero(data == 10), starts)
+    first = np.ones(len(starts), bool)
+    first[1:] = (line[1:] != line[:-1]) | (text[1:] != text[:-1])
+    stay = ~(first & np.isin(single, _MARKERS))
+    starts, single, text, line = starts[stay], single[stay], text[stay], line[stay]
+    new = (text[1:] != text[:-1]) | (line[1:] > line[:-1] + 1)  # a line without words lies between
+    paragraph = np.concatenate([[0], np.cumsum(new)])[: len(starts)]
+    pair = np.zeros(len(single), np.uint64)
+    pair[:-1] = words.mix(single[:-1] * np.uint64(3) + single[1:] * np.uint64(0x9E3779B97F4A7C15))
+    return Grams(starts, line, paragraph, single, pair, np.flatnonzero(~new) if len(starts) else np.zeros(0, np.int64))
 
 
-def _of_text(text: str) -> np.ndarray:
+def _hash(word: str) -> int:
+    data = np.frombuffer(word.encode(), np.uint8)
+    return words.span_hashes(data, np.array([0]), np.array([len(data)]), lower=True)[0]
+
+
+_MARKERS = np.array([_hash(w) for w in ("dnl", "rem")], np.uint64)  # comment marks made of letters; others hold no word
+
+
+def _read(text: str) -> Grams:
     data = np.frombuffer(text.replace("\n", " ").encode(), np.uint8)
-    return _grams(data, np.array([0, len(data)]))[1]
+    return _grams(data, np.array([0, len(data)]))
+
+
+def _of_text(text: str) -> np.ndarray:
+    grams = _read(text)
+    return np.concatenate([grams.single, grams.pair[grams.together]])
 
 
 def _pairs(text: str) -> np.ndarray:
-    found = _of_text(text)
-    return np.unique(found[len(found) // 2 + 1 :]) if len(found) else found  # n words come first, n - 1 pairs behind
+    grams = _read(text)
+    return np.unique(grams.pair[grams.together])
 
 
 @dataclass(frozen=True)
@@ -147,8 +180,9 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     templates = [_pairs(t) for _, t in known]
     lines = list(NEAR_MISSES)
     for line in sample_paragraphs(docs, settings):
-        found = np.unique(_of_text(line))
-        if not any(np.isin(t, found).all() for t in templates):  # a notice in the sample is not unknown
+        found = _pairs(line)
+        shared = [int(np.isin(found, t).sum()) for t in templates]
+        if not any(n == len(t) or n >= max(3, len(found) / 2) for n, t in zip(shared, templates)):  # neither a notice nor a line of one is unknown
             lines.append(line)
     prose = [line.split() for line in lines]
     families = (*TEMPLATES, UNKNOWN)
@@ -187,48 +221,99 @@ def _descend(x: np.ndarray, y: np.ndarray, settings: Settings) -> np.ndarray:
     return weights
 
 
+def _bearing(line: np.ndarray, pair: np.ndarray, template: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+    """(first line, last line, overlap) of runs of lines that bear a template; words of one paragraph.
+
+    Of all runs that hold enough of it those that resemble it most are taken, so lines around that add
+    little stay outside. Runs end where they have more lines than the template has words.
+    """
+    upto = np.concatenate([[0], np.cumsum(np.bincount(line))])
+    at = np.flatnonzero(np.isin(pair, template))
+    froms, tos, hashes = line[at], line[at + 1], pair[at].tolist()
+    found = []
+    for start in np.unique(froms).tolist():
+        seen: set[int] = set()
+        for k in range(int(np.searchsorted(froms, start)), len(at)):
+            end = int(tos[k])
+            if end - start > len(template):
+                break
+            seen.add(hashes[k])
+            if len(seen) >= least * len(template):
+                alike = len(seen) / (len(template) + int(upto[end + 1] - upto[start]) - 1)
+                found.append((-alike, end - start, start, end, len(seen) / len(template)))
+    taken: list[tuple[int, int, float]] = []
+    for _, _, start, end, overlap in sorted(found):
+        if all(end < a or start > b for a, b, _ in taken):
+            taken.append((start, end, overlap))
+    return taken
+
+
+def _merged(notices: list[dict]) -> list[dict]:
+    """Notices of one family that share lines are one."""
+    out: list[dict] = []
+    for n in sorted(notices, key=lambda n: (n["family"], n["start"], n["end"])):
+        if out and out[-1]["family"] == n["family"] and n["start"] < out[-1]["end"]:
+            out[-1] = {**out[-1], **{k: max(out[-1][k], n[k]) for k in ("end", "probability", "overlap")}}
+        else:
+            out.append(n)
+    return sorted(out, key=lambda n: (n["start"], n["end"], n["family"]))
+
+
 def _scan(model: Model, settings: Settings):
-    templates = {f: [_pairs(t) for t in texts] for f, texts in TEMPLATES.items()}
+    known = [(f, _pairs(t)) for f, texts in TEMPLATES.items() for t in texts]
+    sizes = np.array([len(t) for _, t in known])
+    holds = np.stack([np.isin(model.vocabulary, t) for _, t in known], axis=1)
     sieve = np.zeros(1 << 20, bool)
     sieve[(model.vocabulary & np.uint64(0xFFFFF)).astype(np.int64)] = True
-    unknown = len(model.families) - 1
+
+    def classify(present: np.ndarray) -> tuple[str, float]:
+        scores = model.weights[:-1][np.isin(model.vocabulary, present)].sum(axis=0, dtype=np.float64) + model.weights[-1]
+        chances = _softmax(scores[None] / model.temperature)[0]
+        return model.families[int(chances.argmax())], float(chances.max())
+
+    def notices_of(data: np.ndarray, begin: int, close: int, grams: Grams, words_at: slice, which: np.ndarray, borders: np.ndarray) -> list[dict]:
+        """The notices of one paragraph; ``which`` templates may be there."""
+        out = []
+        line, single, pair = grams.line[words_at], grams.single[words_at], grams.pair[words_at][:-1]
+        low = int(line[0])
+        for k in which.tolist():
+            family, template = known[k]
+            for first, last, overlap in _bearing(line - low, pair, template, settings.overlap):
+                inside = slice(*np.searchsorted(line - low, [first, last + 1]))
+                best, chance = classify(np.concatenate([single[inside], pair[inside.start : inside.stop - 1]]))
+                if best == family and chance >= settings.probability:
+                    a, b = max(int(borders[low + first]), begin), min(int(borders[low + last + 1]), close)
+                    text = data[a:b].tobytes().decode().rstrip("\n")
+                    start = len(data[begin:a].tobytes().decode())
+                    out.append({"start": start, "end": start + len(text), "family": family, "probability": chance, "overlap": overlap})
+        return out
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, offsets in words.text_slices(batch.column(1)):
-                owner, found, borders = _grams(data, offsets)
+                grams = _grams(data, offsets)
+                found = grams.pair[grams.together]
                 maybe = sieve[(found & np.uint64(0xFFFFF)).astype(np.int64)]
                 at = np.minimum(np.searchsorted(model.vocabulary, found[maybe]), len(model.vocabulary) - 1)
                 hit = model.vocabulary[at] == found[maybe]
-                pairs = np.unique(owner[maybe][hit] << 32 | at[hit])
-                paragraph, feature = pairs >> 32, pairs & 0xFFFFFFFF
-                rows, row = np.unique(paragraph, return_inverse=True)
-                scores = np.tile(model.weights[-1].astype(np.float64), (len(rows), 1))
-                for k in range(scores.shape[1]):
-                    scores[:, k] += np.bincount(row, model.weights[feature, k], len(rows))
+                once = np.unique(grams.paragraph[grams.together][maybe][hit] << 32 | at[hit])
+                rows, row = np.unique(once >> 32, return_inverse=True)
+                here = holds[once & 0xFFFFFFFF]
+                enough = [np.bincount(row, here[:, k], len(rows)) >= settings.overlap * n for k, n in enumerate(sizes)] if len(rows) else []
                 notices: list[list[dict]] = [[] for _ in range(last - first)]
-                if len(rows):
-                    chances = _softmax(scores / model.temperature)
-                    best = chances.argmax(axis=1)
-                    good = (best != unknown) & (chances.max(axis=1) >= settings.probability)
-                    for r in np.flatnonzero(good).tolist():
-                        a, b = int(borders[rows[r]]), int(borders[rows[r] + 1])
-                        text = data[a:b].tobytes().decode().rstrip("\n")
-                        present = np.unique(_of_text(text))
-                        family = model.families[best[r]]
-                        overlap = max(float(np.isin(t, present).mean()) for t in templates[family])
-                        if overlap >= settings.overlap:
-                            doc = int(np.searchsorted(offsets, a, side="right")) - 1
-                            start = len(data[offsets[doc] : a].tobytes().decode())
-                            notices[doc].append(
-                                {"start": start, "end": start + len(text), "family": family, "probability": float(chances[r, best[r]]), "overlap": overlap}
-                            )
+                borders = np.concatenate([[0], np.flatnonzero(data == 10) + 1, [len(data)]])
+                for r in np.flatnonzero(np.any(enough, axis=0)).tolist() if len(rows) else []:
+                    span = slice(*np.searchsorted(grams.paragraph, [rows[r], rows[r] + 1]))
+                    doc = int(np.searchsorted(offsets, grams.starts[span.start], side="right")) - 1
+                    which = np.flatnonzero([e[r] for e in enough])
+                    notices[doc] += notices_of(data, int(offsets[doc]), int(offsets[doc + 1]), grams, span, which, borders)
                 kind = pa.list_(
                     pa.struct([("start", pa.int32()), ("end", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("overlap", pa.float64())])
                 )
-                n_lines = np.diff(np.searchsorted(borders, offsets))
+                begins = grams.starts[np.flatnonzero(np.diff(grams.paragraph, prepend=-1))]
+                n_paragraphs = np.diff(np.searchsorted(begins, offsets))
                 yield pa.record_batch(
-                    [batch.column(0).slice(first, last - first), pa.array(n_lines.astype(np.int64)), pa.array(notices, kind)],
+                    [batch.column(0).slice(first, last - first), pa.array(n_paragraphs.astype(np.int64)), pa.array([_merged(n) for n in notices], kind)],
                     names=["doc_id", "n_paragraphs", "notices"],
                 )
 

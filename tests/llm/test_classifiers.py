@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -104,6 +105,27 @@ def test_licences(spark):
     assert licenses.find_licenses(docs.limit(0)).count() == 0
 
 
+def test_licences_are_found_however_they_are_wrapped(spark):
+    rng = random.Random(8)
+    notices = [(f, t) for f, texts in licenses.TEMPLATES.items() for t in texts if f in ("bsd", "gpl-3.0", "apache-2.0") and len(t.split()) > 10]
+    wrap = lambda t, mark, width: "\n".join(mark + line for line in textwrap.wrap(t, width))
+    texts = [
+        _prose(rng, 30) + between + wrap(t, mark, width) + between + _prose(rng, 30)
+        for _, t in notices for mark, width in (("", 40), (" * ", 50), ("# ", 24), ("dnl ", 60)) for between in ("\n", "\n\n")
+    ]
+    whole = " ".join(licenses.TEMPLATES["bsd"][1:])
+    texts += [wrap(whole, "// ", 66), "\n".join(textwrap.wrap(_prose(rng, 5000), 70) + [wrap(notices[0][1], "", 40)] + textwrap.wrap(_prose(rng, 5000), 70))]
+    texts += ["one\n\n * \n * two\n * more\n\n", "\n", None]
+    rows = {r.doc_id: r for r in licenses.find_licenses(frame(spark, texts)).collect()}
+    for i, (family, t) in enumerate((n for n in notices for _ in range(8))):
+        assert [n.family for n in rows[i].notices] == [family], texts[i]
+        n = rows[i].notices[0]
+        assert set(t.split()) <= set(texts[i][n.start : n.end].split()) and len(texts[i][n.start : n.end]) < 2 * len(t), texts[i]
+    n = 8 * len(notices)
+    assert {x.family for x in rows[n].notices} == {"bsd"} and [x.family for x in rows[n + 1].notices] == [notices[0][0]]
+    assert [rows[n + k].n_paragraphs for k in (2, 3, 4)] == [2, 0, 0]
+
+
 def _kneser_ney(texts, table):
     """The model by dictionaries: probability of a symbol after up to three."""
     sequences = [[0, 0, 0, *table[list((t or "").encode())].tolist(), 0] for t in texts]
