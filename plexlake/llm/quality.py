@@ -12,9 +12,9 @@ for every n-gram it holds, however often and in however many documents, so a com
 the table once a block. The distinct questions are answered order by order, and the
 answers go back to their block.
 
-A document is rejected when its perplexity is beyond its language's threshold by enough symbols to be
-sure. Thresholds come from the quantiles of trusted documents of a language; languages with little
-trusted text use those of all.
+A document is rejected when its log perplexity is beyond the 0.99 quantile of the trusted documents of its
+language by more than 1.645 standard errors, the sampling uncertainty of a mean over as many
+symbols; nothing else is allowed for. Languages with little trusted text use the quantile of all.
 
 Defined results: NULL and empty texts are scored as the end symbol alone; NULL is a language of its
 own; repeated rows are answered each; without trusted text all symbols are equally likely and
@@ -40,6 +40,7 @@ from plexlake.plans.sizing import checked_broadcast
 
 ORDER = 4
 SLICE_BYTES = 1 << 20  # several arrays of eight bytes a symbol are made of a slice
+FEW = 2  # symbols whose spread is assumed
 BLOCK_BYTES = 8 << 20  # of text that ask for their n-grams together
 _SPACE = words.byte_set(b"\x20\x09\x0a\x0b\x0c\x0d")
 _PUNCTUATION = b"!\"#$%&'()*+-/:;<=>?@[\\]^_`{|}~"
@@ -95,11 +96,9 @@ CHARACTERS = Alphabet(21, 0x110002, 0x110001, True)
 
 @dataclass(frozen=True)
 class Settings:
-    typical: float = 0.5  # quantiles of trusted perplexities, per language
-    high: float = 0.99
-    margin: float = 1.0  # threshold: high + margin * (high - typical), in log perplexity
-    least_trusted: int = 50  # documents a language needs for quantiles of its own
-    evidence: float = 20.0  # log likelihood by which a text must miss the threshold; a few words cannot
+    high: float = 0.99  # the threshold: this quantile of trusted log perplexities, per language
+    least_trusted: int = 50  # documents a language needs for a quantile of its own
+    deviations: float = 1.645  # standard errors of its own mean by which a text must miss the threshold
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -275,14 +274,20 @@ def _asked(dealt: DataFrame, alphabet: Alphabet) -> DataFrame:
     return dealt.mapInArrow(ask, "block long, context long, symbol int").distinct()
 
 
-def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity", n_symbols: str = "n_symbols", text: str = "text") -> DataFrame:
-    """``docs`` with the two columns added to every row."""
+def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity", n_symbols: str = "n_symbols", text: str = "text", standard_error: str = "standard_error") -> DataFrame:
+    """``docs`` with the three columns added to every row.
+
+    The standard error is that of the mean over the text's own symbols. The spread among n symbols is taken
+    as one of n + ``FEW``, the others as far off the mean as a symbol drawn at random from the alphabet would be:
+    a few symbols cannot tell their spread.
+    """
     alphabet, block = model.alphabet, unused(docs, "_block")
+    far = float(np.log(alphabet.size)) ** 2
     dealt = keep(_blocks(docs, text, block), "blocks")
     asked = keep(_asked(dealt.select(F.col(f"`{text}`").cast("string"), block), alphabet), "asked")
     found = answer(keep(asked.select("context", "symbol").distinct(), "questions"), model)
     answers = asked.join(found, ["context", "symbol"]).select("block", "context", "symbol", F.log("p").alias("log_p"))
-    at, names = docs.columns.index(text), [*docs.columns, n_symbols, log_perplexity]
+    at, names = docs.columns.index(text), [*docs.columns, n_symbols, log_perplexity, standard_error]
 
     def scores(rows: pa.Table, known: pa.Table) -> pa.Table:
         context, symbol, log_p = (known.column(k).to_numpy() for k in ("context", "symbol", "log_p"))
@@ -291,18 +296,21 @@ def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity",
         starts = np.flatnonzero(np.diff(context, prepend=-1))
         contexts = context[starts]
         key = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(context))) << alphabet.bits | symbol
-        lengths, means = [], []
+        lengths, means, errors = [], [], []
         for _, _, data, offsets in words.text_slices(rows.column(at).combine_chunks(), SLICE_BYTES):
             body, where, counts = _body(data, offsets, alphabet)
             own_context, own_symbol, inverse = _distinct(body, where, alphabet, return_inverse=True)
             values = log_p[np.searchsorted(key, np.searchsorted(contexts, own_context) << alphabet.bits | own_symbol)]
-            sums = np.add.reduceat(values[inverse], np.cumsum(counts) - counts)
+            begins = np.cumsum(counts) - counts
+            mean = np.add.reduceat(values[inverse], begins) / counts
+            squares = np.add.reduceat((values[inverse] - np.repeat(mean, counts)) ** 2, begins)
             lengths.append(counts)
-            means.append(-sums / counts)
-        columns = [rows.column(k) for k in range(len(names) - 2)]
-        return pa.table([*columns, pa.array(np.concatenate(lengths)), pa.array(np.concatenate(means))], names=names)
+            means.append(-mean)
+            errors.append(np.sqrt((squares + FEW * far) / (counts + FEW) / counts))
+        columns = [rows.column(k) for k in range(len(names) - 3)]
+        return pa.table([*columns, *(pa.array(np.concatenate(v)) for v in (lengths, means, errors))], names=names)
 
-    schema = StructType([*docs.schema.fields, StructField(n_symbols, LongType()), StructField(log_perplexity, DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(n_symbols, LongType()), StructField(log_perplexity, DoubleType()), StructField(standard_error, DoubleType())])
     return dealt.groupBy(block).cogroup(answers.groupBy("block")).applyInArrow(scores, schema)
 
 
@@ -317,10 +325,8 @@ def thresholds(scores: DataFrame, settings: Settings = Settings()) -> tuple[Data
     def limits(counts: DataFrame, *by: str) -> DataFrame:
         upto = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
         ranked = counts.select(*by, "bin", F.sum("n").over(upto).alias("upto"), F.sum("n").over(Window.partitionBy(*by)).alias("total"))
-        at = [F.min(F.when(F.col("upto") >= F.col("total") * q, F.col("bin"))) for q in (settings.typical, settings.high)]
-        grouped = ranked.groupBy(*by).agg(at[0].alias("typical"), at[1].alias("high"), F.max("total").alias("total"))
-        limit = (F.col("high") + settings.margin * (F.col("high") - F.col("typical"))) / 1000
-        return grouped.select(*by, limit.alias("threshold"), "total")
+        high = F.min(F.when(F.col("upto") >= F.col("total") * settings.high, F.col("bin")))
+        return ranked.groupBy(*by).agg((high / 1000).alias("threshold"), F.max("total").alias("total"))
 
     own = keep(limits(counted, "lang").where(F.col("total") >= settings.least_trusted).select("lang", "threshold"), "thresholds")
     every = limits(counted.groupBy("bin").agg(F.sum("n").alias("n")).withColumn("_all", F.lit(1)), "_all").first()
@@ -337,15 +343,15 @@ class Judge:
     settings: Settings
 
     def decide(self, docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[DataFrame, dict[str, str]]:
-        """``docs`` with four columns more; their names in ``docs``'s terms."""
-        names = {n: unused(docs, n) for n in ("log_perplexity", "n_symbols", "threshold", "kept")}
-        scored = score(docs, self.model, names["log_perplexity"], names["n_symbols"], text)
+        """``docs`` with five columns more; their names in ``docs``'s terms."""
+        names = {n: unused(docs, n) for n in ("log_perplexity", "n_symbols", "standard_error", "threshold", "kept")}
+        scored = score(docs, self.model, names["log_perplexity"], names["n_symbols"], text, names["standard_error"])
         of_lang = unused(scored, "_lang")
         own = self.own.select(F.col("lang").alias(of_lang), F.col("threshold").alias(names["threshold"]))
         rows = scored.join(checked_broadcast(own), F.col(lang).cast("string").eqNullSafe(F.col(of_lang)), "left").drop(of_lang)
         rows = rows.withColumn(names["threshold"], F.coalesce(names["threshold"], F.lit(self.overall).cast("double")))
-        excess = (F.col(names["log_perplexity"]) - F.col(names["threshold"])) * F.col(names["n_symbols"])
-        kept = F.col(names["threshold"]).isNull() | (excess <= self.settings.evidence)
+        allowed = F.col(names["threshold"]) + self.settings.deviations * F.col(names["standard_error"])
+        kept = F.col(names["threshold"]).isNull() | (F.col(names["log_perplexity"]) <= allowed)
         return rows.withColumn(names["kept"], kept), names
 
 

@@ -239,3 +239,18 @@ def test_every_character_is_a_symbol(spark):
         want = -np.mean([np.log(p(tuple(s[k - 3 : k]), s[k])) for k in range(3, len(s))])
         assert got[i].n_symbols == len(s) - 3 and abs(got[i].log_perplexity - want) < 1e-9
     assert min(got[1].log_perplexity, got[2].log_perplexity) > got[0].log_perplexity + 1  # letters of the same kind, not the same letters
+
+
+def test_threshold_is_the_quantile_and_length_the_only_allowance(spark):
+    scores = spark.createDataFrame([("en", k / 100) for k in range(1, 101)], "lang string, log_perplexity double")
+    own, overall = quality.thresholds(scores)
+    assert [r.threshold for r in own.collect()] == [overall] == [0.99]
+    rng = random.Random(9)
+    draw = lambda n: " ".join(dict.fromkeys("".join(rng.choice("abcdef ") for _ in range(n)).split()))
+    model = quality.train(frame(spark, [draw(200) for _ in range(20)]).select("text"), quality.CHARACTERS)
+    docs = frame(spark, [draw(4000), None, "a"])
+    level = {r.doc_id: r for r in quality.score(docs, model).collect()}
+    below = level[0].log_perplexity - 3 * level[0].standard_error  # in the old margin, far outside of what chance explains
+    own = spark.createDataFrame([("en", below)], "lang string, threshold double")
+    decided, names = quality.Judge(model, own, None, quality.Settings()).decide(docs)
+    assert {r.doc_id: r[names["kept"]] for r in decided.collect()} == {0: False, 1: True, 2: True}
