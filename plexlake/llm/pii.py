@@ -70,7 +70,8 @@ class Kind:
         if self.name == "phone":
             return F.length(_digits(match)).between(9, 15)
         if self.name == "iban":
-            return F.length(match).between(15, 34) & mod97(match)
+            account = F.regexp_replace(match, "[\\x20-]", "")
+            return F.length(account).between(15, 34) & mod97(account)
         return F.lit(True)
 
 
@@ -83,7 +84,22 @@ BASE = (
     Kind("card", r"(?:[0-9][\x20-]?){12}", r"[0-9]++(?:[\x20-][0-9]++)*+", 0.8, r"card|visa|karte|carte|tarjeta|credit", r"order|invoice|isbn|serial"),
     Kind("phone", r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]", 0.7, r"phone|call|mobile|telefon|t[eé]l[eé]fono?"),
 )
-ADDED = (Kind("iban", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", 0.8, r"iban|konto|account|bank|compte|cuenta"),)
+# The registered lengths of accounts by country: where a printed one ends cannot be told from its form.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+# Unbroken ones are as long as their run, whatever the country; printed ones have one space or hyphen in places.
+_UNBROKEN = r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
+_PRINTED = "|".join(rf"(?:{'|'.join(lands.split())})(?:[\x20-]?[0-9]){{2}}(?:[\x20-]?[A-Z0-9]){{{n - 4}}}" for n, lands in IBAN_LENGTHS.items())
+ADDED = (
+    Kind(
+        "iban", r"[A-Z]{2}(?:[\x20-]?[0-9]){2}(?:[\x20-]?[A-Z0-9]){11}", rf"(?<![A-Za-z0-9])(?:(?:{_PRINTED})(?![A-Za-z0-9])|{_UNBROKEN})",
+        0.8, r"iban|konto|account|bank|compte|cuenta",
+    ),
+)
 KINDS = BASE + ADDED
 
 

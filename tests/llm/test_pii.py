@@ -60,3 +60,16 @@ def test_redaction(spark):
     assert [rows[i].text for i in range(6)] == ["mail [EMAIL] now", "[EMAIL]", None, "", "[IP] and [CARD].", "none"]
     assert rows[0].n_chars == len(rows[0].text) and rows[2].n_chars == 0
     assert pii.redacted(docs.limit(0)).count() == 0
+
+
+def test_printed_ibans(spark):
+    printed = ["DE89 3704 0044 0532 0130 00", "GB82-WEST-1234-5698-7654-32", "NO93 8601 1117 947", "GB82WEST12345698765432", "FR14 2004 1010 0505 0001 3M02 606", "DE893704004405320130 00"]
+    texts = [f"to {iban}{after}" for iban in printed for after in ("", " 5 EUR", " BIC COBADEFF", ", now", "-A")]
+    texts += ["DE88 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 005", "DE89  3704 0044 0532 0130 00", "XDE89 3704 0044 0532 0130 00"]
+    rows = {r.doc_id: r for r in pii.find_spans(frame(spark, texts).withColumnRenamed("source", "spans")).collect()}
+    for i, text in enumerate(texts[:30]):
+        found = [text[s.start : s.end] for s in rows[i].spans if s.kind == "iban"]
+        assert found == [printed[i // 5]], text
+    assert not any(s.kind == "iban" for i in range(30, len(texts)) for s in rows[i].spans)
+    done = {r.doc_id: r.text for r in pii.redacted(frame(spark, texts)).collect()}
+    assert done[3] == "to [IBAN], now" and done[0] == "to [IBAN]"
