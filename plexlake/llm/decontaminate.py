@@ -12,8 +12,7 @@ prefix for full containment, must be there.
    compared word by word with the document around the place.
 4. Words inside any occurrence are counted once.
 
-Words are made with A-Z lowered. The search for candidates lowers all letters, which is faster
-and can only add candidates; the comparison is exact.
+Words are made with A-Z lowered, in the search for candidates as in the comparison.
 
 Defined results: NULL and empty texts have no words; an item without words has no window, one of
 fewer words than ``size`` is one window; items without an id are left out, items that share one
@@ -71,13 +70,13 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def prefix_words(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(prefix, place, words, items): every window under its rarest word, with that word's place in it."""
-    vocabulary = keep(found.select(F.explode("words").alias("word")).distinct().select("word", F.lower("word").alias("_w")), "vocabulary")
-    in_docs = docs.select(F.explode(F.array_distinct(word_list(F.lower("text")))).alias("_w"))
+    vocabulary = keep(found.select(F.explode("words").alias("word")).distinct().select("word", F.col("word").alias("_w")), "vocabulary")
+    in_docs = docs.select(F.explode(F.array_distinct(word_list(ascii_lower(F.col("text"))))).alias("_w"))
     counted = in_docs.join(checked_broadcast(vocabulary.select("_w").distinct()), "_w").groupBy("_w").agg(F.count(F.lit(1)).alias("n"))
     rarity = keep(vocabulary.join(counted, "_w", "left").select("word", F.coalesce("n", F.lit(0)).alias("n")), "rarity")
     placed = found.select("window", F.posexplode("words").alias("place", "word")).join(rarity, "word")
     rarest = placed.groupBy("window").agg(F.min(F.struct("n", "word", "place")).alias("r"))
-    filed = rarest.join(found, "window").select(F.lower("r.word").alias("prefix"), "r.place", "words", "items")
+    filed = rarest.join(found, "window").select(F.col("r.word").alias("prefix"), "r.place", "words", "items")
     return keep(filed, "prefixes")
 
 
@@ -86,12 +85,12 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Data
     keyed = _documents(docs)
     filed = prefix_words(keyed, windows(benchmark, size))
     prefixes = checked_broadcast(keep(filed.select("prefix").distinct(), "prefix-words"))
-    met = keyed.select("_doc", "_text", F.explode(F.array_distinct(word_list(F.lower("text")))).alias("prefix")).join(prefixes, "prefix")
+    met = keyed.select("_doc", "_text", F.explode(F.array_distinct(word_list(ascii_lower(F.col("text"))))).alias("prefix")).join(prefixes, "prefix")
     candidates = keep(met.groupBy("_doc", "_text").agg(F.collect_set("prefix").alias("prefixes")), "candidates")
     # written, so that the words of a text are split once and not again in every lambda below
     texts = keep(
         keyed.join(candidates, ["_doc", "_text"]).select("_doc", "_text", "prefixes", word_list(ascii_lower(F.col("text"))).alias("w")).withColumn(
-            "lw", F.transform("w", F.lower)
+            "lw", F.col("w")
         ),
         "candidate-words",
     )
@@ -121,7 +120,7 @@ def _answers(docs: DataFrame, benchmark: DataFrame, size: int, one_in: int) -> D
     items = found.select(*key, F.explode("items").alias("item")).distinct()
     items = items.groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("item_ids"))
     answers = keep(hit.join(items, key), "hits")
-    words = _documents(docs).select("doc_id", *key, F.size(word_list(F.lower("text"))).cast("long").alias("n_words"))
+    words = _documents(docs).select("doc_id", *key, F.size(word_list(ascii_lower(F.col("text")))).cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     rows = words.join(answers, key, "left").select(

@@ -46,3 +46,10 @@ def test_empty_tables_and_null_ids(spark):
     assert [r.text for r in decontaminate.clean(docs, items).collect()] == ["c"]
     assert decontaminate.contamination(docs.limit(0), items).count() == 0
     assert decontaminate.contamination(docs, items.limit(0)).where("contaminated").count() == 0
+
+
+def test_capital_sigma_at_a_separator(spark):
+    words = "ΧΥΣ"
+    items = spark.createDataFrame([(1, words)], "item_id long, text string")
+    rows = decontaminate.contamination(frame(spark, ["ΧΥΣ.Α", "ΧΥΣ Α", "χυσ"]), items).orderBy("doc_id").collect()
+    assert [r.n_hit for r in rows] == [1, 1, 0]
