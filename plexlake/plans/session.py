@@ -57,12 +57,18 @@ def remove_stages(spark: SparkSession) -> int:
 
     Only paths handed out by :func:`scratch_path` go; how many of them there were.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    gone = 0
-    for name in _made.pop(spark.sparkContext.applicationId, []):
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        gone += bool(path.getFileSystem(conf).delete(path, True))
-    return gone
+    return sum(_delete(spark, path) for path in _made.pop(spark.sparkContext.applicationId, []))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete one path that :func:`scratch_path` handed out, before the end."""
+    _made.get(spark.sparkContext.applicationId, []).remove(path)
+    _delete(spark, path)
+
+
+def _delete(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
