@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexlake.llm import decontaminate, licenses, neardup, packing, pii, quality, secret_scan, token_files, toxicity, vectors
+from plexlake.llm import clusters, codes, decontaminate, licenses, neardup, packing, pii, quality, secret_scan, token_files, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -173,3 +173,75 @@ def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_notices"), families.alias("families"),
         F.array_join(F.transform("notices", one), ",").alias("spans"),
     )
+
+
+@query("""WITH
+t AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest FROM t),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM d JOIN f USING (payload_digest)""")
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_pages(table(spark, sf_dir, "pages"))
+    return warc.page_digests(warc.captures(warc.read_records(spark, path)))
+
+
+_FLOOR = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"  # exact, down also below zero
+
+
+def _whole_vectors(condition: str) -> str:
+    return f"""v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND {condition}
+  AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))"""
+
+
+def _cluster_sql(rounds: int = 5) -> str:
+    steps = [
+        "WITH " + _whole_vectors("len(embedding) = 64"),
+        "c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k, e AS c FROM v"
+        " QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id)) <= 40)",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, any_value(e) AS e, min(d) AS d, CAST(arg_min(k, (d, k)) AS INTEGER) AS k FROM (
+  SELECT vec_id, e, k, CAST(list_sum(list_transform(range(1, 65), lambda i: (e[i] - c[i]) * (e[i] - c[i]))) AS BIGINT) AS d FROM v, c{r}) GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT k, i, sum(e[i]) AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY k, i),
+n{r} AS (SELECT k, list({_FLOOR} ORDER BY i) AS c FROM m{r} GROUP BY k),
+c{r + 1} AS MATERIALIZED (SELECT k, coalesce(n{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN n{r} USING (k))""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, k AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} USING (k)"""
+
+
+@query(_cluster_sql())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings")).described()
+
+
+def _code_sql(rounds: int = 2) -> str:
+    steps = [
+        "WITH " + _whole_vectors("len(embedding) > 0"),
+        "parts AS MATERIALIZED (SELECT vec_id, p, e[1 + p * len(e) // 16 : (p + 1) * len(e) // 16] AS x FROM v, range(16) t(p))",
+        "b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS c FROM parts"
+        " QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 64)",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, p, any_value(x) AS x, min(d) AS d, arg_min(k, (d, k)) AS k FROM (
+  SELECT vec_id, p, x, k, CAST(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS BIGINT) AS d
+  FROM parts JOIN b{r} USING (p)) GROUP BY vec_id, p)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT p, k, i, sum(y) AS s, count(*) AS n FROM (
+  SELECT p, k, unnest(x) AS y, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY p, k, i),
+n{r} AS (SELECT p, k, list({_FLOOR} ORDER BY i) AS c FROM m{r} GROUP BY p, k),
+b{r + 1} AS MATERIALIZED (SELECT p, k, coalesce(n{r}.c, b{r}.c) AS c FROM b{r} LEFT JOIN n{r} USING (p, k))""")
+    return ",\n".join(steps) + f""",
+coded AS (SELECT vec_id, string_agg(lpad(to_hex(k), 2, '0'), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, lower(code) AS code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, k)) FROM b{rounds}) AS codebooks_sha256 FROM coded JOIN v USING (vec_id)"""
+
+
+@query(_code_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings")).described()

@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from plexlake.plans.session import scratch_path
+from plexlake.plans.session import delete_path, scratch_path
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write once, compressed, and read back: cuts the lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._kept_at = path
+    return kept
+
+
+def remove(kept: DataFrame) -> None:
+    """Delete the files of a table that :func:`keep` returned, once nothing reads it any more."""
+    delete_path(kept.sparkSession, kept._kept_at)
 
 
 def unused(df: DataFrame, name: str) -> str:
