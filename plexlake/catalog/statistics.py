@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plexlake.catalog import bindings as b
 from plexlake.catalog.registry import ANNOTATED, DENSE, query, r6, with_ctes
-from plexlake.operators import annotate, clean, meta, model, project, results
+from plexlake.operators import annotate, arrays, clean, meta, model, project, results
 from plexlake.plans.session import materialise
 
 PAIRS = model.pairwise_contrasts(b.GROUPS)
@@ -172,8 +172,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY sample_a ORDER BY distance) AS n
 SELECT sample_a, sample_b, neighbour FROM r WHERE neighbour <= 3""")
 def nearest_neighbours(spark, sf_dir):
     names = _names(spark, sf_dir)
-    distances = project.sample_distances(project.gram(_cells(spark, sf_dir), names, "intens", scale=False), names)
-    return project.nearest_neighbours(distances, 3).select("sample_a", "sample_b", "neighbour")
+    rows = materialise(project.gram_rows(arrays.from_cells(_cells(spark, sf_dir), names, "intens"), len(names), ["raw"]), "gram")
+    return project.nearest_neighbours(rows, names, 3).select("sample_a", "sample_b", "neighbour")
 
 
 # --- model ------------------------------------------------------------------------------

@@ -71,15 +71,15 @@ def running_number(meta: DataFrame, group: str = "exp_group") -> DataFrame:
     return meta.withColumn("running_number", F.row_number().over(Window.partitionBy(group).orderBy("sample_name")))
 
 
-def readable_names(meta: DataFrame, words: Mapping[str, str] | None = None, ending: str = "number") -> DataFrame:
+def readable_names(meta: DataFrame, words: Mapping[str, str] | None = None, ending: str = "number", sep: str = "_") -> DataFrame:
     """Add ``label``: the group, its words replaced, with the sample's number or a running one."""
     named = meta.withColumn("exp_group", replace_words(F.col("exp_group"), words or {}))
     if ending == "running":
         number = F.col("running_number").cast("string")
-        return running_number(named).withColumn("label", F.concat_ws("_", "exp_group", number)).drop("running_number")
+        return running_number(named).withColumn("label", F.concat_ws(sep, "exp_group", number)).drop("running_number")
     if ending != "number":
         raise ValueError(f"unknown ending {ending!r}")
-    return named.withColumn("label", readable_label(F.col("exp_group"), F.col("sample_number")))
+    return named.withColumn("label", readable_label(F.col("exp_group"), F.col("sample_number"), sep))
 
 
 def samples_on_one_side(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plexlake.functions.scalars import quoted, readable_label
-from plexlake.operators import model
+from plexlake.operators import arrays, model
 from plexlake.operators.annotate import attach_annotation, results_with_values
 from plexlake.operators.clean import significant
 from plexlake.operators.project import row_z
 from plexlake.plans.session import materialise
-from plexlake.plans.sizing import LARGE_GROUP_ROWS, broadcast_if
+from plexlake.plans.sizing import LARGE_GROUP_ROWS, broadcast_if, checked_broadcast
 
 _BINS = 256
 
@@ -125,3 +125,14 @@ def heat_map(
     scored = row_z(results_with_values(hits, long, value, feature), value, feature)
     labels = meta.select("sample_name", readable_label(F.col("exp_group"), F.col("sample_number"), ".").alias("label"))
     return scored.join(broadcast_if(labels, n_samples), "sample_name").select(feature, "label", "z")
+
+
+def heat_map_of_cells(
+    results: DataFrame, cells: DataFrame, samples: Sequence[str], labels: DataFrame, below: float = 0.01,
+    feature: str = "protein_group", n_samples: int | None = None,
+) -> DataFrame:
+    """:func:`heat_map` from (feature, c): z-scores within the row, samples under the names in ``labels`` (sample_name, label)."""
+    hits = checked_broadcast(significant(results, below=below).select(feature).distinct())
+    scored = arrays.standardise(cells.join(hits, feature, "left_semi"), len(samples), False, feature)
+    rows = arrays.cells_to_long(scored, samples, "z", feature)
+    return rows.join(broadcast_if(labels.select("sample_name", "label"), n_samples), "sample_name").select(feature, "label", "z")

@@ -1,23 +1,22 @@
 """The end-to-end workflows: from export files to ranked tables.
 
 Each entry turns its own file layout into the long table; everything after that is the
-shared :func:`quantify`. The long table is written once to shared storage, because
-metrics, normalisation and model all read it.
+shared :func:`quantify`, which keeps one row per feature and writes each stage once to shared storage.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from plexlake.functions import scalars
-from plexlake.operators import annotate, batch, checks, clean, meta, model, normalize, project, qc, reshape, results, search
+from plexlake.operators import annotate, arrays, batch, checks, clean, meta, model, normalize, project, qc, reshape, results, search
 from plexlake.plans.session import materialise
-from plexlake.plans.sizing import broadcast_if, measure
+from plexlake.plans.sizing import Extent, broadcast_if
 from plexlake.sources import columns, tables
 from plexlake.sources.fasta import read_fasta
 
@@ -53,6 +52,7 @@ class Settings:
     contrasts: model.Contrasts | None = None  # all pairs by default
     reversed_contrasts: Sequence[str] = ()
     neighbours: int = 3
+    components: int = project.COMPONENTS  # principal components, at most
     significance: float = 0.01
     keep_pools: bool = True
     words: Mapping[str, str] = field(default_factory=dict)  # replaced in the names of groups and samples
@@ -182,18 +182,30 @@ def cleaned_sites_tsv(spark: SparkSession, path: str) -> Features:
 
 
 def quantify(features: Features, metadata: DataFrame, settings: Settings = Settings()) -> dict[str, DataFrame]:
-    """All result tables of a run, by name."""
+    """All result tables of a run, by name.
+
+    Values stay one row per feature, in arrays, from the input to the fit: a table without repeated features is
+    never shuffled by feature, any other once. Features with very many rows go through the operators on long
+    tables instead, with the same medians and priors. Long tables in the result are views of the arrays.
+    """
     spark = features.wide.sparkSession
     n = len(features.samples)
     metadata = materialise(metadata, "metadata")
     n_meta = metadata.count()  # one row per sample; decides the broadcasts below
-    raw = reshape.to_long(features.wide.select(FEATURE, *features.samples), features.samples)
-    long = materialise(raw.withColumn("intens", scalars.log2_intensity(F.col("intens"))), "long")
-    size = measure(long)
+    gathered, hot_rows = arrays.gather(features.wide.select(FEATURE, *features.samples), features.samples, scalars.log2_intensity, FEATURE)
+    raw = materialise(gathered, "raw")
+    hot = None
+    if hot_rows is not None:
+        hot = reshape.to_long(hot_rows, features.samples)
+        hot = materialise(hot.withColumn("intens", scalars.log2_intensity(F.col("intens").cast("double"))), "hot")
+    both = lambda table, more: table if more is None else table.unionByName(more)
+    long = both(arrays.to_long(raw, features.samples, {"raw": "intens"}), hot)
+    n_rows = raw.agg(F.sum(F.size("raw"))).first()[0] or 0
+    size = Extent(n, n_rows + (hot_rows.count() if hot_rows is not None else 0))
 
     scope = clean.keep_common_samples(long, metadata, n_meta) if settings.median_scope == "mapped" else long
     median_all = qc.global_median(scope, "intens", size)
-    medians = qc.flag_high_medians(qc.sample_medians(long, "intens", size))
+    medians = materialise(qc.flag_high_medians(qc.sample_medians(long, "intens", size)), "medians")
     flagged = qc.flag_maximum(qc.attach_samples(long, medians, size), "intens", size)
     described = meta.attach_metadata(flagged, metadata, n_meta)
     plain = meta.attach_metadata(long, metadata, n_meta)  # without the medians and flags, which these do not need
@@ -202,49 +214,42 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
     missing = qc.missing_per_feature(plain)
     of_sample = lambda table: meta.attach_metadata(table, metadata, n_meta)
 
-    kept = clean.remove_samples(described.drop("high", "is_max"), settings.removed_samples)
-    normalised = normalize.shift_to_median(kept, median_all)
-    filled = normalize.impute(
-        clean.filter_missing(normalised, settings.max_missing, "normalized_intensity"), "normalized_intensity", settings.imputation
-    )
-    filled = materialise(filled, "normalised")
-    if settings.batch == "combat":
-        batches = settings.batches
-        if batches is None:
-            batches = metadata.select("sample_name", scalars.plex_of(F.col("sample_name")).alias("batch"))
-        unbatched = batch.combat(filled, batches)
-    elif settings.batch == "pool":
-        unbatched = batch.pool_reference(filled)
-    elif settings.batch == "none":
-        unbatched = batch.no_batch(filled)
-    else:
-        raise ValueError(f"unknown batch method {settings.batch!r}")
-    unbatched = materialise(unbatched, "unbatched")
+    # what is known of the samples that stay: one row each, in the order of their names
+    about = of_sample(medians.drop("high")).withColumn("_group", scalars.syntactic_name(F.col("exp_group")))
+    known = {r["sample_name"]: r for r in about.collect()}
+    if about.count() > len(known):
+        raise ValueError("a sample has several rows of metadata")
+    samples = sorted(set(known) - set(settings.removed_samples))
+    value_all = median_all.first()["median_all"]
+    values = _Values(raw, hot, samples, known, about.drop("_group"), size)
+    filled = values.normalised(features.samples, value_all, settings)
+    unbatched = filled.corrected(settings)
     if settings.renormalise:
-        unbatched = materialise(normalize.renormalise(unbatched, extent=size), "renormalised")
-
-    value = "unbatched_intensity"
-    samples = list(meta.sample_names(unbatched))
-    before = reshape.cells(filled, "normalized_intensity")
-    after = materialise(reshape.cells(unbatched, value), "cells")
-    scores_before, components_before = project.pca(before, samples, "normalized_intensity")
-    scores_after, components_after = project.pca(after, samples, value)
-    distances = project.sample_distances(project.gram(after, samples, value, scale=False), samples)
-
-    used = clean.keep_common_samples(metadata, unbatched, n)
+        unbatched = unbatched.renormalised()
+    samples, value = unbatched.samples, "unbatched_intensity"
+    before = filled.cells("v")
+    after = materialise(unbatched.cells("u"), "cells")
+    scores_before, components_before = project.pca_of_cells(before, filled.samples, settings.components)
+    scores_after, components_after = project.pca_of_cells(after, samples, settings.components)
+    products = materialise(project.gram_rows(after, len(samples), ["raw"]), "gram")
+
+    names = spark.createDataFrame([(name,) for name in samples], "sample_name string")
+    used = clean.keep_common_samples(metadata, names, n)
     if not settings.keep_pools:
         used = used.where(~F.startswith("group_number", F.lit("POOL")))
-    rows = after.join(broadcast_if(used, n_meta), "sample_name")
+    used_names = {r["sample_name"] for r in used.select("sample_name").collect()}
     sizes = model.group_sizes(used)
     contrasts = settings.contrasts or model.pairwise_contrasts(list(sizes))
     contrasts = model.reverse_contrasts(contrasts, settings.reversed_contrasts)
     model.check_contrasts(contrasts, list(sizes))
-    fit = materialise(model.fit_groups(rows, value), "fit")
+    fit = materialise(arrays.fit_groups(after, [known[s]["_group"] if s in used_names else None for s in samples], FEATURE), "fit")
     prior = model.variance_prior(fit)
     overall = materialise(results.overall_results(fit, contrasts, sizes, features.annotation, prior=prior), "overall")
-    by_contrast = results.contrast_results(fit, contrasts, features.annotation, prior=prior)
+    by_contrast = materialise(results.contrast_results(fit, contrasts, features.annotation, prior=prior), "by_contrast")
     labels = meta.readable_names(used, settings.words, settings.label)
-    matrix = reshape.expression_matrix(after, samples, value)
+    dotted = meta.readable_names(used, settings.words, settings.label, ".")
+    matrix = arrays.matrix(after, samples)
+    readable = reshape.rename_samples(matrix, labels)
     breaches = {
         **features.checks,
         "unmapped_samples": checks.unmapped_samples(long, metadata),
@@ -255,32 +260,148 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
         "metadata": meta.order_by_group(metadata),
         "long": described,
         "boxes_raw": qc.box_statistics(long, "intens", size),
-        "boxes_normalised": qc.box_statistics(filled, "normalized_intensity", size),
-        "boxes_unbatched": qc.box_statistics(unbatched, value, size),
+        "boxes_normalised": qc.box_statistics(filled.long("v", "normalized_intensity"), "normalized_intensity", size),
+        "boxes_unbatched": qc.box_statistics(unbatched.long("u", value), value, size),
         "completeness": of_sample(completeness),
         "mean_completeness": qc.mean_line(completeness, "completeness"),
         "detected": of_sample(detected),
         "mean_detected": qc.mean_line(detected, "n_detected"),
         "missing_histogram": qc.missing_histogram(missing),
-        "processed": unbatched,
+        "processed": unbatched.processed(),
         "pca_scores_normalised": of_sample(scores_before),
         "pca_components_normalised": components_before,
         "pca_scores": of_sample(scores_after),
         "pca_components": components_after,
-        "neighbours": project.nearest_neighbours(distances, settings.neighbours),
+        "neighbours": project.nearest_neighbours(products, samples, settings.neighbours),
         "sample_labels": labels,
         "expression_matrix": matrix,
-        "readable_matrix": reshape.rename_samples(matrix, labels),
+        "readable_matrix": readable,
         "contrasts": model.contrast_table(spark, contrasts),
         "overall": results.ranked(overall),
         "by_contrast": by_contrast,
-        "by_contrast_with_values": by_contrast.join(reshape.rename_samples(matrix, labels), FEATURE, "left"),
-        "heat_map": results.heat_map(overall, after, used, value, settings.significance, n_samples=n_meta),
+        "by_contrast_with_values": by_contrast.join(readable, FEATURE, "left"),
+        "heat_map": results.heat_map_of_cells(overall, after, samples, dotted, settings.significance, FEATURE, n_meta),
     }
 
 
+@dataclass(frozen=True)
+class _Values:
+    """The values of a run: features as arrays, those with very many rows in long form, and the samples they cover."""
+
+    table: DataFrame  # (feature, raw, v, u) as far as they have come
+    hot: DataFrame | None  # (feature, sample_name, intens, normalized_intensity, unbatched_intensity) likewise
+    samples: list[str]
+    known: Mapping[str, Row]  # MED and metadata by sample
+    about: DataFrame  # the same as a table
+    size: Extent
+
+    def _of(self, column: str) -> list:
+        return [self.known[s][column] for s in self.samples]
+
+    def long(self, column: str, name: str) -> DataFrame:
+        rows = arrays.to_long(self.table, self.samples, {column: name}, FEATURE)
+        return rows if self.hot is None else rows.unionByName(self.hot.select(FEATURE, "sample_name", name))
+
+    def cells(self, column: str) -> DataFrame:
+        rows = arrays.cells(self.table, len(self.samples), column, FEATURE)
+        if self.hot is None:
+            return rows
+        value = {"v": "normalized_intensity", "u": "unbatched_intensity"}[column]
+        return rows.unionByName(arrays.from_cells(reshape.cells(self.hot, value, FEATURE), self.samples, value, FEATURE))
+
+    def processed(self) -> DataFrame:
+        names = {"raw": "intens", "v": "normalized_intensity", "u": "unbatched_intensity"}
+        rows = arrays.to_long(self.table, self.samples, names, FEATURE)
+        if self.hot is not None:
+            rows = rows.unionByName(self.hot.select(rows.columns))
+        return rows.join(broadcast_if(self.about, len(self.known)), "sample_name").select(
+            "sample_name", FEATURE, "intens", *self.about.columns[1:], "normalized_intensity", "unbatched_intensity"
+        )
+
+    def _hot_with_samples(self) -> DataFrame:
+        return self.hot.join(broadcast_if(self.about, len(self.known)), "sample_name")
+
+    def normalised(self, all_samples: Sequence[str], median_all: float | None, settings: Settings) -> _Values:
+        """Samples moved to the common median, features with many missing values out, the others filled if asked."""
+        if settings.imputation not in ("no", "group_median", "sample_floor"):
+            raise ValueError(f"unknown imputation {settings.imputation!r}")
+        at = {s: i for i, s in enumerate(all_samples)}
+        none = float("nan")
+        shift = [none if median_all is None or m is None else median_all - m for m in self._of("MED")]
+        groups = self._of("exp_group") if settings.imputation == "group_median" else None
+        table = arrays.normalise(self.table, len(all_samples), [at[s] for s in self.samples], shift, settings.max_missing, groups, FEATURE)
+        value, hot = "normalized_intensity", None
+        if self.hot is not None:
+            rows = clean.remove_samples(self._hot_with_samples(), settings.removed_samples)
+            moved = rows.withColumn(value, F.col("intens") - F.col("MED") + F.lit(median_all).cast("double"))
+            kept = clean.filter_missing(moved, settings.max_missing, value, FEATURE)
+            how = "group_median" if groups is not None else "no"
+            hot = normalize.impute(kept, value, how, FEATURE).select(FEATURE, "sample_name", "intens", value)
+        done = self._written(table, hot, "normalised")
+        if settings.imputation != "sample_floor":
+            return done
+        floors = normalize.sample_floors(done.long("v", value), value, self.size)
+        found = {r["sample_name"]: r["_floor"] for r in floors.collect()}  # one row per sample
+        low = [none if found.get(s) is None else found[s] for s in self.samples]
+        table = arrays.filled(done.table, len(self.samples), low, FEATURE)
+        hot = None if done.hot is None else normalize.impute(done.hot, value, "sample_floor", FEATURE, floors=floors)
+        return done._written(table, hot, "filled")
+
+    def corrected(self, settings: Settings) -> _Values:
+        value, out = "normalized_intensity", "unbatched_intensity"
+        if settings.batch == "none":
+            hot = None if self.hot is None else batch.no_batch(self.hot)
+            return replace(self, table=self.table.withColumn("u", F.col("v")), hot=hot)
+        if settings.batch == "pool":
+            table = arrays.pool_reference(self.table, self._of("plex"), [p == "POOL" for p in self._of("sample_or_pool")], FEATURE)
+            hot = None
+            if self.hot is not None:
+                hot = batch.pool_reference(self._hot_with_samples(), value, FEATURE).select(FEATURE, "sample_name", "intens", value, out)
+            return self._written(table, hot, "unbatched")
+        if settings.batch != "combat":
+            raise ValueError(f"unknown batch method {settings.batch!r}")
+        named = settings.batches
+        if named is None:
+            named = self.about.select("sample_name", scalars.plex_of(F.col("sample_name")).alias("batch"))
+        rows = clean.keep_common_samples(named, self.about, len(self.known)).where("batch IS NOT NULL").distinct().collect()
+        label = {r["sample_name"]: str(r["batch"]) for r in rows}  # at most one row per sample
+        samples = [s for s in self.samples if s in label]
+        places = [i for i, s in enumerate(self.samples) if s in label]
+        table = arrays.restricted(self.table, len(self.samples), places, FEATURE)
+        gaps = arrays.any_missing(table)
+        hot = more = batches = None
+        if self.hot is not None:
+            batches = self.table.sparkSession.createDataFrame(sorted(label.items()), "sample_name string, batch string")
+            batches = clean.keep_common_samples(batches, self.about, len(self.known))
+            rows = clean.keep_common_samples(self.hot, batches, len(label))
+            gaps = gaps or rows.where(F.col(value).isNull()).limit(1).count() > 0
+            more = batch.combat_statistics(rows, batches, value, FEATURE, len(label), gaps)
+        table, prior = arrays.combat(table, [label[s] for s in samples], FEATURE, more, gaps)
+        if self.hot is not None:
+            hot = batch.combat(rows, batches, value, FEATURE, prior, gaps).select(FEATURE, "sample_name", "intens", value, out)
+        return replace(self, samples=samples)._written(table, hot, "unbatched")
+
+    def renormalised(self) -> _Values:
+        """A second pass to the common median; a sample with any gap, and then all, becomes NULL."""
+        value = "unbatched_intensity"
+        medians, total = normalize.strict_medians(self.long("u", value), value, self.size)
+        medians = materialise(medians, "medians")
+        found, total = {r["sample_name"]: r["MEDIAN"] for r in medians.collect()}, total.first()["median_all"]
+        shift = [float("nan") if total is None or found.get(s) is None else total - found[s] for s in self.samples]
+        hot = None
+        if self.hot is not None:
+            rows = self.hot.join(broadcast_if(medians, len(self.samples)), "sample_name")
+            hot = rows.withColumn(value, F.col(value) - F.col("MEDIAN") + F.lit(total).cast("double")).drop("MEDIAN")
+        return self._written(arrays.shifted(self.table, len(self.samples), shift, "u", FEATURE), hot, "renormalised")
+
+    def _written(self, table: DataFrame, hot: DataFrame | None, name: str) -> _Values:
+        return replace(self, table=materialise(table, name), hot=None if hot is None else materialise(hot, f"hot_{name}"))
+
+
 def write_results(tables_by_name: Mapping[str, DataFrame], folder: str) -> None:
-    """Processed rows, matrix and overall table as TSV, contrasts one folder each."""
-    for name in ("metadata", "processed", "expression_matrix", "overall"):
+    """Processed rows, matrices, overall table and checks as TSV; contrasts, also with values, one folder each."""
+    whole = ["metadata", "processed", "expression_matrix", "readable_matrix", "overall"]
+    for name in [*whole, *(n for n in tables_by_name if n.startswith("check_"))]:
         tables.write_tsv(tables_by_name[name], f"{folder}/{name}")
-    tables.write_by_contrast(tables_by_name["by_contrast"], f"{folder}/by_contrast")
+    for name in ("by_contrast", "by_contrast_with_values"):
+        tables.write_by_contrast(tables_by_name[name], f"{folder}/{name}")
