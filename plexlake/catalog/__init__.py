@@ -4,7 +4,7 @@ from plexlake.catalog.registry import ORACLES, QUERIES
 
 
 def _load() -> None:
-    from plexlake.catalog import annotation, quality, statistics, tables  # noqa: F401
+    from plexlake.catalog import annotation, feature_arrays, quality, statistics, tables  # noqa: F401
 
 
 def all_queries():

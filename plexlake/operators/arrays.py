@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from plexlake.functions.scalars import quoted
-from plexlake.operators import batch as batches_
+from plexlake.operators.batch import combat_prior, posterior
 from plexlake.plans.sizing import broadcast_if
 
 MOST_ROWS = 1_000  # rows of one feature that are gathered
@@ -40,12 +40,13 @@ def _number(x: Column) -> Column:
 
 
 def gather(
-    wide: DataFrame, samples: Sequence[str], change: Callable[[Column], Column] = _number, feature: str = "protein_group", most_rows: int = MOST_ROWS
+    wide: DataFrame, samples: Sequence[str], change: Callable[[Column], Column] = _number, feature: str = "protein_group", most_rows: int | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(feature, raw) of all features with at most ``most_rows`` rows, and the wide rows of the others, if any.
+    """(feature, raw) of all features with at most ``most_rows`` (``MOST_ROWS``) rows, and the wide rows of the others, if any.
 
     ``change`` is applied to every value. There are at most rows / ``most_rows`` features of the second kind.
     """
+    most_rows = MOST_ROWS if most_rows is None else most_rows
     values = F.array(*[F.col(quoted(s)).cast("double") for s in samples])
     rows = wide.select(feature, F.transform(values, lambda x: _number(change(x))).alias("raw"))
     counts = wide.groupBy(feature).agg(F.count(F.lit(1)).alias("n"))
@@ -291,14 +292,14 @@ def combat(
     per_batch = table.select("v").mapInArrow(sites, "batch string, g_hat double, d_hat double")
     if more is not None:
         per_batch = per_batch.unionByName(more.select("batch", "g_hat", "d_hat"))
-    prior = batches_.combat_prior(per_batch)
+    prior = combat_prior(per_batch)
     found = {r["batch"]: r for r in prior.collect()}  # one row per batch
     numbers = np.array([[found[b][c] if b in found and found[b][c] is not None else np.nan for b in names] for c in ("g_bar", "t2", "a", "b")])
 
     def change(x: np.ndarray) -> np.ndarray:
         s = _sites(x, members, gaps)
         wide = [np.broadcast_to(row, s.n.shape).ravel() for row in numbers]
-        g, d = (p.reshape(s.n.shape) for p in batches_.posterior(s.n.ravel().astype(float), s.g_hat.ravel(), s.d_hat.ravel(), *wide))
+        g, d = (p.reshape(s.n.shape) for p in posterior(s.n.ravel().astype(float), s.g_hat.ravel(), s.d_hat.ravel(), *wide))
         spread, out = np.sqrt(s.pooled)[:, None, None], x.copy()
         for k, at in enumerate(members):
             part, grand = x[:, :, at], s.grand[:, None, None]

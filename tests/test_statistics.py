@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plexlake.functions import special
 from plexlake.functions.quantiles import cell_median, exact_quantiles, quantiles_by_counts
-from plexlake.operators import batch, model, project, results
+from plexlake.operators import arrays, batch, model, project, results
 from plexlake.plans.session import materialise
 
 GROUPS = {f"plex{p}_t_{c}": "ABC"[c % 3] for p in (1, 2) for c in range(6)}
@@ -344,7 +344,8 @@ def test_distances_and_neighbours(spark, pdf, long):
     want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     got = d.toPandas().pivot(index="sample_a", columns="sample_b", values="distance").loc[samples, samples].to_numpy()
     assert got == pytest.approx(want, abs=1e-5)
-    nearest = project.nearest_neighbours(d, 3).toPandas()
+    rows = project.gram_rows(arrays.from_cells(long, samples, "v"), len(samples))
+    nearest = project.nearest_neighbours(rows, samples, 3).toPandas()
     assert len(nearest) == 36
     assert (nearest[nearest.neighbour == 1].sample_a == nearest[nearest.neighbour == 1].sample_b).all()
 
