@@ -196,7 +196,7 @@ SELECT a.grp || '_vs_' || b.grp AS contrast, x.grp AS exp_group, CASE WHEN x.grp
 FROM g a JOIN g b ON a.grp < b.grp JOIN g x ON x.grp IN (a.grp, b.grp)""")
 def pairwise_contrasts(spark, sf_dir):
     groups = model.group_names(b.metadata(spark, sf_dir).where("group_number <> 'POOL'"))
-    return model.contrast_table(spark, model.pairwise_contrasts(groups))
+    return model.pairwise_table(spark, groups)
 
 
 @query(with_ctes(ANNOTATED) + """, g AS (SELECT DISTINCT grp FROM model_rows)
@@ -205,8 +205,7 @@ SELECT CASE WHEN a.grp = 'Group_A' AND b.grp = 'Group_R' THEN 'Group_R_vs_Group_
 FROM g a JOIN g b ON a.grp < b.grp JOIN g x ON x.grp IN (a.grp, b.grp)""")
 def reversed_contrasts(spark, sf_dir):
     groups = model.group_names(b.metadata(spark, sf_dir).where("group_number <> 'POOL'"))
-    turned = model.reverse_contrasts(model.pairwise_contrasts(groups), ["Group_A_vs_Group_R"])
-    return model.contrast_table(spark, turned)
+    return model.reverse_table(model.pairwise_table(spark, groups), ["Group_A_vs_Group_R"])
 
 
 EXPLICIT = {**model.versus_rest("Group_A", b.GROUPS), "N minus R": {"Group_N": 1.0, "Group_R": -1.0}}
@@ -216,7 +215,7 @@ EXPLICIT = {**model.versus_rest("Group_A", b.GROUPS), "N minus R": {"Group_N": 1
 def explicit_contrasts(spark, sf_dir):
     model.check_contrasts(EXPLICIT, b.GROUPS)
     out = model.apply_contrasts(model.fit_groups(b.model_rows(spark, sf_dir), "intens"), EXPLICIT)
-    return model.long_coefficients(out).select("protein_group", "contrast", r6("log_fc"), r6("unscaled"))
+    return out.select("protein_group", "contrast", r6("log_fc"), r6("unscaled"))
 
 
 @query(with_ctes(_coefs(PAIRS)) + f"""SELECT protein_group, contrast, round(log_fc / sqrt(unscaled * sigma2), 6) AS t,
@@ -351,5 +350,5 @@ def adjusted_p_values(spark, sf_dir):
 @query(_BH_LINES)
 def adjusted_p_values_in_bins(spark, sf_dir):
     """The path for groups too large for one window, heavy ties included."""
-    out = results.adjust_bh(_price_fraction(spark, sf_dir), by=["contrast"], small_rows=0, n_groups=3)
+    out = results.adjust_bh(_price_fraction(spark, sf_dir), by=["contrast"], small_rows=0)
     return out.withColumn("adj_p_value", r6("adj_p_value"))

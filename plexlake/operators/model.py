@@ -1,26 +1,26 @@
 """Per-feature linear model on groups, contrasts, and moderated statistics.
 
 With one indicator per group the least-squares fit is the group means, so the whole
-model is two keyed aggregates. The fitted table has one row per feature; contrasts are
-arithmetic inside the row and move no data.
+model is two keyed aggregates. The fitted table has one row per feature; contrasts are a small table that
+features meet in a broadcast join, so no feature moves.
 """
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from plexlake.functions.quantiles import exact_median, exact_quantiles
-from plexlake.functions.scalars import syntactic_name
+from plexlake.functions.scalars import quoted, syntactic_name
 from plexlake.functions.special import (
     digamma,
     digamma_value,
@@ -30,7 +30,9 @@ from plexlake.functions.special import (
     trigamma,
     trigamma_inverse,
 )
-from plexlake.plans.sizing import LARGE_GROUP_ROWS, broadcast_if
+from plexlake.operators.arrays import cells_matrix
+from plexlake.plans.session import materialise
+from plexlake.plans.sizing import BROADCAST_BYTES, BROADCAST_ROWS, LARGE_GROUP_ROWS, broadcast_if
 
 Contrasts = Mapping[str, Mapping[str, float]]
 
@@ -41,6 +43,8 @@ _PROPORTION = 0.01
 _STDEV_LIMITS = (0.1, 4.0)
 
 _MAX_GROUPS = 5_000
+CONTRAST_BLOCK = 1_000  # contrasts that a feature meets in one row
+_CHUNK_NUMBERS = 1 << 22  # numbers of contrasts x features worked on at once
 
 
 # --- contrasts -------------------------------------------------------------------------
@@ -100,6 +104,37 @@ def contrast_table(spark: SparkSession, contrasts: Contrasts) -> DataFrame:
     return spark.createDataFrame(rows, "contrast string, exp_group string, weight double")
 
 
+def pairwise_table(spark: SparkSession, groups: Sequence[str]) -> DataFrame:
+    """(contrast, exp_group, weight) of ``a_vs_b`` for every unordered pair, made from one row of names without a join."""
+    names = F.posexplode(F.col("names")).alias("i", "a")
+    one = spark.createDataFrame([(sorted(groups),)], "names array<string>")
+    later = F.slice("names", F.col("i") + 2, F.size("names"))
+    pairs = one.select("names", names).select("a", F.explode(later).alias("b"))
+    sides = F.array(*[F.struct(F.col(g).alias("exp_group"), F.lit(w).alias("weight")) for g, w in (("a", 1.0), ("b", -1.0))])
+    return pairs.select(F.concat_ws("_vs_", "a", "b").alias("contrast"), F.inline(sides))
+
+
+def reverse_table(table: DataFrame, names: Sequence[str], sep: str = "_vs_") -> DataFrame:
+    """The named contrasts of a table negated, the sides of their names swapped."""
+    if not names:
+        return table
+    found = {r["contrast"] for r in table.where(F.col("contrast").isin(list(names))).select("contrast").distinct().collect()}
+    if set(names) - found:
+        raise ValueError(f"no such contrast: {sorted(set(names) - found)}")
+    turned, at = F.col("contrast").isin(list(names)), F.locate(sep, F.col("contrast"))
+    swapped = F.concat(F.substr("contrast", at + len(sep)), F.lit(sep), F.substr("contrast", F.lit(1), at - 1))
+    return table.select(
+        F.when(turned, swapped).otherwise(F.col("contrast")).alias("contrast"), "exp_group",
+        F.when(turned, -F.col("weight")).otherwise(F.col("weight")).alias("weight"),
+    )
+
+
+def check_contrast_table(table: DataFrame, groups: Sequence[str]) -> None:
+    wrong = table.where(~F.col("exp_group").isin(list(groups)) | F.col("exp_group").isNull()).limit(5).collect()
+    if wrong:
+        raise ValueError(f"contrasts name unknown groups {sorted({str(r['exp_group']) for r in wrong})}")
+
+
 # --- fit -------------------------------------------------------------------------------
 
 
@@ -128,44 +163,61 @@ def fit_groups(long: DataFrame, value: str, feature: str = "protein_group") -> D
     )
 
 
-def _constant(rows: object, schema: str) -> Column:
-    """One literal of any size: parsed once when the plan is optimised, not an expression per number."""
-    return F.from_json(F.lit(json.dumps(rows)), schema)
+def _by_place(names: Sequence[str], part: str) -> Column:
+    """An array over ``names`` of what the fit holds of each group, NULL where it was not observed."""
+    return F.transform(F.array(*[F.lit(g) for g in names]), lambda g: F.try_element_at("groups", g)[part].cast("double"))
 
 
-def apply_contrasts(fit: DataFrame, contrasts: Contrasts) -> DataFrame:
-    """Add ``coefs``: one (contrast, log_fc, unscaled) per contrast. Narrow.
+def apply_contrasts(fit: DataFrame, contrasts: Contrasts | DataFrame, block: int = CONTRAST_BLOCK) -> DataFrame:
+    """One row per feature and contrast: the fit with (contrast, log_fc, unscaled).
 
-    log_fc and unscaled variance are NULL where a needed group was not observed.
+    Contrasts are a table (contrast, exp_group, weight). Its contrasts are gathered in blocks of about ``block``, and
+    every feature meets every block in a broadcast join on the block's number; a table beyond the broadcast
+    bounds is taken in pieces below them, one join each. Fold change and unscaled variance are NULL where a
+    group with a weight was not observed.
     """
-    terms = [{"c": c, "t": [{"g": g, "w": float(w)} for g, w in weights.items() if w]} for c, weights in contrasts.items()]
-    table = _constant(terms, "array<struct<c:string,t:array<struct<g:string,w:double>>>>")
-
-    def total(t: Column, part: Callable[[Column, Column], Column]) -> Column:
-        return F.aggregate(t, F.lit(0.0), lambda sum_, x: sum_ + part(x["w"], F.try_element_at("groups", x["g"])))
-
-    coefs = F.transform(
-        table,
+    spark = fit.sparkSession
+    table = contrasts if isinstance(contrasts, DataFrame) else contrast_table(spark, contrasts)
+    weighted = table.where("weight <> 0")
+    names = sorted(r["exp_group"] for r in weighted.select("exp_group").distinct().collect())  # groups, at most
+    place = F.map_from_arrays(F.array(*[F.lit(g) for g in names]), F.array(*[F.lit(i) for i in range(len(names))]))
+    term = F.struct(F.try_element_at(place, F.col("exp_group")).alias("g"), F.col("weight").alias("w"))
+    terms = weighted.groupBy("contrast").agg(F.sort_array(F.collect_list(term)).alias("terms")) if names else None
+    keep = [c for c in fit.columns if c != "groups"]
+    if terms is None:
+        return spark.createDataFrame([], fit.select(*keep).schema.add("contrast", "string").add("log_fc", "double").add("unscaled", "double"))
+    terms = materialise(terms, "contrast_terms")
+    size = terms.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("terms")).alias("terms"), F.sum(F.octet_length("contrast")).alias("text")).first()
+    pieces = max(-(-size["n"] // BROADCAST_ROWS), -(-(24 * size["terms"] + size["text"] + 64 * size["n"]) // BROADCAST_BYTES))
+    blocks = -(-size["n"] // (block * pieces))  # of a piece
+    bucket = F.pmod(F.xxhash64("contrast"), F.lit(pieces * blocks)).cast("int")
+    placed = terms.groupBy(bucket.alias("_at")).agg(F.collect_list(F.struct("contrast", "terms")).alias("_c"))
+    features = fit.select(*keep, _by_place(names, "mean").alias("_mean"), _by_place(names, "n").alias("_n"))
+
+    def total(t: Column, part: Callable[[Column, Column, Column], Column]) -> Column:
+        return F.aggregate(t, F.lit(0.0), lambda sum_, x: sum_ + part(x["w"], F.get("_mean", x["g"]), F.get("_n", x["g"])))
+
+    rows = F.transform(
+        "_c",
         lambda c: F.struct(
-            c["c"].alias("contrast"),
-            total(c["t"], lambda w, cell: w * cell["mean"]).alias("log_fc"),
-            total(c["t"], lambda w, cell: w * w / cell["n"]).alias("unscaled"),
+            c["contrast"].alias("contrast"),
+            total(c["terms"], lambda w, mean, n: w * mean).alias("log_fc"),
+            total(c["terms"], lambda w, mean, n: w * w / n).alias("unscaled"),
         ),
     )
-    return fit.withColumn("coefs", coefs).drop("groups")
 
+    def piece(k: int) -> DataFrame:
+        mine = F.broadcast(placed.where((F.col("_at") >= k * blocks) & (F.col("_at") < (k + 1) * blocks)))
+        spread = features.withColumn("_at", F.explode(F.sequence(F.lit(k * blocks), F.lit((k + 1) * blocks - 1))))
+        return spread.join(mine, "_at").select(*keep, F.inline(rows))
 
-def long_coefficients(coefficients: DataFrame) -> DataFrame:
-    """One row per feature and contrast."""
-    keep = [c for c in coefficients.columns if c != "coefs"]
-    return coefficients.select(*keep, F.inline("coefs"))
+    return reduce(DataFrame.unionByName, [piece(k) for k in range(pieces)])
 
 
 def ordinary_t(coefficients: DataFrame) -> DataFrame:
     """Unmoderated t and p per feature and contrast."""
-    rows = long_coefficients(coefficients)
     t = F.col("log_fc") / F.sqrt(F.col("unscaled") * F.nullif(F.col("sigma2"), F.lit(0.0)))
-    return rows.withColumn("t", t).withColumn("p_value", t_pvalue(F.col("t"), F.col("df").cast("double")))
+    return coefficients.withColumn("t", t).withColumn("p_value", t_pvalue(F.col("t"), F.col("df").cast("double")))
 
 
 # --- moderation ------------------------------------------------------------------------
@@ -227,53 +279,116 @@ def total_df(prior: VariancePrior) -> Column:
 
 
 def moderate(coefficients: DataFrame, prior: VariancePrior) -> DataFrame:
-    """One row per feature with ``s2_post``, ``df_total`` and coefs that carry ``t``. Narrow."""
-    return coefficients.withColumns({"s2_post": posterior_variance(prior), "df_total": total_df(prior)}).withColumn(
-        "coefs",
-        F.transform("coefs", lambda c: c.withField("t", c["log_fc"] / F.sqrt(c["unscaled"] * F.col("s2_post")))),
-    )
+    """Add ``s2_post``, ``df_total`` and, to rows of contrasts, ``t``. Narrow."""
+    out = coefficients.withColumns({"s2_post": posterior_variance(prior), "df_total": total_df(prior)})
+    if "log_fc" not in coefficients.columns:
+        return out
+    return out.withColumn("t", F.col("log_fc") / F.sqrt(F.col("unscaled") * F.col("s2_post")))
 
 
 def moderated_t(moderated: DataFrame) -> DataFrame:
     """(feature, ..., contrast, log_fc, t, p_value)."""
-    return long_coefficients(moderated).withColumn("p_value", t_pvalue(F.col("t"), F.col("df_total")))
+    return moderated.withColumn("p_value", t_pvalue(F.col("t"), F.col("df_total")))
 
 
 # --- F over all contrasts --------------------------------------------------------------
 
 
-def contrast_basis(contrasts: Contrasts, group_sizes: Mapping[str, int]) -> tuple[np.ndarray, int]:
-    """Matrix turning correlated t into independent ones, scaled by 1/sqrt(rank), and the rank."""
-    groups = sorted(group_sizes)
-    c = np.array([[w.get(g, 0.0) for g in groups] for w in contrasts.values()])
-    cov = c @ np.diag([1.0 / group_sizes[g] for g in groups]) @ c.T
-    sd = np.sqrt(np.diag(cov))
-    values, vectors = np.linalg.eigh(cov / np.outer(sd, sd))
-    keep = values / values.max() > _RANK_TOLERANCE
-    rank = int(keep.sum())
-    return vectors[:, keep] / np.sqrt(values[keep]) / math.sqrt(rank), rank
-
-
-def f_statistics(moderated: DataFrame, contrasts: Contrasts, group_sizes: Mapping[str, int]) -> DataFrame:
-    """One row per feature: a log fold change per contrast, ave_expr, F and its p-value.
+@dataclass(frozen=True)
+class GroupSpace:
+    """What F needs of the contrasts, in numbers per group: no table of contrasts by contrasts.
 
-    The k x k algebra of the contrasts is done once on the driver; rows only see constants.
+    Scaled to unit variance of each contrast, the contrasts x groups matrix A has as many independent
+    directions as its groups x groups product; those with a share of the largest above a tolerance are kept.
     """
-    basis, rank = contrast_basis(contrasts, group_sizes)
-    names = list(contrasts)
 
-    @F.pandas_udf(DoubleType())
-    def f_of(t: pd.Series) -> pd.Series:
-        rows = np.stack(t.map(lambda v: np.asarray(v, float)).to_list()) if len(t) else np.zeros((0, len(names)))
-        f = ((rows @ basis) ** 2).sum(axis=1)
-        return pd.Series(f).where(~np.isnan(f), None)
+    names: list[str]
+    sizes: np.ndarray
+    places: np.ndarray  # (contrasts, terms): groups of a contrast, filled up with weights of 0
+    weights: np.ndarray
+    scaled: np.ndarray  # A at the same places
+    axes: np.ndarray  # (groups, rank)
+    strengths: np.ndarray  # of the axes
 
-    f = f_of(F.transform("coefs", lambda c: c["t"]))
-    keep = [c for c in moderated.columns if c not in ("coefs", "n_obs", "df", "sigma2", "s2_post", "df_total")]
-    return (
-        moderated.withColumn("f", f)
-        .withColumn("p_value", f_pvalue(F.col("f"), F.lit(float(rank)), F.col("df_total")))
-        .select(*keep, *[F.col("coefs")[i]["log_fc"].alias(n) for i, n in enumerate(names)], "f", "p_value")
+    @property
+    def rank(self) -> int:
+        return len(self.strengths)
+
+    @property
+    def used(self) -> np.ndarray:
+        return np.isin(np.arange(len(self.names)), self.places[self.weights != 0])
+
+    @classmethod
+    def of(cls, contrasts: Contrasts, group_sizes: Mapping[str, int]) -> GroupSpace:
+        names = sorted(group_sizes)
+        at, sizes = {g: i for i, g in enumerate(names)}, np.array([group_sizes[g] for g in names], float)
+        rows = [[(at[g], float(w)) for g, w in weights.items() if w] for weights in contrasts.values()]
+        width = max((len(r) for r in rows), default=0)
+        padded = [r + [(0, 0.0)] * (width - len(r)) for r in rows]
+        places = np.array([[g for g, _ in r] for r in padded], np.int64).reshape(len(rows), width)
+        weights = np.array([[w for _, w in r] for r in padded], float).reshape(len(rows), width)
+        sd = np.sqrt((weights**2 / sizes[places]).sum(axis=1))
+        scaled = weights / np.sqrt(sizes[places]) / sd[:, None]
+        product = np.zeros((len(names), len(names)))
+        for k in range(width):
+            for m in range(width):
+                np.add.at(product, (places[:, k], places[:, m]), scaled[:, k] * scaled[:, m])
+        values, axes = np.linalg.eigh(product)
+        keep = values > _RANK_TOLERANCE * values.max()
+        return cls(names, sizes, places, weights, scaled, axes[:, keep], values[keep])
+
+    def f(self, mean: np.ndarray, n: np.ndarray, s2: np.ndarray) -> np.ndarray:
+        """F of features; NaN where a group in use was not observed. Means and counts are (features, groups)."""
+        used, out = self.used, np.full(len(mean), np.nan)
+        mean = np.where(used, mean, 0.0)
+        whole = (n[:, used] == self.sizes[used]).all(axis=1)
+        along = (mean[whole] * np.sqrt(self.sizes)) @ self.axes
+        out[whole] = (along**2).sum(axis=1) / s2[whole] / self.rank
+        # where measurements are missing, contrasts have variances of their own: t of each, and back to groups
+        part = np.flatnonzero(~whole & ~np.isnan(mean).any(axis=1))
+        order = np.argsort(self.places.ravel(), kind="stable")
+        groups, first = np.unique(self.places.ravel()[order], return_index=True)
+        contrast = order // self.places.shape[1] if self.places.size else order
+        step = max(1, _CHUNK_NUMBERS // max(1, self.places.size))
+        for at in range(0, len(part), step):
+            rows = part[at : at + step]
+            m, c = mean[rows][:, self.places], n[rows][:, self.places]
+            with np.errstate(all="ignore"):
+                unscaled = np.where(self.weights != 0, self.weights**2 / c, 0.0).sum(axis=2)
+            t = (m * self.weights).sum(axis=2) / np.sqrt(unscaled * s2[rows][:, None])
+            back = np.zeros((len(rows), len(self.names)))
+            back[:, groups] = np.add.reduceat(t[:, contrast] * self.scaled.ravel()[order], first, axis=1)
+            out[rows] = ((back @ self.axes / self.strengths) ** 2).sum(axis=1) / self.rank
+        return out
+
+
+def f_statistics(
+    fit: DataFrame, contrasts: Contrasts, group_sizes: Mapping[str, int], prior: VariancePrior, fold_changes: bool = True
+) -> DataFrame:
+    """One row per feature: a log fold change per contrast (if asked), ave_expr, F and its p-value. Narrow.
+
+    ``fold_changes`` makes a column per contrast; with very many contrasts the table of contrasts has them as rows.
+    """
+    space = GroupSpace.of(contrasts, group_sizes)
+    width = len(space.names)
+    moderated = moderate(fit, prior).withColumns({"_mean": _by_place(space.names, "mean"), "_n": _by_place(space.names, "n")})
+
+    @F.arrow_udf(DoubleType())
+    def f_of(mean: pa.Array, n: pa.Array, s2: pa.Array) -> pa.Array:
+        variance = s2.to_numpy(zero_copy_only=False)
+        found = space.f(cells_matrix(mean, width), np.nan_to_num(cells_matrix(n, width)), variance)
+        return pa.array(found, mask=np.isnan(found))
+
+    at = {g: i for i, g in enumerate(space.names)}
+
+    def change(weights: Mapping[str, float]) -> Column:
+        terms = [F.get("_mean", F.lit(at[g])) * F.lit(float(w)) for g, w in weights.items() if w]
+        return reduce(lambda x, y: x + y, terms, F.lit(0.0))
+
+    keep = [c for c in fit.columns if c not in ("groups", "n_obs", "df", "sigma2")]
+    effects = [change(w).alias(c) for c, w in contrasts.items()] if fold_changes else []
+    return moderated.select(*keep, *effects, f_of("_mean", "_n", "s2_post").alias("f"), "df_total").select(
+        *keep, *[F.col(quoted(c)) for c in contrasts if fold_changes], "f", f_pvalue(F.col("f"), F.lit(float(space.rank)), F.col("df_total")).alias("p_value")
     )
 
 

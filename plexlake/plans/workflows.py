@@ -54,6 +54,7 @@ class Settings:
     neighbours: int = 3
     components: int = project.COMPONENTS  # principal components, at most
     significance: float = 0.01
+    effect_columns: int = 1_000  # with more contrasts the overall table leaves fold changes to by_contrast
     keep_pools: bool = True
     words: Mapping[str, str] = field(default_factory=dict)  # replaced in the names of groups and samples
     label: str = "number"  # readable sample names end in the sample's number, or in a "running" one per group
@@ -244,8 +245,10 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
     model.check_contrasts(contrasts, list(sizes))
     fit = materialise(arrays.fit_groups(after, [known[s]["_group"] if s in used_names else None for s in samples], FEATURE), "fit")
     prior = model.variance_prior(fit)
-    overall = materialise(results.overall_results(fit, contrasts, sizes, features.annotation, prior=prior), "overall")
-    by_contrast = materialise(results.contrast_results(fit, contrasts, features.annotation, prior=prior), "by_contrast")
+    effects = len(contrasts) <= settings.effect_columns
+    overall = materialise(results.overall_results(fit, contrasts, sizes, features.annotation, FEATURE, prior, effects), "overall")
+    weights = materialise(model.contrast_table(spark, contrasts), "weights")
+    by_contrast = materialise(results.contrast_results(fit, weights, features.annotation, FEATURE, prior), "by_contrast")
     labels = meta.readable_names(used, settings.words, settings.label)
     dotted = meta.readable_names(used, settings.words, settings.label, ".")
     matrix = arrays.matrix(after, samples)
@@ -276,7 +279,7 @@ def quantify(features: Features, metadata: DataFrame, settings: Settings = Setti
         "sample_labels": labels,
         "expression_matrix": matrix,
         "readable_matrix": readable,
-        "contrasts": model.contrast_table(spark, contrasts),
+        "contrasts": weights,
         "overall": results.ranked(overall),
         "by_contrast": by_contrast,
         "by_contrast_with_values": by_contrast.join(readable, FEATURE, "left"),

@@ -203,18 +203,84 @@ def test_f_of_one_contrast_is_t_squared_and_rank_is_detected(spark, long):
     one = {"A_vs_B": CONTRASTS["A_vs_B"]}
     moderated = model.moderate(model.apply_contrasts(fit, one), prior)
     t = {r["protein_group"]: r for r in model.moderated_t(moderated).collect()}
-    for r in model.f_statistics(moderated, one, sizes).collect():
+    for r in model.f_statistics(fit, one, sizes, prior).collect():
         assert r["f"] == pytest.approx(t[r["protein_group"]]["t"] ** 2)
         assert r["p_value"] == pytest.approx(t[r["protein_group"]]["p_value"])
-    assert model.contrast_basis(CONTRASTS, sizes)[1] == 2
-    both = model.moderate(model.apply_contrasts(fit, CONTRASTS), prior)
-    full = {r["protein_group"]: r["f"] for r in model.f_statistics(both, CONTRASTS, sizes).collect()}
+    assert model.GroupSpace.of(CONTRASTS, sizes).rank == 2
+    full = {r["protein_group"]: r["f"] for r in model.f_statistics(fit, CONTRASTS, sizes, prior).collect()}
     two = {k: CONTRASTS[k] for k in ("A_vs_B", "A_vs_C")}
-    part = model.f_statistics(model.moderate(model.apply_contrasts(fit, two), prior), two, sizes)
-    for r in part.collect():
+    for r in model.f_statistics(fit, two, sizes, prior).collect():
         assert full[r["protein_group"]] == pytest.approx(r["f"])
 
 
+@pytest.mark.parametrize("contrasts", [
+    model.pairwise_contrasts(list("ABCDE")), {**model.versus_rest("B", list("ABCDE")), "D_vs_E": {"D": 1.0, "E": -1.0}}, {"A_vs_B": {"A": 2.0, "B": -2.0}},
+])
+def test_f_in_group_space_equals_the_contrast_space(contrasts):
+    """With and without missing measurements, against the eigenvectors of the contrasts' correlations."""
+    rng = np.random.default_rng(9)
+    sizes = dict(zip("ABCDE", (3, 4, 4, 2, 6)))
+    full = np.array(list(sizes.values()), float)
+    n = np.where(rng.random((30, 5)) < 0.3, np.maximum(full - 1, 0), full)
+    n[:10] = full
+    n[10] = [0, 4, 4, 2, 6]
+    mean = np.where(n > 0, rng.normal(size=(30, 5)), np.nan)
+    s2 = rng.chisquare(5, 30)
+    c = np.array([[w.get(g, 0.0) for g in sizes] for w in contrasts.values()])
+    cov = c / full @ c.T
+    values, vectors = np.linalg.eigh(cov / np.sqrt(np.outer(np.diag(cov), np.diag(cov))))
+    keep = values > 1e-8 * values.max()
+    with np.errstate(all="ignore"):
+        t = np.stack([np.where(c != 0, mean[i] * c, 0.0).sum(axis=1) / np.sqrt(np.where(c != 0, c**2 / n[i], 0.0).sum(axis=1) * s2[i]) for i in range(30)])
+    want = ((t @ vectors[:, keep] / np.sqrt(values[keep])) ** 2).sum(axis=1) / keep.sum()
+    got = model.GroupSpace.of(contrasts, sizes).f(mean, n, s2)
+    assert got == pytest.approx(want, nan_ok=True) and np.isnan(got[10]) == any("A" in w for w in contrasts.values())
+
+
+def test_three_hundred_groups_all_pairs(spark, monkeypatch):
+    """44,850 contrasts as a table, in several broadcasts; F without a table of contrasts by contrasts."""
+    groups = [f"g{i:03d}" for i in range(300)]
+    rng = np.random.default_rng(10)
+    rows = [(f"f{k}", g, float(v)) for k in range(4) for g in groups for v in rng.normal(size=2)]
+    frame = pd.DataFrame(rows, columns=["protein_group", "exp_group", "v"])
+    long = spark.createDataFrame(frame)
+    fit = materialise(model.fit_groups(long.where("NOT (protein_group = 'f3' AND exp_group = 'g007')"), "v"))
+    table = model.pairwise_table(spark, groups)
+    model.check_contrast_table(table, groups)
+    with pytest.raises(ValueError, match="unknown groups"):
+        model.check_contrast_table(table, groups[1:])
+    monkeypatch.setattr(model, "BROADCAST_ROWS", 20_000)
+    out = model.apply_contrasts(fit, model.reverse_table(table, ["g003_vs_g250"]))
+    assert out.count() == 4 * 44_850
+    means = frame.groupby(["protein_group", "exp_group"]).v.mean()
+    some = {(r["protein_group"], r["contrast"]): r for r in out.where("contrast IN ('g250_vs_g003', 'g001_vs_g002', 'g007_vs_g008')").collect()}
+    assert len(some) == 12
+    assert some["f1", "g250_vs_g003"]["log_fc"] == pytest.approx(means["f1", "g250"] - means["f1", "g003"])
+    assert some["f1", "g250_vs_g003"]["unscaled"] == pytest.approx(1.0)
+    assert some["f3", "g007_vs_g008"]["log_fc"] is None and some["f2", "g007_vs_g008"]["log_fc"] is not None
+    prior = model.variance_prior(fit)
+    f = model.f_statistics(fit, model.pairwise_contrasts(groups), {g: 2 for g in groups}, prior, fold_changes=False)
+    found = {r["protein_group"]: r["f"] for r in f.collect()}
+    post = {r["protein_group"]: r["s2_post"] for r in model.moderate(fit, prior).collect()}
+    x = means["f0"].to_numpy()
+    assert found["f0"] == pytest.approx(2 * ((x - x.mean()) ** 2).sum() / 299 / post["f0"]) and found["f3"] is None
+
+
+def test_no_contrast_gives_no_row(spark, long):
+    fit = model.fit_groups(long, "v")
+    assert model.apply_contrasts(fit, {}).count() == 0 and model.apply_contrasts(fit, {"none": {"A": 0.0}}).count() == 0
+
+
+def test_effect_prior_of_large_contrasts(spark, long, monkeypatch):
+    """The quantile cut of large tables changes nothing."""
+    fit = materialise(model.fit_groups(long, "v"))
+    prior = model.variance_prior(fit)
+    rows = materialise(model.moderated_t(model.moderate(model.apply_contrasts(fit, CONTRASTS), prior)))
+    few = {r["contrast"]: r["v0"] for r in model.effect_prior(rows, prior, 3).collect()}
+    monkeypatch.setattr(model, "LARGE_GROUP_ROWS", 1)
+    assert {r["contrast"]: r["v0"] for r in model.effect_prior(rows, prior, 3).collect()} == pytest.approx(few)
+
+
 def test_reversed_contrast_negates(spark, long):
     reversed_ = model.reverse_contrasts(CONTRASTS, ["A_vs_C"])
     assert list(reversed_) == ["A_vs_B", "C_vs_A", "B_vs_C"]
@@ -254,7 +320,7 @@ def test_bh_in_one_window_and_in_bins(spark, small_rows):
         frames.append(pd.DataFrame({"contrast": c, "id": [f"{c}{i}" for i in range(len(p))], "p_value": p, "want": bh(p)}))
     df = spark.createDataFrame(pd.concat(frames)).unionByName(
         spark.createDataFrame([("x", "none", None, None)], "contrast string, id string, p_value double, want double"))
-    out = results.adjust_bh(df, by=["contrast"], small_rows=small_rows, n_groups=2).toPandas()
+    out = results.adjust_bh(df, by=["contrast"], small_rows=small_rows).toPandas()
     assert len(out) == len(pd.concat(frames)) + 1
     known = out[out.id != "none"]
     assert known.adj_p_value.to_numpy() == pytest.approx(known.want.to_numpy(), rel=1e-12)
@@ -263,6 +329,28 @@ def test_bh_in_one_window_and_in_bins(spark, small_rows):
     assert whole.dropna().adj_p_value.to_numpy() == pytest.approx(bh(whole.dropna().p_value), rel=1e-12)
 
 
+def test_bh_with_one_value_in_a_third_of_the_rows(spark):
+    """Equal p-values are spread over tasks as any others."""
+    rng = np.random.default_rng(11)
+    p = np.concatenate([rng.random(20_000), np.full(10_000, 0.25)])
+    df = materialise(spark.createDataFrame(pd.DataFrame({"id": np.arange(len(p)), "p_value": p})).repartition(4))
+    sizes = results._in_order(df, "p_value", []).groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert sizes.max() < 2 * sizes.median()
+    out = results.adjust_bh(df, small_rows=100).toPandas().sort_values("id")
+    assert out.adj_p_value.to_numpy() == pytest.approx(bh(p), rel=1e-12)
+
+
+def test_bh_of_small_and_large_groups_with_null_keys(spark):
+    rng = np.random.default_rng(12)
+    frames = [pd.DataFrame({"contrast": c, "p_value": rng.random(n) ** 2}) for c, n in (("x", 300), (None, 200), ("y", 20), ("z", 1))]
+    for f in frames:
+        f["want"] = bh(f.p_value)
+    df = spark.createDataFrame(pd.concat(frames), "contrast string, p_value double, want double")
+    out = results.adjust_bh(df, by=["contrast"], small_rows=50).toPandas()
+    assert len(out) == 521 and out.adj_p_value.to_numpy() == pytest.approx(out.want.to_numpy(), rel=1e-12)
+    assert results.adjust_bh(df.limit(0), by=["contrast"], small_rows=50).count() == 0
+
+
 # --- batch and projection --------------------------------------------------------------
 
 

@@ -86,6 +86,11 @@ def test_protein_groups_tsv(spark, tmp_path):
     assert completeness["plex1_tmt6_129n"] == pytest.approx(100 * 55 / 57)
     assert len(out["expression_matrix"].columns) == 13
     w.write_results(out, str(tmp_path / "results"))
+    read = spark.read.option("sep", "\t").option("header", True)
+    assert read.csv(str(tmp_path / "results/readable_matrix")).count() == 55
+    assert read.csv(str(tmp_path / "results/check_samples_on_one_side")).count() == out["check_samples_on_one_side"].count()
+    valued = spark.read.parquet(str(tmp_path / "results/by_contrast_with_values"))
+    assert valued.count() == 2 * 55 and {"b", "adj_p_value", *out["readable_matrix"].columns} <= set(valued.columns)
     back = spark.read.parquet(str(tmp_path / "results/by_contrast"))
     assert back.groupBy("contrast").count().count() == 2
     assert spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "results/overall")).count() == 55
@@ -234,12 +239,12 @@ def test_readable_names(spark):
 
 
 def test_many_contrasts_plan_and_run(spark):
-    """100 groups, all pairs: the weights are one constant, not an expression each."""
+    """100 groups, all pairs: the weights are a table, not an expression each."""
     groups = [f"g{i}" for i in range(100)]
     contrasts = model.pairwise_contrasts(groups)
     rows = [(f"f{k}", g, float(hash((k, i, g)) % 97)) for k in range(3) for g in groups for i in range(2)]
     long = spark.createDataFrame(rows, "protein_group string, exp_group string, v double")
-    coefs = model.long_coefficients(model.apply_contrasts(model.fit_groups(long, "v"), contrasts))
+    coefs = model.apply_contrasts(model.fit_groups(long, "v"), contrasts)
     assert coefs.count() == 3 * 4950
     one = coefs.where("protein_group = 'f1' AND contrast = 'g3_vs_g50'").first()
     mean = lambda g: sum(v for f, h, v in rows if f == "f1" and h == g) / 2
