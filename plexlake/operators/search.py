@@ -10,31 +10,38 @@ of two of their length, so long ones need few anchors and short ones still match
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from plexlake.plans.session import materialise
-from plexlake.plans.sizing import BROADCAST_BYTES, BROADCAST_ROWS, checked_broadcast, spread
+from plexlake.plans.sizing import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if, checked_broadcast, spread
 
 _MAX_K = 12
 _BASE = np.uint64(1_000_003)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_NOTHING = np.empty(0, np.int64)
+HOT_ROWS = 10_000  # rows of one anchor that meet in one place
+
 
+def _code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts of a batch, one after the other, and the borders between them."""
+    values = ["" if t is None else t for t in texts.to_pylist()]
+    lengths = np.fromiter(map(len, values), np.int64, len(values))
+    codes = np.frombuffer("".join(values).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    return codes, np.concatenate([[0], np.cumsum(lengths)])
 
-def _kmer_hashes(text: str, k: int) -> np.ndarray:
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    n = len(codes) - k + 1
-    if n <= 0:
-        return _NOTHING
-    codes = codes.astype(np.uint64)
-    h = codes[:n].copy()
+
+def _kmer_hashes(codes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of k neighbours along the last axis."""
+    n = max(0, codes.shape[-1] - k + 1)
+    h = codes[..., :n].copy()
     for i in range(1, k):
         h *= _BASE
-        h += codes[i : i + n]
+        h += codes[..., i : i + n]
     h ^= h >> np.uint64(31)
     h *= _MIX
     return (h ^ (h >> np.uint64(29))).view(np.int64)
@@ -43,7 +50,7 @@ def _kmer_hashes(text: str, k: int) -> np.ndarray:
 def _window_minima(h: np.ndarray, w: int) -> np.ndarray:
     """Minimum of every w neighbours, by doubling."""
     if len(h) < w:
-        return _NOTHING
+        return h[:0]
     span = 1
     while span * 2 <= w:
         h = np.minimum(h[:-span], h[span:])
@@ -52,11 +59,30 @@ def _window_minima(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
-def _changes(minima: np.ndarray) -> np.ndarray:
-    """Neighbouring windows mostly share their minimum: keep one of each run, then the distinct ones."""
-    if len(minima) == 0:
-        return minima
-    return np.unique(minima[np.concatenate([[True], minima[1:] != minima[:-1]])])
+def _batch_anchors(codes: np.ndarray, borders: np.ndarray, lengths: Iterable[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, anchor) of all texts of a batch, distinct and in order of texts, for every (class, shortest length)."""
+    texts, anchors, hashes = [], [], {}
+    owner = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
+    for cls, length in lengths:
+        k, w = _shape(length)
+        if k not in hashes:
+            hashes[k] = _kmer_hashes(codes, k)
+        minima = _window_minima(hashes[k], w)
+        start = np.arange(len(minima))
+        at = owner[: len(minima)]
+        inside = start + length <= borders[at + 1]  # windows that do not run into the next text
+        minima, at = minima[inside], at[inside]
+        # neighbouring windows mostly share their minimum: one of each run stays
+        new = np.ones(len(minima), bool)
+        new[1:] = (minima[1:] != minima[:-1]) | (at[1:] != at[:-1])
+        texts.append(at[new])
+        anchors.append(_marked(minima[new], cls))
+    at, anchor = np.concatenate(texts), np.concatenate(anchors)
+    order = np.lexsort((anchor, at))
+    at, anchor = at[order], anchor[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1]) | (anchor[1:] != anchor[:-1])
+    return at[new], anchor[new]
 
 
 def _shape(length: int) -> tuple[int, int]:
@@ -71,33 +97,51 @@ def _marked(anchors, cls: int):
 
 
 def _text_anchors(classes: dict[int, int]):
-    @F.pandas_udf(ArrayType(LongType()))
-    def anchors(texts: pd.Series) -> pd.Series:
-        def one(text):
-            hashes = {k: _kmer_hashes(text, k) for k in {_shape(length)[0] for length in classes.values()}}
-            spots = []
-            for cls, length in classes.items():
-                k, w = _shape(length)
-                spots.append(_marked(_changes(_window_minima(hashes[k], w)), cls))
-            return np.concatenate(spots)
-
-        return texts.map(one, na_action="ignore")
+    @F.arrow_udf(ArrayType(LongType()))
+    def anchors(texts: pa.Array) -> pa.Array:
+        at, found = _batch_anchors(*_code_points(texts), classes.items())
+        borders = np.searchsorted(at, np.arange(len(texts) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(borders), pa.array(found))
 
     return anchors
 
 
 def _query_anchor(classes: dict[int, int]):
-    @F.pandas_udf(LongType())
-    def anchor(queries: pd.Series, cls: pd.Series) -> pd.Series:
-        def one(query, c):
-            k, w = _shape(classes[c])
-            return int(_marked(_kmer_hashes(query[: classes[c]], k)[:w].min(), c))
-
-        return pd.Series([one(q, c) for q, c in zip(queries, cls, strict=True)], dtype="int64")
+    @F.arrow_udf(LongType())
+    def anchor(queries: pa.Array, cls: pa.Array) -> pa.Array:
+        codes, borders = _code_points(queries)
+        kinds, out = cls.to_numpy(), np.zeros(len(queries), np.int64)
+        for c in np.unique(kinds):
+            length = classes[c]
+            k, w = _shape(length)
+            rows = np.flatnonzero(kinds == c)
+            first = codes[borders[rows][:, None] + np.arange(length)]  # every query of a class is that long at least
+            out[rows] = _marked(_kmer_hashes(first, k)[:, :w].min(axis=1), c)
+        return pa.array(out)
 
     return anchor
 
 
+def _salted(texts: DataFrame, queries: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join by anchor with two salts, (anchor, by_text, by_query).
+
+    Anchors are counted on both sides. One with more than ``most`` rows on a side is cut there into parts of that
+    size by a hash of the row, and the other side is repeated for each part: every pair still meets once. There
+    are at most rows / ``most`` such anchors on a side.
+    """
+    n_texts = texts.join(queries.select("anchor").distinct(), "anchor", "left_semi").groupBy("anchor").agg(F.count(F.lit(1)).alias("_nt"))
+    n_queries = queries.groupBy("anchor").agg(F.count(F.lit(1)).alias("_nq"))
+    parts = [F.ceil(F.col(c) / most).cast("int").alias(name) for c, name in (("_nt", "_st"), ("_nq", "_sq"))]
+    hot = materialise(n_texts.join(n_queries, "anchor").where((F.col("_nt") > most) | (F.col("_nq") > most)).select("anchor", *parts), "hot_anchors")
+    hot = broadcast_if(hot, hot.count())
+    one = F.lit(1)
+    st, sq = F.coalesce("_st", one), F.coalesce("_sq", one)
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = texts.join(hot, "anchor", "left").withColumn("by_text", F.pmod(F.xxhash64("_id"), st).cast("int")).withColumn("by_query", every(sq))
+    right = queries.join(hot, "anchor", "left").withColumn("by_query", F.pmod(F.xxhash64("_q"), sq).cast("int")).withColumn("by_text", every(st))
+    return left.drop("_st", "_sq"), right.drop("_st", "_sq")
+
+
 def _hits(
     queries: DataFrame, query: str, texts: DataFrame, text: str, text_id: str, broadcast_limit: int
 ) -> tuple[DataFrame, bool]:
@@ -122,8 +166,9 @@ def _hits(
             .where(F.contains("_t", "_q"))
         )
     else:
-        wanted = materialise(wanted, "queries")  # a plain scan, so that AQE can split a hot anchor on either side
-        candidates = spread(sources).select("_id", F.explode(anchors).alias("anchor")).join(wanted, "anchor").select("_q", "_id").distinct()
+        placed = materialise(spread(sources).select("_id", F.explode(anchors).alias("anchor")), "anchors")
+        left, right = _salted(placed, materialise(wanted, "queries"), HOT_ROWS)
+        candidates = left.join(right, ["anchor", "by_text", "by_query"]).select("_q", "_id").distinct()
         hits = candidates.join(sources, "_id").where(F.contains("_t", "_q"))
     return hits.select(F.col("_q").alias(query), F.col("_id").alias(text_id)), small
 
@@ -134,8 +179,8 @@ def contains_pairs(
     """(<query>, <text_id>) for every distinct non-empty query and every text that contains it.
 
     ``text_id`` must be unique. Up to ``broadcast_limit`` queries of bounded size are broadcast and the
-    texts are scanned once without a shuffle. Beyond it, anchors and ids are shuffled
-    (AQE splits hot anchors) and texts are fetched again only for candidates.
+    texts are scanned once without a shuffle. Beyond it, anchors and ids are shuffled, those of hot anchors
+    salted by measured counts, and texts are fetched again only for candidates.
     """
     hits, repeated = _hits(queries, query, texts, text, text_id, broadcast_limit)
     return hits.distinct() if repeated else hits

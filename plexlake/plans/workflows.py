@@ -80,21 +80,23 @@ def protein_groups_tsv(
     samples = columns.plex_columns(df)
     df = clean.drop_flagged(columns.zero_to_null_columns(df, samples))
     extra = [c for c in df.columns if c not in samples]
-    return Features(df, samples, annotate.annotation_dimension(df, extra))
+    notes = annotate.annotation_dimension(df, extra)
+    return Features(df, samples, notes, {"repeated_annotation": checks.duplicate_keys(notes, [FEATURE])})
 
 
 def _grouped(df: DataFrame, samples: list[str], texts: Sequence[str], order: str) -> Features:
     """Collapse repeated intensity rows and concatenate what describes them."""
     described = annotate.concat_annotation(df, FEATURE, texts, order)
     values = annotate.collapse_redundant(df, FEATURE, samples)
-    return Features(annotate.join_groups(described, values, FEATURE), samples, described)
+    found = {"repeated_values": checks.duplicate_keys(values, [FEATURE])}
+    return Features(annotate.join_groups(described, values, FEATURE), samples, described, found)
 
 
 def protein_groups_csv(spark: SparkSession, path: str, contaminants: DataFrame) -> Features:
     """Protein rows of groups, with combined columns and pipe-separated accessions."""
     df = tables.read_csv(spark, path)
     df = columns.select_columns(df, ["Protein Group", "Accession", "Description"], r"^Intensity")
-    df = columns.clean_columns(columns.drop_combined(df)).withColumn("_ord", F.monotonically_increasing_id())
+    df = tables.in_input_order(columns.clean_columns(columns.drop_combined(df)), "_ord")
     samples = columns.plex_columns(df)
     df = columns.zero_to_null_columns(df.withColumn(FEATURE, F.col(FEATURE).cast("string")), samples)
     df = clean.remove_contaminants(df, contaminants)
@@ -107,7 +109,7 @@ def modified_peptides_csv(
 ) -> Features:
     """Modified peptides; missing accessions are found by sequence, then annotated from the FASTA records."""
     df = columns.select_columns(tables.read_csv(spark, path), ["Peptide", "Accession"], r"^Intensity")
-    df = columns.clean_columns(columns.drop_combined(df)).withColumn("_ord", F.monotonically_increasing_id())
+    df = tables.in_input_order(columns.clean_columns(columns.drop_combined(df)), "_ord")
     samples = columns.plex_columns(df)
     df = columns.zero_to_null_columns(df, samples)
     df = materialise(df.withColumn("peptide_seq", scalars.strip_modifications(F.col("peptide"))), "peptides")

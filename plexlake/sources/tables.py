@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plexlake.functions.scalars import quoted
 from plexlake.operators.reshape import expression_matrix
+from plexlake.plans.session import materialise
+from plexlake.plans.sizing import checked_broadcast
 
 
 def cast_numeric(df: DataFrame, pattern: str) -> DataFrame:
@@ -33,6 +35,24 @@ def _read(
     return cast_numeric(df, numeric) if numeric else df
 
 
+def in_input_order(df: DataFrame, alias: str = "_ord") -> DataFrame:
+    """A table just read from files, with the place of every row in the whole input: 0, 1, ... by path, block and row.
+
+    Rows are written once with their file and block; the counts of blocks, one row each, become offsets.
+    """
+    at = ["_file", "_block"]
+    placed = df.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id")
+    )
+    placed = materialise(placed, "input")
+    # a task numbers the rows of a block without a gap
+    blocks = placed.groupBy(*at).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)  # a row per block of the input
+    offsets = materialise(blocks.select(*at, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")), "blocks")
+    numbered = placed.join(checked_broadcast(offsets), at).withColumn(alias, F.col("_id") + F.col("_shift"))
+    return numbered.drop(*at, "_id", "_shift")
+
+
 def read_tsv(
     spark: SparkSession, path: str, numeric: str | None = r"(?i)intensity", quote: str | None = None, strict: bool = True,
     multi_line: bool = False,
