@@ -21,7 +21,34 @@ CACHE_BITS = 21
 # A run of Latin letters and the signs behind it: split there by the vocabulary's own pattern,
 # the letters are in composed form, and lower case maps them one by one. An apostrophe may
 # start a contraction, so it is left to the tokenizer, as is everything else.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.MULTILINE)
+
+
+class Runs:
+    """Ids of runs of letters or signs, end to end in one array; number 0 is the empty run."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {"": 0}
+        self.pool = np.zeros(1 << 16, np.int32)
+        self.used = 0
+        self.first = np.zeros(1 << 16, np.int64)
+        self.count = np.zeros(1 << 16, np.int64)
+        self.size = 1
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> range:
+        """Numbers of new runs."""
+        n = len(counts)
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while self.size + n > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+            self.count = np.concatenate([self.count, np.zeros_like(self.count)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.first[self.size : self.size + n] = self.used + np.cumsum(counts) - counts
+        self.count[self.size : self.size + n] = counts
+        self.used += len(ids)
+        self.size += n
+        return range(self.size - n, self.size)
 
 
 class WordTokenizer:
@@ -43,51 +70,53 @@ class WordTokenizer:
         self.first = np.zeros(1 << 16, np.int64)
         self.count = np.zeros(1 << 16, np.int64)
         self.n_words = 0
-        self.runs: dict[str, np.ndarray] = {}
+        self.runs = Runs()
 
     def _slow(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
-    def _learn_runs(self, runs: list[str]) -> None:
-        if len(self.runs) > 1 << (self.cache_bits - 2):
-            self.runs.clear()
+    def _learn_slowly(self, texts: list[str]) -> range:
+        found = [self._slow(t) for t in texts]
+        return self.runs.add(np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found)))
+
+    def _learn_letters(self, runs: list[str]) -> None:
+        """Runs of lower-case letters, many at a time: the last token of each closes it."""
         for at in range(0, len(runs), 512):
             part = runs[at : at + 512]
             ids = np.array(self.lean.encode(" ".join(part), add_special_tokens=False).ids, np.int32)
             ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(part):
-                self.runs.update(zip(part, np.split(ids, ends[:-1])))
-            else:
-                self.runs.update((r, self._slow(r)) for r in part)
-
-    def encode_words(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [_PLAIN.fullmatch(t) for t in texts]
-        runs = {m[1].lower() for m in plain if m} | {m[2] for m in plain if m and m[2]}
-        signs = [r for r in runs if r not in self.runs and not r[0].isalpha()]
-        self._learn_runs([r for r in runs if r not in self.runs and r[0].isalpha()])
-        self.runs.update((s, self._slow(s)) for s in signs)
-        missing = [r for r in runs if r not in self.runs]  # only after the cache was emptied
-        self.runs.update((r, self._slow(r)) for r in missing)
-        out = []
-        for text, m in zip(texts, plain):
-            if m is None:
-                out.append(self._slow(text))
-            elif m[2]:
-                out.append(np.concatenate([self.runs[m[1].lower()], self.runs[m[2]]]))
-            else:
-                out.append(self.runs[m[1].lower()])
-        return out
+            numbers = self.runs.add(ids, np.diff(ends, prepend=0)) if len(ends) == len(part) else self._learn_slowly(part)
+            self.runs.number.update(zip(part, numbers))
+
+    def encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, end to end, and how many each has. Words hold no line feed."""
+        if len(self.runs.number) > 1 << (self.cache_bits - 2) or self.runs.used > 1 << (self.cache_bits + 2):
+            self.runs = Runs()
+        found = _PLAIN.findall("\n".join(texts))
+        letters, signs = [f[0].lower() for f in found], [f[1] for f in found]
+        number = self.runs.number
+        self._learn_letters([r for r in dict.fromkeys(letters) if r not in number])
+        new = [r for r in dict.fromkeys(signs) if r not in number]
+        if new:
+            number.update(zip(new, self._learn_slowly(new)))
+        at = np.zeros((len(texts), 2), np.int64)
+        at[:, 0] = [number[r] for r in letters]
+        at[:, 1] = [number[r] for r in signs]
+        others = [i for i, f in enumerate(found) if f[2]]
+        if others:
+            at[others, 0] = self._learn_slowly([found[i][2] for i in others])
+        counts = self.runs.count[at.ravel()]
+        return self.runs.pool[words.gather_runs(self.runs.first[at.ravel()], counts)], counts.reshape(-1, 2).sum(axis=1)
 
     def _add(self, hashes: np.ndarray, texts: list[str]) -> None:
-        found = self.encode_words(texts)
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        total, n = int(counts.sum()), len(found)
+        ids, counts = self.encode_words(texts)
+        total, n = len(ids), len(counts)
         while self.used + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while self.n_words + n > len(self.first):
             self.first = np.concatenate([self.first, np.zeros_like(self.first)])
             self.count = np.concatenate([self.count, np.zeros_like(self.count)])
-        self.pool[self.used : self.used + total] = np.concatenate(found) if found else []
+        self.pool[self.used : self.used + total] = ids
         self.first[self.n_words : self.n_words + n] = self.used + np.cumsum(counts) - counts
         self.count[self.n_words : self.n_words + n] = counts
         self.index.insert(hashes, np.arange(self.n_words, self.n_words + n, dtype=np.int32))
