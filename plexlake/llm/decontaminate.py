@@ -5,11 +5,12 @@ that holds all of its words, so under a global order by rarity the first word of
 prefix for full containment, must be there.
 
 1. Rarity: the number of documents with each benchmark word, over all documents.
-2. Every window is filed under its rarest word. Documents meet these prefix words; the few that
-   hold one are candidates.
-3. In a candidate, each place of a prefix word fixes where a window would have to start.
+2. Every window is filed under its rarest word, its prefix word. The words of a document meet these
+   in a broadcast join, with their places; beyond the bounds of a broadcast, documents with such a word are
+   found first and only the words around its places are shuffled.
+3. Each place of a prefix word fixes where a window would have to start.
    Position and length bounds drop places that would leave the document, and the window is
-   compared word by word with the document around the place.
+   compared word by word with the document there.
 4. Words inside any occurrence are counted once.
 
 Words are made with A-Z lowered, in the search for candidates as in the comparison.
@@ -84,32 +85,31 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> Data
     """(_doc, _text, start, length, items) of every place where a window occurs in a document."""
     keyed = _documents(docs)
     filed = prefix_words(keyed, windows(benchmark, size))
-    prefixes = checked_broadcast(keep(filed.select("prefix").distinct(), "prefix-words"))
+    small = checked_broadcast(filed)
+    split = keyed.select("_doc", "_text", word_list(ascii_lower(F.col("text"))).alias("w"))
+    start, length = F.col("at") - F.col("place"), F.size("words")
+    inside = (start >= 0) & (start + length <= F.col("n"))
+    found = [F.col("_doc"), F.col("_text"), start.alias("start"), length.alias("length"), F.col("items")]
+    if small is not filed:
+        # one pass: the words of a text are looked up where they stand, and compared in place
+        at = split.select("_doc", "_text", "w", F.size("w").alias("n"), F.posexplode("w").alias("at", "prefix"))
+        same = F.slice("w", F.greatest(start, F.lit(0)) + 1, length) == F.col("words")
+        return at.join(small, "prefix").where(inside & same).select(*found)
+    # windows beyond the bounds of a broadcast are dealt by prefix word, and so are the few words around each of its places
+    prefixes = filed.select("prefix").distinct()
     met = keyed.select("_doc", "_text", F.explode(F.array_distinct(word_list(ascii_lower(F.col("text"))))).alias("prefix")).join(prefixes, "prefix")
     candidates = keep(met.groupBy("_doc", "_text").agg(F.collect_set("prefix").alias("prefixes")), "candidates")
-    # written, so that the words of a text are split once and not again in every lambda below
-    texts = keep(
-        keyed.join(candidates, ["_doc", "_text"]).select("_doc", "_text", "prefixes", word_list(ascii_lower(F.col("text"))).alias("w")).withColumn(
-            "lw", F.col("w")
-        ),
-        "candidate-words",
-    )
-    at = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.array_contains("prefixes", F.col("lw")[i]))
+    texts = keep(split.join(candidates, ["_doc", "_text"]), "candidate-words")
     first = lambda i: F.greatest(i - (size - 1), F.lit(0))
     around = F.transform(
-        at,
+        F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.array_contains("prefixes", F.col("w")[i])),
         lambda i: F.struct(
-            F.col("lw")[i].alias("prefix"), i.alias("at"), first(i).alias("first"),
-            F.slice("w", first(i) + 1, F.lit(2 * size - 1)).alias("near"),
+            F.col("w")[i].alias("prefix"), i.alias("at"), first(i).alias("first"), F.slice("w", first(i) + 1, F.lit(2 * size - 1)).alias("near")
         ),
     )
     places = texts.select("_doc", "_text", F.size("w").alias("n"), F.explode(around).alias("p")).select("_doc", "_text", "n", "p.*")
-    start, length = F.col("at") - F.col("place"), F.size("words")
-    inside = (start >= 0) & (start + length <= F.col("n"))
     same = F.slice("near", F.greatest(start - F.col("first"), F.lit(0)) + 1, length) == F.col("words")
-    return places.join(checked_broadcast(filed), "prefix").where(inside & same).select(
-        "_doc", "_text", start.alias("start"), length.alias("length"), "items"
-    )
+    return places.join(filed, "prefix").where(inside & same).select(*found)
 
 
 def _answers(docs: DataFrame, benchmark: DataFrame, size: int, one_in: int) -> DataFrame:

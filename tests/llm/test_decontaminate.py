@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from plexlake.llm import decontaminate
 
 from .helpers import contamination, frame
@@ -17,7 +19,10 @@ def _check(spark, texts, items):
     assert kept == {i for i in got if not got[i].contaminated}
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_against_brute_force(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(decontaminate, "checked_broadcast", lambda table: table)
     rng = random.Random(5)
     vocabulary = [f"{a}{b}" for a in ("Ab", "éx", "ÉX", "q9", "the") for b in ("", "a", "é", "1")]
     item = lambda n: [rng.choice(vocabulary) for _ in range(n)]
@@ -30,6 +35,7 @@ def test_against_brute_force(spark):
         at = rng.randrange(len(body))
         middle = rng.choice([body, body[at:], body[: at + 1], [w.swapcase() for w in body], body + body])
         texts.append(rng.choice([" ", "; ", "\n"]).join(parts[0] + middle + parts[1]))
+    texts.append(" ".join(["the"] * 40_000 + bodies[5] + ["q9"] * 40_000))  # a long text of few words
     _check(spark, texts + texts[4:7], items)
 
 
