@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from plexlake.llm import words
-from plexlake.llm.stage import keep, unused
+from plexlake.llm.stage import keep, remove, unused
 from plexlake.plans.sizing import checked_broadcast
 
 ORDER = 4
@@ -194,6 +194,11 @@ class Model:
     contexts: list[DataFrame]
     alphabet: Alphabet
 
+    def remove(self) -> None:
+        """Delete the tables once no score reads them any more."""
+        for table in [*self.probabilities, *self.contexts]:
+            remove(table)
+
 
 def train(texts: DataFrame, alphabet: Alphabet = CLASSES) -> Model:
     """Kneser-Ney over ``texts`` (text). Lower orders count different left neighbours, not occurrences."""
@@ -214,7 +219,8 @@ def train(texts: DataFrame, alphabet: Alphabet = CLASSES) -> Model:
         rows, below = _with_lower(counts.join(by_context, "context"), order, probabilities, alphabet)
         found = rows.select("context", "symbol", ((F.col("n") - taken) / F.col("total") + F.col("weight") * below).alias("p"))
         probabilities.append(keep(found, "probabilities"))
-        contexts.append(by_context.select("context", "weight"))
+        contexts.append(by_context)
+        remove(counts)
     return Model(probabilities, contexts, alphabet)
 
 
@@ -234,10 +240,12 @@ def answer(asked: DataFrame, model: Model) -> DataFrame:
         levels.insert(0, levels[0].select(_nearest(order, model.alphabet).alias("context"), "symbol").distinct())
     found: list[DataFrame] = []
     for order, level in enumerate(levels, 1):
-        rows = level.join(model.probabilities[order - 1], ["context", "symbol"], "left").join(model.contexts[order - 1], "context", "left")
+        rows = level.join(model.probabilities[order - 1], ["context", "symbol"], "left").join(model.contexts[order - 1].select("context", "weight"), "context", "left")
         rows, below = _with_lower(rows, order, found, model.alphabet)
         p = F.coalesce("p", F.coalesce("weight", F.lit(1.0)) * below)
         found.append(keep(rows.select("context", "symbol", p.alias("p")), "answers"))
+        if order > 1:
+            remove(found[order - 2])
     return found[-1]
 
 
@@ -275,7 +283,7 @@ def _asked(dealt: DataFrame, alphabet: Alphabet) -> DataFrame:
 
 
 def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity", n_symbols: str = "n_symbols", text: str = "text", standard_error: str = "standard_error") -> DataFrame:
-    """``docs`` with the three columns added to every row.
+    """``docs`` with the three columns added to every row, written to shared storage.
 
     The standard error is that of the mean over the text's own symbols. The spread among n symbols is taken
     as one of n + ``FEW``, the others as far off the mean as a symbol drawn at random from the alphabet would be:
@@ -285,7 +293,9 @@ def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity",
     far = float(np.log(alphabet.size)) ** 2
     dealt = keep(_blocks(docs, text, block), "blocks")
     asked = keep(_asked(dealt.select(F.col(f"`{text}`").cast("string"), block), alphabet), "asked")
-    found = answer(keep(asked.select("context", "symbol").distinct(), "questions"), model)
+    questions = keep(asked.select("context", "symbol").distinct(), "questions")
+    found = answer(questions, model)
+    remove(questions)
     answers = asked.join(found, ["context", "symbol"]).select("block", "context", "symbol", F.log("p").alias("log_p"))
     at, names = docs.columns.index(text), [*docs.columns, n_symbols, log_perplexity, standard_error]
 
@@ -311,7 +321,10 @@ def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity",
         return pa.table([*columns, *(pa.array(np.concatenate(v)) for v in (lengths, means, errors))], names=names)
 
     schema = StructType([*docs.schema.fields, StructField(n_symbols, LongType()), StructField(log_perplexity, DoubleType()), StructField(standard_error, DoubleType())])
-    return dealt.groupBy(block).cogroup(answers.groupBy("block")).applyInArrow(scores, schema)
+    scored = keep(dealt.groupBy(block).cogroup(answers.groupBy("block")).applyInArrow(scores, schema), "scored")
+    for table in (dealt, asked, found):
+        remove(table)
+    return scored
 
 
 def thresholds(scores: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, float | None]:
@@ -333,45 +346,45 @@ def thresholds(scores: DataFrame, settings: Settings = Settings()) -> tuple[Data
     return own, None if every is None else every["threshold"]
 
 
-@dataclass(frozen=True)
-class Judge:
-    """What decides: the model, and thresholds by language."""
-
-    model: Model
-    own: DataFrame
-    overall: float | None
-    settings: Settings
-
-    def decide(self, docs: DataFrame, lang: str = "lang", text: str = "text") -> tuple[DataFrame, dict[str, str]]:
-        """``docs`` with five columns more; their names in ``docs``'s terms."""
-        names = {n: unused(docs, n) for n in ("log_perplexity", "n_symbols", "standard_error", "threshold", "kept")}
-        scored = score(docs, self.model, names["log_perplexity"], names["n_symbols"], text, names["standard_error"])
-        of_lang = unused(scored, "_lang")
-        own = self.own.select(F.col("lang").alias(of_lang), F.col("threshold").alias(names["threshold"]))
-        rows = scored.join(checked_broadcast(own), F.col(lang).cast("string").eqNullSafe(F.col(of_lang)), "left").drop(of_lang)
-        rows = rows.withColumn(names["threshold"], F.coalesce(names["threshold"], F.lit(self.overall).cast("double")))
-        allowed = F.col(names["threshold"]) + self.settings.deviations * F.col(names["standard_error"])
-        kept = F.col(names["threshold"]).isNull() | (F.col(names["log_perplexity"]) <= allowed)
-        return rows.withColumn(names["kept"], kept), names
-
-
-def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Judge:
-    """Train on the trusted part of ``docs`` and take the thresholds from its scores."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    trusted = rows.join(checked_broadcast(keep(trusted_ids(labels), "trusted")), "doc_id", "left_semi")
-    model = train(trusted.select("text"), CHARACTERS)
-    scores = keep(score(trusted, model).select("lang", "log_perplexity"), "scores")
-    return Judge(model, *thresholds(scores, settings), settings)
+def _trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (doc_id) that the labels call good."""
+    ids = checked_broadcast(keep(trusted_ids(labels), "trusted").withColumnRenamed("doc_id", "_trusted_id"))
+    return docs.join(ids, docs["doc_id"].cast("long") == F.col("_trusted_id"), "left_semi")
+
+
+def decide(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with five columns more; their names in ``docs``'s terms.
+
+    The model is trained on the trusted part. All rows are scored once, and the thresholds are read off the
+    scores of the trusted ones.
+    """
+    names = {n: unused(docs, n) for n in ("log_perplexity", "n_symbols", "standard_error", "threshold", "kept")}
+    model = train(_trusted(docs, labels).select(F.col("text").cast("string").alias("text")), CHARACTERS)
+    scored = score(docs, model, names["log_perplexity"], names["n_symbols"], "text", names["standard_error"])
+    model.remove()
+    good = _trusted(scored, labels).select(F.col("lang").cast("string").alias("lang"), F.col(names["log_perplexity"]).alias("log_perplexity"))
+    return with_decision(scored, names, *thresholds(good, settings), settings), names
+
+
+def with_decision(scored: DataFrame, names: dict[str, str], own: DataFrame, overall: float | None, settings: Settings = Settings()) -> DataFrame:
+    """Scored rows with their language's threshold, the overall one elsewhere, and whether they stay."""
+    of_lang = unused(scored, "_lang")
+    own = own.select(F.col("lang").alias(of_lang), F.col("threshold").alias(names["threshold"]))
+    rows = scored.join(checked_broadcast(own), F.col("lang").cast("string").eqNullSafe(F.col(of_lang)), "left").drop(of_lang)
+    rows = rows.withColumn(names["threshold"], F.coalesce(names["threshold"], F.lit(overall).cast("double")))
+    allowed = F.col(names["threshold"]) + settings.deviations * F.col(names["standard_error"])
+    kept = F.col(names["threshold"]).isNull() | (F.col(names["log_perplexity"]) <= allowed)
+    return rows.withColumn(names["kept"], kept)
 
 
 def assess(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, lang, n_symbols, log_perplexity, threshold, kept) of every row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    decided, _ = judge(docs, labels, settings).decide(rows)
+    decided, _ = decide(rows, labels, settings)
     return decided.select("doc_id", "lang", "n_symbols", "log_perplexity", "threshold", "kept")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
-    decided, names = judge(docs, labels, settings).decide(docs)
+    decided, names = decide(docs, labels, settings)
     return decided.where(names["kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])

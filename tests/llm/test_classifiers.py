@@ -252,5 +252,6 @@ def test_threshold_is_the_quantile_and_length_the_only_allowance(spark):
     level = {r.doc_id: r for r in quality.score(docs, model).collect()}
     below = level[0].log_perplexity - 3 * level[0].standard_error  # in the old margin, far outside of what chance explains
     own = spark.createDataFrame([("en", below)], "lang string, threshold double")
-    decided, names = quality.Judge(model, own, None, quality.Settings()).decide(docs)
+    names = {n: n for n in ("log_perplexity", "n_symbols", "standard_error", "threshold", "kept")}
+    decided = quality.with_decision(quality.score(docs, model), names, own, None)
     assert {r.doc_id: r[names["kept"]] for r in decided.collect()} == {0: False, 1: True, 2: True}
