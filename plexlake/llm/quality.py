@@ -267,19 +267,40 @@ def _blocks(docs: DataFrame, text: str, block: str) -> DataFrame:
 
 
 def _asked(dealt: DataFrame, alphabet: Alphabet) -> DataFrame:
-    """(block, context, symbol): the distinct n-grams of each block of ``dealt`` (text, block)."""
+    """(block, context, symbol): the n-grams of each block of ``dealt`` (text, block).
+
+    Rows of a block stand together, so a task gives each n-gram of it once and nothing is shuffled; a block
+    that two tasks read has some twice, which changes no answer.
+    """
+
+    def once(parts: list[tuple[np.ndarray, np.ndarray]], number: int) -> pa.RecordBatch:
+        context, symbol = (np.concatenate(p) for p in zip(*parts))
+        order = np.lexsort((symbol, context))
+        context, symbol = context[order], symbol[order]
+        new = np.ones(len(context), bool)
+        new[1:] = (context[1:] != context[:-1]) | (symbol[1:] != symbol[:-1])
+        columns = [np.full(int(new.sum()), number, np.int64), context[new], symbol[new]]
+        return pa.record_batch([pa.array(c) for c in columns], names=["block", "context", "symbol"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts = None, []
         for batch in batches:
-            for number in np.unique(batch.column(1).to_numpy()):
-                own = batch.filter(pa.array(batch.column(1).to_numpy() == number))
-                for _, _, data, offsets in words.text_slices(own.column(0), SLICE_BYTES):
-                    body, at, _ = _body(data, offsets, alphabet)
-                    context, symbol = _distinct(body, at, alphabet)
-                    blocks = pa.array(np.full(len(context), number, np.int64))
-                    yield pa.record_batch([blocks, pa.array(context), pa.array(symbol)], names=["block", "context", "symbol"])
-
-    return dealt.mapInArrow(ask, "block long, context long, symbol int").distinct()
+            numbers = batch.column(1).to_numpy()
+            borders = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+            for at, to in zip(borders[:-1], borders[1:]):
+                if to == at:
+                    continue
+                if parts and numbers[at] != current:
+                    yield once(parts, current)
+                    parts = []
+                current = int(numbers[at])
+                for _, _, data, offsets in words.text_slices(batch.column(0).slice(at, to - at), SLICE_BYTES):
+                    body, where, _ = _body(data, offsets, alphabet)
+                    parts.append(_distinct(body, where, alphabet))
+        if parts:
+            yield once(parts, current)
+
+    return dealt.mapInArrow(ask, "block long, context long, symbol int")
 
 
 def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity", n_symbols: str = "n_symbols", text: str = "text", standard_error: str = "standard_error") -> DataFrame:
