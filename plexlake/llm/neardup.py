@@ -18,7 +18,7 @@ quickly above the threshold, and a document is lost only if all its links are.
 
 Defined results: NULL text reads as empty; texts without words link with nothing; repeated rows are
 copies of each other and get the same answer; should different texts share a ``doc_id``, that id
-stands for all of them in links; rows without a ``doc_id`` are returned and link with nothing. Only
+stands for all of them in links (:func:`distinct_documents` tells them apart); rows without a ``doc_id`` are returned and link with nothing. Only
 ``doc_id`` and ``text`` are read.
 """
 
@@ -266,7 +266,7 @@ def outside_links(shared: DataFrame, components: DataFrame, signatures: DataFram
     sizes = named.groupBy("main").agg(F.count(F.lit(1)).alias("members"), F.count_if("stray").alias("strays")).where("strays > 0")
     parts = lambda n: F.ceil(F.col(n) / settings.block)
     sizes = keep(sizes.select("main", parts("strays").alias("ni"), parts("members").alias("nj")), "sizes")
-    rows = keep(named.join(sizes, "main").join(signatures.dropDuplicates(["id"]), "id"), "members")
+    rows = keep(named.join(sizes, "main").join(signatures.dropDuplicates(["id", "signature"]), "id"), "members")
     wanted = checked_broadcast(keep(rows.select("id").distinct(), "requests"))
     texts = keep(_texts(docs).join(wanted, "id", "left_semi"), "texts")
     at = lambda n: F.pmod(F.xxhash64("id"), n)
@@ -323,22 +323,55 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
 
 
+def _own_nodes(docs: DataFrame, node: str) -> DataFrame:
+    """``docs`` with a number for every pair of ``doc_id`` and text: ``doc_id`` itself, but for further texts of one id.
+
+    Those get a hash without sign that no other row has, so that small ids still stand for their groups.
+    """
+    own, text = F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))
+    ids = docs.select(own.alias("_id"), text.alias("_hash")).where("_id IS NOT NULL")
+    mixed = ids.groupBy("_id").agg(F.min("_hash").alias("_first"), F.max("_hash").alias("_last")).where("_first <> _last")
+    mixed = keep(mixed.select("_id", "_first"), "mixed")
+    if mixed.isEmpty():
+        return docs.withColumn(node, own)
+    further = keep(ids.join(checked_broadcast(mixed), "_id").where("_hash <> _first").select("_id", "_hash").distinct(), "further")
+    for salt in range(8):
+        named = keep(further.withColumn("_node", F.xxhash64(F.lit(salt), "_id", "_hash").bitwiseAND(F.lit(2**63 - 1))), "nodes")
+        taken = named.join(ids.select(F.col("_id").alias("_node")), "_node", "left_semi")
+        if taken.isEmpty() and named.groupBy("_node").count().where("count > 1").isEmpty():
+            break
+    else:
+        raise ValueError("no free numbers for texts that share a doc_id")
+    number, hashed = unused(docs, "_number"), unused(docs, "_hashed")
+    named = named.select(F.col("_id").alias(node), F.col("_hash").alias(hashed), F.col("_node").alias(number))
+    rows = docs.withColumn(node, own).withColumn(hashed, text)
+    return rows.join(checked_broadcast(named), [node, hashed], "left").select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.coalesce(number, node).alias(node)
+    )
+
+
 def distinct_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that represent their groups, with all their columns.
 
-    Of several rows with one ``doc_id`` the first by a hash of all columns stays; rows without a
-    ``doc_id`` all stay.
+    Different texts under one ``doc_id`` are documents of their own: each is compared, and each stays or goes,
+    by itself. Of several rows with one ``doc_id`` and one text the first by a hash of all columns stays;
+    rows without a ``doc_id`` all stay.
     """
-    found = keep(near_duplicates(docs, settings), "groups")
+    node = unused(docs, "_node")
+    rows = _own_nodes(docs, node)
+    found = keep(near_duplicates(rows.select(F.col(node).alias("doc_id"), "text"), settings), "groups")
     ids = found.where("doc_id IS NOT NULL")
-    gone = keep(ids.where("NOT kept").select("doc_id").distinct(), "gone")
-    repeated = keep(ids.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
-    own = lambda other: docs["doc_id"].cast("long") == other["doc_id"]
-    rows = docs.join(checked_broadcast(gone), own(gone), "left_anti")
+    gone = keep(ids.where("NOT kept").select(F.col("doc_id").alias(node)).distinct(), "gone")
+    repeated = keep(
+        ids.where("kept").groupBy(F.col("doc_id").alias(node)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(node), "repeated"
+    )
+    stay = rows.join(checked_broadcast(gone), node, "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     if repeated.isEmpty():
-        return rows
-    single = rows.join(checked_broadcast(repeated), own(repeated), "left_anti")
-    several = rows.join(checked_broadcast(repeated), own(repeated), "left_semi")
+        return stay.select(*columns)
+    single = stay.join(checked_broadcast(repeated), node, "left_anti").select(*columns)
+    several = stay.join(checked_broadcast(repeated), node, "left_semi")
     rank = unused(docs, "_rank")
-    order = Window.partitionBy(F.col("doc_id").cast("long")).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    return single.unionByName(several.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank))
+    order = Window.partitionBy(node).orderBy(F.xxhash64(*columns))
+    first = several.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return single.unionByName(first.select(*columns))

@@ -77,6 +77,18 @@ def test_empty_table_null_ids_and_one_of_each_group(spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    rng = random.Random(4)
+    a, b, c, d = (" ".join(_words(rng, 60)) for _ in range(4))
+    rows = [(3, a, "x"), (3, b, "x"), (2, a, "x"), (4, c, "x"), (4, d, "x"), (4, d, "x"), (9, c + " more", "x"), (5, None, "x"), (5, b, "x"), (5, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _node string").repartition(3)
+    kept = neardup.distinct_documents(docs)
+    assert kept.columns == docs.columns
+    got = [r.text or "" for r in kept.collect()]
+    assert all(got.count(t) == 1 for t in (a, b, d)) and got.count(c) + got.count(c + " more") == 1
+    assert got.count("") == 2 and len(got) == 6  # a NULL and an empty text are linked with nothing
+
+
 @pytest.mark.parametrize(("seed", "task_links"), [(0, 1_000_000), (1, 1_000_000), (2, 10)])
 def test_components(spark, seed, task_links):
     rng = random.Random(seed)
