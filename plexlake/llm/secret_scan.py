@@ -2,9 +2,12 @@
 
 One model describes random strings, one ordinary identifiers. Their training strings are labelled by
 the corpus itself: what the rules match, and the words of its prose. Transition counts over all
-documents are added up in the tasks and then in Spark, a table of at most 2 x 96 x 96 numbers. A
-candidate, a longer run of the characters that keys are made of, is reported when its
-log-likelihood ratio exceeds the prior odds against it.
+documents are added up in the tasks and then in Spark, a table of at most 2 x 96 x 96 numbers. Ordinary
+strings are the words of the prose, as they stand and in capitals (those as long as candidates only where their
+case is a word's, lest keys teach it), short identifiers and numbers; and a
+character may repeat itself, as in a ruled line. A candidate, a run of 16 or more of the characters that keys
+are made of with a letter or digit among them, is reported when its log-likelihood ratio exceeds the prior odds
+against it; nothing else decides.
 
 Defined results: NULL and empty texts hold nothing; repeated rows are answered each; without any
 rule match the random model is uniform, without prose the other one is. Positions count code
@@ -14,7 +17,9 @@ points from 0, ends are exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +35,12 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 
 ADDED = "random"
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
-_WORD = re.compile(r"[^\W\d_]{4,}(?:_[^\W\d_]+)*")
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[+/_=-]*[A-Za-z0-9])[A-Za-z0-9+/_=-]{16,}")
+_ORDINARY = re.compile(r"[^\W\d_]{4,}(?:_[^\W\d_]+)*|(?<![\w+/=-])(?:[\w+/=-]{4,15}|\d{16,})(?![\w+/=-])")  # words, else short identifiers and numbers
 SYMBOLS = 96  # printable ASCII; 0 is the edge and everything else
+CAPITALS, REPEATS = 0.05, 0.1  # weight of words in capitals, share of a character that repeats itself
+JOINTS = 0.1  # weight of a joint within an identifier against the edge of a word
+SEEN = 10  # transitions by the frequency of the next symbol alone that every symbol starts with
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,score:double>>"
 
 
@@ -67,7 +75,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for value in batch.column(0):
             text = value.as_py() or ""
             secrets = [_secret_part(text, s) for s in base_spans(text)]
-            prose = [m[0] for m in _WORD.finditer(text)]
+            prose = [w for w in (m[0] for m in _ORDINARY.finditer(text)) if len(w) < 16 or w.islower() or w.isupper() or w.istitle() or w.isdigit()]
             for k, strings in enumerate((secrets, prose)):
                 if strings:
                     codes, _ = symbols(strings)
@@ -86,12 +94,20 @@ def train(docs: DataFrame, uniform: float = 0.5) -> np.ndarray:
     for r in rows:
         counts[r["cell"]] = r["n"]
     counts = counts.reshape(2, SYMBOLS, SYMBOLS)
+    upper = np.array([ord(chr(c + 32).upper()) - 32 for c in range(SYMBOLS)])
+    np.add.at(counts[1], (upper[:, None], upper[None, :]), CAPITALS * counts[1])
+    for joint in (ord(c) - 32 for c in "_-/"):  # an identifier is words with these between
+        counts[1][:, joint] += JOINTS * counts[1][:, 0]
+        counts[1][joint] += JOINTS * counts[1][0]
     # what the rules match are often digests: the flat part stands for random strings of other alphabets
-    shares = (uniform, 0.02)
+    alphabet = np.array([c == 0 or chr(c + 32).isalnum() or chr(c + 32) in "+/_=-" for c in range(SYMBOLS)])
+    flats = (alphabet / alphabet.sum(), np.full(SYMBOLS, 1 / SYMBOLS))
     models = []
-    for table, share in zip(counts, shares):
-        total = table.sum(axis=1, keepdims=True)
-        models.append((1 - share) * np.where(total > 0, table / np.maximum(total, 1), 1 / SYMBOLS) + share / SYMBOLS)
+    for table, flat, share in zip(counts, flats, (uniform, 0.02)):
+        single = (table.sum(axis=0) + flat) / (table.sum() + 1)  # stands in where a symbol was hardly seen
+        models.append((1 - share) * (table + SEEN * single) / (table.sum(axis=1, keepdims=True) + SEEN) + share * flat)
+    models = [0.999 * m + 0.001 / SYMBOLS for m in models]
+    models[1] = (1 - REPEATS) * models[1] + REPEATS * np.eye(SYMBOLS)
     return np.log(models[0]) - np.log(models[1])
 
 
@@ -101,25 +117,37 @@ def ratios(strings: list[str], table: np.ndarray) -> np.ndarray:
     return np.add.reduceat(table[codes[:-1], codes[1:]], first)
 
 
+def _free(text: str, spans: list[tuple[int, int, int]]) -> list[re.Match]:
+    """Candidates that meet no span of the rules."""
+    starts, reach = [s for s, _, _ in spans], list(accumulate((e for _, _, e in spans), max))
+    found = []
+    for m in _CANDIDATE.finditer(text):
+        before = bisect_left(starts, m.end())
+        if not before or reach[before - 1] <= m.start():
+            found.append(m)
+    return found
+
+
 def _scan(table: np.ndarray, odds: float):
+    kind = pa.list_(
+        pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("score", pa.float64())])
+    )
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for value in batch.column(1):
+            out, asked = [], []
+            for row, value in enumerate(batch.column(1)):
                 text = value.as_py() or ""
                 spans = base_spans(text)
-                found = [{"start": s, "rank": r, "end": e, "kind": KINDS[r], "score": 1.0} for s, r, e in spans]
-                free = [m for m in _CANDIDATE.finditer(text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
-                free = [m for m in free if not any(s < m.end() and m.start() < e for s, _, e in spans)]
-                if free:
-                    for m, ratio in zip(free, ratios([m[0] for m in free], table).tolist()):
-                        if ratio > odds:
-                            score = float(1 / (1 + np.exp(odds - ratio)))
-                            found.append({"start": m.start(), "rank": len(KINDS), "end": m.end(), "kind": ADDED, "score": score})
-                out.append(sorted(found, key=lambda s: (s["start"], s["rank"])))
-            kind = pa.list_(
-                pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("score", pa.float64())])
-            )
+                out.append([{"start": s, "rank": r, "end": e, "kind": KINDS[r], "score": 1.0} for s, r, e in spans])
+                asked += [(row, m.start(), m.end(), m[0]) for m in _free(text, spans)]
+            if asked:
+                ratio = ratios([a[3] for a in asked], table)
+                score = 1 / (1 + np.exp(np.clip(odds - ratio, -700, 700)))
+                for k in np.flatnonzero(ratio > odds).tolist():
+                    row, start, end, _ = asked[k]
+                    out[row].append({"start": start, "rank": len(KINDS), "end": end, "kind": ADDED, "score": float(score[k])})
+            out = [sorted(spans, key=lambda s: (s["start"], s["rank"])) for spans in out]
             yield pa.record_batch([batch.column(0), pa.array(out, kind)], names=["doc_id", "spans"])
 
     return scan

@@ -41,6 +41,27 @@ def test_secret_rules_and_random_strings(spark):
     assert secret_scan.find_secrets(docs.limit(0)).count() == 0
 
 
+def test_the_models_alone_judge_candidates(spark):
+    """Keys of letters alone are found; words in capitals, rulers and long numbers are not."""
+    rng = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(rng.choice(letters) for _ in range(n)) for n in (20, 24, 32, 40)]
+    plain = ["THEREONTHEREONTIONTHERE", "=" * 60, "-" * 20 + ">", "--------a", "/" * 30, "2024-11-05-2024-11-06", "thereontionhaesinouthere"]
+    prose = [_prose(rng, 300) + f" {rng.randrange(10**5, 10**9)} {rng.randrange(1990, 2030)}-{rng.randrange(10, 13)}-{rng.randrange(10, 29)}" for _ in range(40)]
+    texts = [f"see {k} there" for k in keys] + plain + [" ".join(keys) + " x" * 9] + prose
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans] for r in secret_scan.find_secrets(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(4)] == [[k] for k in keys] and got[4 + len(plain)] == keys
+    assert not any(got[i] for i in range(4, len(texts)) if i != 4 + len(plain))
+
+
+def test_secrets_of_one_huge_text(spark):
+    """More than a slice of other operators, with as many spans as candidates."""
+    part = "token=abcdef1234567890 a_long_ordinary_identifier_of_words "
+    n = 40_000
+    row = secret_scan.find_secrets(frame(spark, [part * n, "thereon " * 100])).where("doc_id = 0").first()
+    assert [(s.start, s.end) for s in row.spans if s.kind == "assign"] == [(i * len(part), i * len(part) + 22) for i in range(n)]
+
+
 def _labelled(rng, n):
     texts, labels = [], []
     for i in range(n):
