@@ -1,9 +1,10 @@
 """Toxicity by a logistic model whose scores must not depend on which group a sentence names.
 
 Features are the words of a text and their first letters, hashed. A bounded sample of labelled rows
-selects the features and fits the weights. For every labelled text that names an identity, the
-names are swapped for others of their kind, and the squared change of the score joins the loss,
-so that a group that happens to stand in toxic texts does not become evidence itself.
+selects the features and fits the weights. In every labelled text that names an identity, each name is
+swapped in turn for the others of its kind, and the squared change of the log odds, averaged over a text's
+swaps, joins the loss of that text, so a group that happens to stand in toxic texts does not become
+evidence itself, and the more texts name it, the more it counts. Equal changes are added up in Spark.
 
 Defined results: NULL and empty texts get the score of the intercept; repeated rows are answered
 each; rows without id are scored and count as not held out; without labels of both
@@ -36,6 +37,24 @@ IDENTITIES: tuple[tuple[str, ...], ...] = (
     ("black", "white", "asian", "latino", "arab"),
     ("immigrants", "refugees", "foreigners", "natives"),
     ("mexican", "chinese", "german", "french", "spanish", "american"),
+    # German
+    ("muslime", "juden", "christen", "buddhisten", "atheisten"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("schwule", "lesben", "heterosexuelle", "bisexuelle"),
+    ("einwanderer", "flüchtlinge", "ausländer", "einheimische"),
+    ("türken", "polen", "deutsche", "franzosen", "amerikaner"),
+    # French
+    ("musulmans", "juifs", "chrétiens", "bouddhistes", "athées"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("homosexuels", "lesbiennes", "hétérosexuels", "bisexuels"),
+    ("immigrés", "réfugiés", "étrangers", "autochtones"),
+    ("arabes", "noirs", "blancs", "asiatiques"),
+    # Spanish
+    ("musulmanes", "judíos", "cristianos", "budistas", "ateos"),
+    ("mujeres", "hombres", "chicas", "chicos"),
+    ("homosexuales", "lesbianas", "heterosexuales", "bisexuales"),
+    ("inmigrantes", "refugiados", "extranjeros", "nativos"),
+    ("negros", "blancos", "asiáticos", "latinos"),
 )
 
 
@@ -115,6 +134,46 @@ def _sparse(selected: np.ndarray):
     return sparse
 
 
+def _changes(selected: np.ndarray, settings: Settings):
+    """(change, n): features that a swap takes from (below 0) or gives to a text, numbered from 1; n sums 1 / swaps of a text."""
+    names = [(k, t) for k, kind in enumerate(settings.identities) for t in kind]
+    word = np.array([words.span_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0]), np.array([len(t.encode())]), lower=True)[0] for _, t in names])
+    order = np.argsort(word)
+    given = [np.searchsorted(selected, term_features(t)) for _, t in names]  # all of them are selected
+
+    def change(index: np.ndarray, named: np.ndarray, old: int, new: int) -> tuple[int, ...]:
+        """``index`` are the selected features of all words of a text, ``named`` those of the name; both with repeats."""
+        before, counts = np.unique(index, return_counts=True)
+        taken, times = np.unique(named, return_counts=True)
+        gone = taken[counts[np.searchsorted(before, taken)] == times]  # no other word has them
+        lost, won = np.setdiff1d(gone, given[new]), np.setdiff1d(given[new], before)
+        return (*(-1 - lost).tolist(), *(won + 1).tolist())
+
+    def changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, ...], float] = {}
+        for batch in batches:
+            for _, _, data, offsets in words.text_slices(batch.column(0)):
+                starts, ends = words.word_spans(data, offsets, WORD_BYTES)
+                text = np.searchsorted(offsets, starts, side="right") - 1
+                hashes = words.span_hashes(data, starts, ends, lower=True)
+                at = np.minimum(np.searchsorted(word[order], hashes), len(order) - 1)
+                met = np.unique(np.stack([text, order[at]])[:, word[order][at] == hashes], axis=1)
+                for row in np.unique(met[0]).tolist():
+                    part = data[offsets[row] : offsets[row + 1]]
+                    _, found = _features(part, np.array([0, len(part)]))
+                    place = np.minimum(np.searchsorted(selected, found), len(selected) - 1)
+                    index = place[selected[place] == found]
+                    pairs = [(a, b) for a in met[1][met[0] == row].tolist() for b in range(len(names)) if names[a][0] == names[b][0] and a != b]
+                    for a, b in pairs:
+                        times = int(((text == row) & (hashes == word[a])).sum())
+                        key = change(index, np.repeat(given[a], times), a, b)
+                        total[key] = total.get(key, 0.0) + 1 / len(pairs)
+        if total:
+            yield pa.record_batch([pa.array([list(k) for k in total], pa.list_(pa.int32())), pa.array(list(total.values()))], names=["change", "n"])
+
+    return changes
+
+
 @dataclass(frozen=True)
 class Model:
     selected: np.ndarray
@@ -132,18 +191,6 @@ def sample_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataF
     return keep(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "sample")  # bounded by the setting
 
 
-def _swaps(index: dict[int, int], settings: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Feature rows (indices, signs) of every exchange of one name for another that the features can see."""
-    rows = []
-    for kind in settings.identities:
-        known = [[index[h] for h in term_features(t).tolist() if h in index] for t in kind]
-        for i, a in enumerate(known):
-            for b in known[:i]:
-                if a or b:
-                    rows.append((np.array(a + b, np.int64), np.array([1.0] * len(a) + [-1.0] * len(b))))
-    return rows
-
-
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     rows = sample_rows(docs, labels, settings)
     sizes = rows.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") != 1)).first()
@@ -162,38 +209,35 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     counts = sparse["features"].map(len).to_numpy()
     column = np.concatenate(sparse["features"].to_list()).astype(np.int64)
     y = (sparse["toxic"].to_numpy() == 1).astype(float)
-    index = {h: i for i, h in enumerate(selected.tolist())}
-    swaps = _swaps(index, settings)
-    named = _named(column, counts, swaps)
-    return Model(selected, *_descend(column, counts, y, [s for s, n in zip(swaps, named) if n], prior, settings, len(selected)))
-
-
-def _named(column: np.ndarray, counts: np.ndarray, swaps: list[tuple[np.ndarray, np.ndarray]]) -> list[bool]:
-    """Which exchanges touch a name that some labelled text holds."""
-    present = set(np.unique(column).tolist())
-    return [any(int(i) in present for i in at) for at, _ in swaps]
+    if not settings.fairness or not identity:
+        return Model(selected, *_descend(column, counts, y, [], prior, settings, len(selected)))
+    changed = rows.select("text").mapInArrow(_changes(selected, settings), "change array<int>, n double").groupBy("change")
+    found = changed.agg(F.sum("n").alias("n")).where("size(change) > 0").orderBy("change").collect()  # bounded by the sample
+    swaps = [(np.abs(c) - 1, np.sign(c).astype(float), r["n"]) for r in found for c in [np.array(r["change"], np.int64)]]
+    return Model(selected, *_descend(column, counts, y, swaps, prior, settings, len(selected)))
 
 
 def _descend(column, counts, y, swaps, prior: float, settings: Settings, width: int) -> tuple[np.ndarray, float]:
-    """Accelerated gradient descent on mean log loss + ridge + mean squared change of score under swaps."""
+    """Accelerated gradient descent on mean log loss + ridge + mean over all rows of the squared change of log odds under swaps."""
     row = np.repeat(np.arange(len(y)), counts)
     at = np.concatenate([s[0] for s in swaps]) if swaps else np.zeros(0, np.int64)
     sign = np.concatenate([s[1] for s in swaps]) if swaps else np.zeros(0)
     which = np.repeat(np.arange(len(swaps)), [len(s[0]) for s in swaps]) if swaps else np.zeros(0, np.int64)
+    share = np.array([s[2] for s in swaps]) / len(y)  # of the rows that a change stands for
     weights, intercept = np.zeros(width), prior
     seen_w, seen_b = weights.copy(), intercept
     # curvature of each coordinate, rows weighted by their length: dominates the Hessian, so steps of one are safe
     curve = 0.25 * np.bincount(column, (counts + 1.0)[row], width) / len(y) + settings.ridge
     if len(swaps):
-        curve += 2 * settings.fairness * np.bincount(at, np.bincount(which)[which], width) / len(swaps)
+        curve += 2 * settings.fairness * np.bincount(at, (np.bincount(which) * share)[which], width)
     curve_b = 0.25 * (counts + 1.0).mean()
     for step in range(settings.steps):
         score = seen_b + np.bincount(row, seen_w[column], len(y))
         rest = 1 / (1 + np.exp(-np.clip(score, -700, 700))) - y
         gradient = np.bincount(column, rest[row], width) / len(y) + settings.ridge * seen_w
         if len(swaps):
-            change = np.bincount(which, sign * seen_w[at], len(swaps))
-            gradient += 2 * settings.fairness * np.bincount(at, sign * change[which], width) / len(swaps)
+            change = share * np.bincount(which, sign * seen_w[at], len(swaps))
+            gradient += 2 * settings.fairness * np.bincount(at, sign * change[which], width)
         new_w, new_b = seen_w - gradient / curve, seen_b - rest.mean() / curve_b
         push = step / (step + 3)
         seen_w, seen_b = new_w + push * (new_w - weights), new_b + push * (new_b - intercept)

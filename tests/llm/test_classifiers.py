@@ -96,6 +96,40 @@ def test_toxicity_is_learned_and_names_are_not(spark):
     assert gap < 0.5 * abs(logit(plain[n + 2]) - logit(plain[n + 3])) and not rows[n + 2].predicted
 
 
+def _gap(spark, n_named, names, settings=toxicity.Settings()):
+    """Log odds between two names of which the first stands in ``n_named`` toxic texts, out of 400."""
+    rng = random.Random(12)
+    texts = [_prose(rng, 20) + (" idiot" if i % 2 else "") + (f" die {names[0]}" if i % 2 and i < 2 * n_named else "") for i in range(400)]
+    texts += [f"die {name} on the street" for name in names]
+    marks = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    rows = {r.doc_id: r.score for r in toxicity.score(frame(spark, texts), toxicity.fit(frame(spark, texts), marks, settings)).collect()}
+    logit = [np.log(rows[400 + k] / (1 - rows[400 + k])) for k in (0, 1)]
+    return abs(logit[0] - logit[1])
+
+
+def test_swaps_count_by_texts_and_in_german(spark):
+    plain, fair = toxicity.Settings(fairness=0.0), toxicity.Settings()
+    rare, often = (_gap(spark, n, ("juden", "christen"), fair) / _gap(spark, n, ("juden", "christen"), plain) for n in (8, 150))
+    assert often < 0.5 and often < rare
+
+
+def test_changes_are_those_of_swapped_texts(spark):
+    settings = toxicity.Settings(identities=(("muslim", "jewish", "muslims"), ("frauen", "männer")))
+    texts = ["the Muslim and muslimx, Muslim", "jewish frauen", "muslim muslims", "nothing here", "", None, "the jewish and the jewish", "jewish" + " word" * 9]
+    selected = np.unique(np.concatenate([toxicity.term_features(t) for kind in settings.identities for t in kind]))
+    got = spark.createDataFrame([(t,) for t in texts], "text string").mapInArrow(toxicity._changes(selected, settings), "change array<int>, n double")
+    got = {k: v for k, v in ((tuple(sorted(r["change"])), r["n"]) for r in got.groupBy("change").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect())}
+    want = defaultdict(float)
+    held = lambda t: set(np.searchsorted(selected, [h for h in toxicity.term_features(t).tolist() if h in selected]).tolist())
+    for t in texts:
+        tokens = re.findall("[^\\W_]+", (t or "").lower())
+        swaps = [(a, b) for kind in settings.identities for a in kind if a in tokens for b in kind if b != a]
+        for a, b in swaps:
+            old, new = held(" ".join(tokens)), held(" ".join(b if w == a else w for w in tokens))
+            want[tuple(sorted([-1 - i for i in old - new] + [i + 1 for i in new - old]))] += 1 / len(swaps)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_toxicity_ignores_held_out_labels_and_lives_without_any(spark):
     texts, labels = _labelled(random.Random(3), 200)
     docs = frame(spark, texts)
