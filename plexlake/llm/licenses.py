@@ -1,13 +1,17 @@
 """Licence notices in texts: a paragraph classifier, confirmed by comparison with templates.
 
 Paragraphs are runs of lines that hold more than comment marks and white space, so a notice is met whole
-however it was wrapped. Their words and word pairs, as far as they occur in any template, feed a sparse
+however it was wrapped. Their words and word pairs, as far as they occur in any template or rival notice, feed a sparse
 logistic regression over the licence families and an unknown class. It is trained on templates with
 words dropped and other prose around them, and for the unknown class on a bounded sample of the
 corpus's own paragraphs. A third of the samples is kept back to calibrate the probabilities. A
 prediction counts when its probability suffices and enough of a template's word pairs are there. A
 notice spans the lines that bear it: of all runs of a paragraph's lines, however long it is, the one
-most like the template, so prose above and below stays outside. These lines are classified.
+most like the template, so prose above and below stays outside. These lines are classified, and
+again with a few words on either side, which must not make the notice unknown: another family's name may stand
+there. The unknown class also learns from notices of neighbouring families and from denials, whose words are
+features too, and a template that names a family and version counts only where that name stands whole, so
+families that nothing was trained on do not pass for their neighbours.
 A paragraph can bear several notices.
 
 Defined results: NULL and empty texts hold no notice; repeated rows are answered each; a corpus too
@@ -17,6 +21,7 @@ points from 0, ends are exclusive.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,7 +62,6 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
-        "You should have received a copy of the GNU General Public License along with this program",
     ),
     "mit": (
         "Released under the MIT License.",
@@ -70,7 +74,38 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "If a copy of the MPL was not distributed with this file, You can obtain one at",
     ),
 }
+# What names a family and its version: a template that holds such words counts only where all of them stand.
+IDENTIFIERS: dict[str, tuple[str, ...]] = {
+    "apache-2.0": ("the Apache License", "Apache License Version 2.0"),
+    "bsd": ("the BSD",),
+    "cc-by-4.0": ("CC BY 4.0", "Attribution 4.0"),
+    "cc-by-nc-4.0": ("BY-NC 4.0", "Attribution-NonCommercial 4.0"),
+    "cc-by-sa-4.0": ("BY-SA 4.0", "Attribution-ShareAlike 4.0"),
+    "gpl-3.0": ("the GNU General Public License", "version 3"),
+    "mit": ("the MIT License",),
+    "mpl-2.0": ("the Mozilla Public License", "v. 2.0"),
+}
+# Notices of neighbours, which share most words with a template; fixed values.
+RIVALS = (
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License",
+    "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+    "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License",
+    "This work is licensed under the GNU General Public License, version 2.",
+    "Licensed under the Eclipse Public License, Version 2.0.",
+    "Licensed under the Apache License, Version 1.1.",
+    "The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License.",
+    "The contents of this file are subject to the terms of the Common Development and Distribution License; you may not use this file except in compliance with the License.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution 3.0 Unported License.",
+    "Licensed under CC BY-ND 4.0.",
+    "Licensed under CC BY-NC-SA 4.0.",
+    "Licensed under CC BY 3.0.",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+)
 UNKNOWN = "unknown"
+CONTEXT_WORDS = 12  # on either side of a notice, within its paragraph
 # Sentences that share words with notices and are none.
 NEAR_MISSES = (
     "He lost his driving license and had to obtain a new copy of it.",
@@ -164,6 +199,19 @@ def _variants(rng: np.random.Generator, text: str, n: int, prose: list[list[str]
     return out
 
 
+def _denied(text: str) -> list[str]:
+    """A short notice turned into its contrary."""
+    say = lambda word: re.sub(r"(?i)\b(licensed|released)\b", rf"{word} \1", text)
+    return [say(word) for word in ("not", "is not", "never", "no longer")] if say("") != text else []
+
+
+def _needs(family: str, template: str) -> np.ndarray:
+    """Word pairs of the family's identifiers that the template holds."""
+    own = _pairs(template)
+    held = [p for p in map(_pairs, IDENTIFIERS[family]) if np.isin(p, own).all()]
+    return np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+
+
 def sample_paragraphs(docs: DataFrame, settings: Settings) -> list[str]:
     """At most ``sample_paragraphs`` lines of ``sample_docs`` documents, chosen by hashes."""
     ids = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).orderBy(F.xxhash64("doc_id")).limit(settings.sample_docs)
@@ -187,9 +235,10 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     prose = [line.split() for line in lines]
     families = (*TEMPLATES, UNKNOWN)
     samples = [(v, families.index(f)) for f, t in known for v in _variants(rng, t, settings.variants, prose)]
-    samples += [(v, len(families) - 1) for t in NEAR_MISSES for v in _variants(rng, t, settings.variants, prose)]
+    others = [*NEAR_MISSES, *RIVALS, *(d for _, t in known for d in _denied(t))]
+    samples += [(v, len(families) - 1) for t in others for v in _variants(rng, t, settings.variants, prose)]
     samples += [(line, len(families) - 1) for line in lines]
-    vocabulary = np.unique(np.concatenate([_of_text(t) for _, t in known]))
+    vocabulary = np.unique(np.concatenate([_of_text(t) for t in (*(t for _, t in known), *others)]))
     x = np.zeros((len(samples), len(vocabulary) + 1), np.float32)
     x[:, -1] = 1
     for row, (text, _) in zip(x, samples):
@@ -261,10 +310,12 @@ def _merged(notices: list[dict]) -> list[dict]:
 
 def _scan(model: Model, settings: Settings):
     known = [(f, _pairs(t)) for f, texts in TEMPLATES.items() for t in texts]
+    needs = [_needs(f, t) for f, texts in TEMPLATES.items() for t in texts]
     sizes = np.array([len(t) for _, t in known])
     holds = np.stack([np.isin(model.vocabulary, t) for _, t in known], axis=1)
     sieve = np.zeros(1 << 20, bool)
-    sieve[(model.vocabulary & np.uint64(0xFFFFF)).astype(np.int64)] = True
+    borne = model.vocabulary[holds.any(axis=1)]
+    sieve[(borne & np.uint64(0xFFFFF)).astype(np.int64)] = True
 
     def classify(present: np.ndarray) -> tuple[str, float]:
         scores = model.weights[:-1][np.isin(model.vocabulary, present)].sum(axis=0, dtype=np.float64) + model.weights[-1]
@@ -280,8 +331,13 @@ def _scan(model: Model, settings: Settings):
             family, template = known[k]
             for first, last, overlap in _bearing(line - low, pair, template, settings.overlap):
                 inside = slice(*np.searchsorted(line - low, [first, last + 1]))
-                best, chance = classify(np.concatenate([single[inside], pair[inside.start : inside.stop - 1]]))
-                if best == family and chance >= settings.probability:
+                here = pair[inside.start : inside.stop - 1]
+                if not np.isin(needs[k], here).all():
+                    continue
+                best, chance = classify(np.concatenate([single[inside], here]))
+                around = slice(max(inside.start - CONTEXT_WORDS, 0), inside.stop + CONTEXT_WORDS)
+                beside, _ = classify(np.concatenate([single[around], pair[around.start : around.stop - 1]]))
+                if best == family and chance >= settings.probability and beside != UNKNOWN:
                     a, b = max(int(borders[low + first]), begin), min(int(borders[low + last + 1]), close)
                     text = data[a:b].tobytes().decode().rstrip("\n")
                     start = len(data[begin:a].tobytes().decode())

@@ -160,6 +160,23 @@ def test_licences(spark):
     assert licenses.find_licenses(docs.limit(0)).count() == 0
 
 
+def test_neighbouring_licences_stay_unknown(spark):
+    rng = random.Random(13)
+    unseen = [  # none of these is a training text
+        "You may copy it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or later",
+        "This program is free software: you can redistribute it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 3 of the License",
+        "This work is licensed under the GNU General Public License, version 1.", "Licensed under the Eclipse Public License, Version 1.0.",
+        "Licensed under the Apache License, Version 1.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 International License.", "Licensed under CC BY-NC-ND 4.0.", "Licensed under CC BY-SA 2.0.",
+        "This tool is not released under the MIT License.", "The code was never licensed under the Apache License, Version 2.0.",
+    ]
+    texts = [_prose(rng, 20) + "\n" + t + "\n" + _prose(rng, 20) for t in [*unseen, *licenses.RIVALS]]
+    texts += ["\n".join(textwrap.wrap(t, 40)) for t in [*unseen, *licenses.RIVALS]]
+    rows = licenses.find_licenses(frame(spark, texts)).where("size(notices) > 0").collect()
+    assert not rows, [(texts[r.doc_id], r.notices) for r in rows]
+
+
 def test_licences_are_found_however_they_are_wrapped(spark):
     rng = random.Random(8)
     notices = [(f, t) for f, texts in licenses.TEMPLATES.items() for t in texts if f in ("bsd", "gpl-3.0", "apache-2.0") and len(t.split()) > 10]
