@@ -8,8 +8,8 @@ corpus's own paragraphs. A third of the samples is kept back to calibrate the pr
 prediction counts when its probability suffices and enough of a template's word pairs are there. A
 notice spans the lines that bear it: of all runs of a paragraph's lines, however long it is, the one
 most like the template, so prose above and below stays outside. These lines are classified, and
-again with a few words on either side, which must not make the notice unknown: another family's name may stand
-there. The unknown class also learns from notices of neighbouring families and from denials, whose words are
+again with a few words on either side: where a template names no family, or a denial stands before it, these
+must not make the notice unknown. The unknown class also learns from notices of neighbouring families and from denials, whose words are
 features too, and a template that names a family and version counts only where that name stands whole, so
 families that nothing was trained on do not pass for their neighbours.
 A paragraph can bear several notices.
@@ -164,6 +164,7 @@ def _hash(word: str) -> int:
 
 
 _MARKERS = np.array([_hash(w) for w in ("dnl", "rem")], np.uint64)  # comment marks made of letters; others hold no word
+_DENIALS = np.array([_hash(w) for w in ("not", "never", "no")], np.uint64)
 
 
 def _read(text: str) -> Grams:
@@ -337,7 +338,9 @@ def _scan(model: Model, settings: Settings):
                 best, chance = classify(np.concatenate([single[inside], here]))
                 around = slice(max(inside.start - CONTEXT_WORDS, 0), inside.stop + CONTEXT_WORDS)
                 beside, _ = classify(np.concatenate([single[around], pair[around.start : around.stop - 1]]))
-                if best == family and chance >= settings.probability and beside != UNKNOWN:
+                # a notice that names itself is in doubt only where it is denied
+                doubt = not len(needs[k]) or np.isin(single[max(inside.start - 6, 0) : inside.start], _DENIALS).any()
+                if best == family and chance >= settings.probability and not (doubt and beside == UNKNOWN):
                     a, b = max(int(borders[low + first]), begin), min(int(borders[low + last + 1]), close)
                     text = data[a:b].tobytes().decode().rstrip("\n")
                     start = len(data[begin:a].tobytes().decode())

@@ -175,6 +175,8 @@ def test_neighbouring_licences_stay_unknown(spark):
     texts += ["\n".join(textwrap.wrap(t, 40)) for t in [*unseen, *licenses.RIVALS]]
     rows = licenses.find_licenses(frame(spark, texts)).where("size(notices) > 0").collect()
     assert not rows, [(texts[r.doc_id], r.notices) for r in rows]
+    near = ["Was the the erble are the ble it.\nLicensed under CC BY-NC 4.0.", "thatea, | oneresor |\nNt onor. The of it.\nLicensed under CC BY-NC 4.0."]
+    assert [[n.family for n in r.notices] for r in licenses.find_licenses(frame(spark, near)).collect()] == [["cc-by-nc-4.0"]] * 2
 
 
 def test_licences_are_found_however_they_are_wrapped(spark):
