@@ -164,7 +164,7 @@ def _hash(word: str) -> int:
 
 
 _MARKERS = np.array([_hash(w) for w in ("dnl", "rem")], np.uint64)  # comment marks made of letters; others hold no word
-_DENIALS = np.array([_hash(w) for w in ("not", "never", "no")], np.uint64)
+_DENIALS = np.array([_hash(w) for w in ("not", "never", "longer")], np.uint64)
 
 
 def _read(text: str) -> Grams:
