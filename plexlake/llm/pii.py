@@ -2,7 +2,9 @@
 
 Regular expressions propose spans, validators (Luhn, mod-97, ranges, digit counts) confirm them,
 and words nearby move the score. Places come from splitting a text by the same expression
-that extracts its matches: the lengths of gaps and matches add up to positions.
+that extracts its matches: the lengths of gaps and matches add up to positions. Words nearby are looked up in
+short pieces of the text, so the work for a span does not grow with the text, but for the square root of the
+number of spans that texts of places take to grow.
 
 The expressions are written so that a run of letters or digits is tried once, from its
 start or from where the last match ended; they find what the plain form finds, in linear time.
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from plexlake.llm.stage import unused
 
 CONTEXT_CHARS = 40
+PIECE_BITS = 8  # a text is looked up in pieces of 256 characters
 
 
 def _digits(match: Column) -> Column:
@@ -103,23 +106,60 @@ ADDED = (
 KINDS = BASE + ADDED
 
 
-def _places(text: Column, kind: Kind) -> Column:
-    """'start:end' of every confirmed match, comma-joined; a string grows faster than an array."""
-    pattern = F.lit(kind.pattern)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    pairs = F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"), matches.alias("match"))
-    empty = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _walk(count: Column, step: Callable[[Column, Column], Column], last: Callable[[Column], Column] | None = None) -> Column:
+    """What ``step`` appends to ``out`` for 0 .. ``count`` - 1, split at commas; ``at`` goes on from one to the next.
 
-    def step(seen: Column, pair: Column) -> Column:
-        start = seen["at"] + F.length(pair["gap"])
-        end = start + F.coalesce(F.length(pair["match"]), F.lit(0))
-        found = F.concat_ws(":", start.cast("string"), end.cast("string"))
-        good = pair["match"].isNotNull() & kind.valid(pair["match"])
-        out = F.when(good, F.concat(seen["out"], F.lit(","), found)).otherwise(seen["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
+    A string is copied whenever it grows, so it grows for about sqrt(count) steps only and then joins
+    ``done``. ``last`` gives one more piece from the final ``at``.
+    """
+    size = F.ceil(F.sqrt(count)).cast("int")
+    none = F.array().cast("array<string>")
+
+    def state(at: Column, out: Column, done: Column) -> Column:
+        return F.struct(at.alias("at"), out.alias("out"), done.alias("done"))
+
+    def block(seen: Column, k: Column) -> Column:
+        places = F.sequence(k * size, F.least(k * size + size, count) - 1)
+        return F.aggregate(places, seen, step, lambda s: state(s["at"], F.lit(""), F.concat(s["done"], F.array(s["out"]))))
+
+    end = (lambda s: F.concat(s["done"], F.array(last(s["at"])))) if last else (lambda s: s["done"])
+    blocks = F.sequence(F.lit(0), F.ceil(count / size).cast("int") - 1)
+    done = F.aggregate(blocks, state(F.lit(0), F.lit(""), none), block, end)
+    return F.when(count > 0, F.array_remove(F.split(F.array_join(done, ""), ","), "")).otherwise(none)
+
+
+def _pieces(body: Column) -> Column:
+    return F.regexp_extract_all(body, F.lit(f"(?s).{{1,{1 << PIECE_BITS}}}"), F.lit(0))
+
+
+def _cut(pieces: Column, start: Column, end: Column) -> Column:
+    """Characters from ``start`` to ``end`` of the text that ``pieces`` hold, without a walk from its start."""
+    first = F.shiftright(start, PIECE_BITS)
+    places = F.sequence(first, F.greatest(F.shiftright(end - 1, PIECE_BITS), first))
+    near = F.array_join(F.transform(places, lambda k: F.get(pieces, k)), "")
+    return F.substring(near, start - F.shiftleft(first, PIECE_BITS) + 1, end - start)
+
+
+def _parts(body: Column, kind: Kind) -> Column:
+    """(gap, match): the length before every match and the match, and a last gap without one."""
+    gaps = F.transform(F.split(body, kind.pattern, -1), F.length)
+    matches = F.regexp_extract_all(body, F.lit(kind.pattern), F.lit(0))
+    none = F.array().cast("array<struct<gap: int, match: string>>")
+    return F.when(body.rlike(kind.marker), F.arrays_zip(gaps.alias("gap"), matches.alias("match"))).otherwise(none)
+
+
+def _places(parts: Column, kind: Kind) -> Column:
+    """'start:end' of every confirmed match."""
+
+    def step(seen: Column, k: Column) -> Column:
+        match = F.get(parts, k)["match"]
+        start = seen["at"] + F.get(parts, k)["gap"]
+        end = start + F.length(match)
+        found = F.concat(F.lit(","), start.cast("string"), F.lit(":"), end.cast("string"))
+        out = F.when(kind.valid(match), F.concat(seen["out"], found)).otherwise(seen["out"])
+        return F.struct(end.alias("at"), out.alias("out"), seen["done"].alias("done"))
 
-    walked = F.aggregate(pairs, empty, step, lambda seen: seen["out"])
-    return F.when(text.rlike(kind.marker), walked).otherwise(F.lit(""))
+    return _walk(F.size(parts) - 1, step)
 
 
 def find_spans(docs: DataFrame, text: str = "text", alias: str = "spans") -> DataFrame:
@@ -129,31 +169,41 @@ def find_spans(docs: DataFrame, text: str = "text", alias: str = "spans") -> Dat
     words within ``CONTEXT_CHARS`` characters on either side.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    parts = []
-    for rank, kind in enumerate(KINDS):
-        places = F.array_remove(F.split(_places(body, kind), ","), "")
-        parts.append(F.transform(places, _span(body, rank, kind)))
-    return docs.withColumn(alias, F.array_sort(F.concat(*parts)))
-
-
-def _span(body: Column, rank: int, kind: Kind) -> Callable[[Column], Column]:
-    def span(place: Column) -> Column:
-        start = F.substring_index(place, ":", 1).cast("int")
-        end = F.substring_index(place, ":", -1).cast("int")
-        first = F.greatest(start - CONTEXT_CHARS, F.lit(0))
-        before, behind = F.substring(body, first + 1, start - first), F.substring(body, end + 1, F.lit(CONTEXT_CHARS))
-        near = F.lower(F.concat(before, F.lit(" "), behind))
+    names, pieces = [unused(docs, f"_parts{rank}") for rank in range(len(KINDS))], unused(docs, "_pieces")
+    # columns named more than once by what follows, or a lambda would work them out for every element
+    found = docs.withColumns({name: _parts(body, kind) for name, kind in zip(names, KINDS)})
+    some = F.greatest(*[F.size(name) for name in names]) > 1
+    found = found.withColumn(pieces, F.when(some, _pieces(body)).otherwise(F.array().cast("array<string>")))
+    parts = [
+        _spans(_places(F.col(name), kind), F.col(pieces), rank, kind)
+        for rank, (name, kind) in enumerate(zip(names, KINDS))
+    ]
+    return found.withColumn(alias, F.array_sort(F.concat(*parts))).drop(*names, pieces)
+
+
+def _spans(places: Column, pieces: Column, rank: int, kind: Kind) -> Column:
+    """Spans of 'start:end'; one step after the other, so that each is worked out once."""
+
+    def numbers(place: Column) -> Column:
+        return F.struct(F.substring_index(place, ":", 1).cast("int").alias("start"), F.substring_index(place, ":", -1).cast("int").alias("end"))
+
+    def words(s: Column) -> Column:
+        before = _cut(pieces, F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)), s["start"])
+        near = F.lower(F.concat(before, F.lit(" "), _cut(pieces, s["end"], s["end"] + CONTEXT_CHARS)))
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), near.alias("near"))
+
+    def span(s: Column) -> Column:
         score = F.lit(kind.score)
         if kind.context:
-            score = score + F.when(near.rlike(kind.context), 0.15).otherwise(0.0)
+            score = score + F.when(s["near"].rlike(kind.context), 0.15).otherwise(0.0)
         if kind.against:
-            score = score - F.when(near.rlike(kind.against), 0.3).otherwise(0.0)
+            score = score - F.when(s["near"].rlike(kind.against), 0.3).otherwise(0.0)
         return F.struct(
-            start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind.name).alias("kind"),
+            s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind.name).alias("kind"),
             F.least(score, F.lit(1.0)).alias("score"),
         )
 
-    return span
+    return F.transform(F.transform(F.transform(places, numbers), words), span)
 
 
 def joined(spans: Column) -> Column:
@@ -168,18 +218,25 @@ def redact(docs: DataFrame, minimum: float = 0.0, text: str = "text", spans: str
     Of overlapping spans the first one names the replacement and all of them go.
     """
     body = F.col(text).cast("string")
-    used = F.filter(F.col(spans), lambda s: s["score"] >= minimum)
-    empty = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(done: Column, s: Column) -> Column:
-        gap = F.substring(body, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        out = F.when(s["start"] >= done["at"], F.concat(done["out"], gap, mark)).otherwise(done["out"])
-        return F.struct(F.greatest(s["end"], done["at"]).alias("at"), out.alias("out"))
-
-    finish = lambda done: F.concat(done["out"], F.substring(body, done["at"] + 1, F.length(body)))
-    replaced = F.when(F.size(used) > 0, F.aggregate(used, empty, step, finish)).otherwise(F.col(text))
-    return docs.withColumn(text, replaced)
+    pieces, used = unused(docs, "_pieces"), unused(docs, "_used")
+    done = docs.withColumn(used, F.filter(F.col(spans), lambda s: s["score"] >= minimum))
+    done = done.withColumn(pieces, F.when(F.size(used) > 0, _pieces(body)).otherwise(F.array().cast("array<string>")))
+
+    def step(seen: Column, k: Column) -> Column:
+        s = F.get(F.col(used), k)
+        found = F.concat(F.lit(","), seen["at"].cast("string"), F.lit(":"), s["start"].cast("string"), F.lit(":"), F.upper(s["kind"]))
+        out = F.when(s["start"] >= seen["at"], F.concat(seen["out"], found)).otherwise(seen["out"])
+        return F.struct(F.greatest(s["end"], seen["at"]).alias("at"), out.alias("out"), seen["done"].alias("done"))
+
+    def replace(place: Column) -> Column:
+        """The text up to a span, and its mark; no mark behind the last one."""
+        at = F.split(place, ":")
+        mark = F.when(F.get(at, F.lit(2)) != "", F.concat(F.lit("["), F.get(at, F.lit(2)), F.lit("]"))).otherwise(F.lit(""))
+        return F.concat(_cut(F.col(pieces), F.get(at, F.lit(0)).cast("int"), F.get(at, F.lit(1)).cast("int")), mark)
+
+    rest = lambda at: F.concat(F.lit(","), at.cast("string"), F.lit(":"), F.length(body).cast("string"), F.lit(":"))
+    replaced = F.array_join(F.transform(_walk(F.size(used), step, rest), replace), "")
+    return done.withColumn(text, F.when(F.size(pieces) > 0, replaced).otherwise(F.col(text))).drop(pieces, used)
 
 
 def redacted(docs: DataFrame, minimum: float = 0.25) -> DataFrame:

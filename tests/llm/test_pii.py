@@ -1,4 +1,5 @@
 import re
+import time
 
 from plexlake.llm import pii
 
@@ -73,3 +74,31 @@ def test_printed_ibans(spark):
     assert not any(s.kind == "iban" for i in range(30, len(texts)) for s in rows[i].spans)
     done = {r.doc_id: r.text for r in pii.redacted(frame(spark, texts)).collect()}
     assert done[3] == "to [IBAN], now" and done[0] == "to [IBAN]"
+
+
+def test_pieces_and_long_dense_texts(spark, monkeypatch):
+    texts = [x for x in TEXTS if x] + ["\U0001f600" * 253 + " a@b.c " + "é" * 600 + " mail 10.1.2.3 " + "x" * 251 + " 1.2.3.4"]
+    docs = frame(spark, texts)
+    wide = {r.doc_id: (r.text, r.spans) for r in pii.redact(pii.find_spans(docs), 0.0).collect()}
+    monkeypatch.setattr(pii, "PIECE_BITS", 1)
+    small = {r.doc_id: (r.text, r.spans) for r in pii.redact(pii.find_spans(docs), 0.0).collect()}
+    assert small == wide
+    for i, text in enumerate(texts):
+        out, at = "", 0
+        for s in wide[i][1]:
+            out += text[at : s.start] + f"[{s.kind.upper()}]" if s.start >= at else ""
+            at = max(at, s.end)
+        assert wide[i][0] == out + text[at:]
+
+
+def test_a_hundred_thousand_addresses_in_a_text(spark):
+    text = "".join(f"write to u{i}@example.org or 10.0.{i % 300}.1\n" for i in range(50_000))
+    docs = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")
+    started = time.perf_counter()
+    row = pii.find_spans(docs).selectExpr("spans").first()
+    want = [(s, k, e) for s, k, e in plain_spans(text)]
+    assert [(s.start, s.rank, s.end) for s in row.spans] == want
+    done = pii.redacted(docs).first()
+    assert time.perf_counter() - started < 120  # work that grew with the square of the spans would take hours
+    assert done.text == re.sub(r"10\.0\.[0-9]+\.1", lambda m: "[IP]" if int(m[0].split(".")[2]) < 256 else m[0], re.sub(r"u[0-9]+@example\.org", "[EMAIL]", text))
+    assert done.n_chars == len(done.text)
