@@ -6,17 +6,20 @@ is kept. A query contributes the minimiser of its own first window. If the query
 occurs in the text, that window occurs there too, so the hashes meet in an equi-join;
 the candidates are then verified with ``contains``. Queries are classed by the power
 of two of their length, so long ones need few anchors and short ones still match.
+Tasks work on slices of a bounded number of letters, however many rows a batch has and
+however long a text is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from plexlake.plans.session import materialise
 from plexlake.plans.sizing import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if, checked_broadcast, spread
@@ -25,10 +28,23 @@ _MAX_K = 12
 _BASE = np.uint64(1_000_003)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 HOT_ROWS = 10_000  # rows of one anchor that meet in one place
+SLICE = 1 << 19  # letters worked on at once: a dozen arrays of eight bytes a letter are made of them
+
+
+def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of neighbouring texts with at most ``SLICE`` bytes; a larger text stands alone."""
+    first, filled = 0, 0
+    for i, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > first and filled + size > SLICE:
+            yield first, i
+            first, filled = i, 0
+        filled += size
+    if len(texts):
+        yield first, len(texts)
 
 
 def _code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts of a batch, one after the other, and the borders between them."""
+    """Code points of all texts of a slice, one after the other, and the borders between them."""
     values = ["" if t is None else t for t in texts.to_pylist()]
     lengths = np.fromiter(map(len, values), np.int64, len(values))
     codes = np.frombuffer("".join(values).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
@@ -60,7 +76,7 @@ def _window_minima(h: np.ndarray, w: int) -> np.ndarray:
 
 
 def _batch_anchors(codes: np.ndarray, borders: np.ndarray, lengths: Iterable[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, anchor) of all texts of a batch, distinct and in order of texts, for every (class, shortest length)."""
+    """(text, anchor) of all texts of a slice, distinct and in order of texts, for every (class, shortest length)."""
     texts, anchors, hashes = [], [], {}
     owner = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
     for cls, length in lengths:
@@ -96,27 +112,49 @@ def _marked(anchors, cls: int):
     return anchors ^ np.int64(cls * 0x5851F42D4C957F2D & 0x7FFFFFFFFFFFFFFF)
 
 
-def _text_anchors(classes: dict[int, int]):
-    @F.arrow_udf(ArrayType(LongType()))
-    def anchors(texts: pa.Array) -> pa.Array:
-        at, found = _batch_anchors(*_code_points(texts), classes.items())
-        borders = np.searchsorted(at, np.arange(len(texts) + 1)).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(borders), pa.array(found))
+def _run_anchors(texts: pa.Array, classes: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`_batch_anchors`; a text beyond ``SLICE`` is cut into pieces that overlap by one letter less than a window."""
+    longest = max(classes.values())
+    size = max(SLICE, 2 * longest)
+    text = texts[0].as_py() if len(texts) == 1 else None
+    if text is None or len(text) <= size:
+        return _batch_anchors(*_code_points(texts), classes.items())
+    found = np.zeros(0, np.int64)
+    for at in range(0, len(text) - longest + 1, size - longest + 1):
+        found = np.union1d(found, _batch_anchors(*_code_points(pa.array([text[at : at + size]])), classes.items())[1])
+    return np.zeros(len(found), np.int64), found
+
 
-    return anchors
+def _with_anchors(batches: Iterable[pa.RecordBatch], columns: list[str], classes: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    """(<columns>, _anchors) of batches with a text ``_t``, a slice at a time."""
+    for batch in batches:
+        for first, end in _runs(batch.column("_t")):
+            rows = batch.slice(first, end - first)
+            at, found = _run_anchors(rows.column("_t"), classes)
+            borders = np.searchsorted(at, np.arange(len(rows) + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(borders), pa.array(found))
+            yield pa.record_batch([*(rows.column(c) for c in columns), lists], names=[*columns, "_anchors"])
+
+
+def _anchored(sources: DataFrame, columns: list[str], classes: dict[int, int]) -> DataFrame:
+    """(<columns>, anchor) of all anchors of every text of ``sources`` (_id, _t)."""
+    schema = StructType([*(sources.schema[c] for c in columns), StructField("_anchors", ArrayType(LongType()))])
+    found = sources.mapInArrow(lambda batches: _with_anchors(batches, columns, classes), schema)
+    return found.select(*columns, F.explode("_anchors").alias("anchor"))
 
 
 def _query_anchor(classes: dict[int, int]):
     @F.arrow_udf(LongType())
     def anchor(queries: pa.Array, cls: pa.Array) -> pa.Array:
-        codes, borders = _code_points(queries)
         kinds, out = cls.to_numpy(), np.zeros(len(queries), np.int64)
-        for c in np.unique(kinds):
-            length = classes[c]
-            k, w = _shape(length)
-            rows = np.flatnonzero(kinds == c)
-            first = codes[borders[rows][:, None] + np.arange(length)]  # every query of a class is that long at least
-            out[rows] = _marked(_kmer_hashes(first, k)[:, :w].min(axis=1), c)
+        for at, end in _runs(queries):
+            codes, borders = _code_points(queries.slice(at, end - at))
+            for c in np.unique(kinds[at:end]):
+                length = classes[c]
+                k, w = _shape(length)
+                rows = np.flatnonzero(kinds[at:end] == c)
+                first = codes[borders[rows][:, None] + np.arange(length)]  # every query of a class is that long at least
+                out[at + rows] = _marked(_kmer_hashes(first, k)[:, :w].min(axis=1), c)
         return pa.array(out)
 
     return anchor
@@ -157,16 +195,10 @@ def _hits(
     small = sum(r["n"] for r in bounds) <= broadcast_limit and sum(r["bytes"] for r in bounds) <= BROADCAST_BYTES
     wanted = wanted.select("_q", _query_anchor(classes)(F.col("_q"), cls).alias("anchor"))
     sources = texts.select(F.col(text_id).alias("_id"), F.col(text).alias("_t"))
-    anchors = _text_anchors(classes)(F.col("_t"))
     if small:
-        hits = (
-            spread(sources)
-            .select("_id", "_t", F.explode(anchors).alias("anchor"))
-            .join(F.broadcast(wanted), "anchor")
-            .where(F.contains("_t", "_q"))
-        )
+        hits = _anchored(spread(sources), ["_id", "_t"], classes).join(F.broadcast(wanted), "anchor").where(F.contains("_t", "_q"))
     else:
-        placed = materialise(spread(sources).select("_id", F.explode(anchors).alias("anchor")), "anchors")
+        placed = materialise(_anchored(spread(sources), ["_id"], classes), "anchors")
         left, right = _salted(placed, materialise(wanted, "queries"), HOT_ROWS)
         candidates = left.join(right, ["anchor", "by_text", "by_query"]).select("_q", "_id").distinct()
         hits = candidates.join(sources, "_id").where(F.contains("_t", "_q"))

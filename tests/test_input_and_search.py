@@ -1,6 +1,7 @@
 """Order of rows over several files, and containment search with anchors that all texts share."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,31 @@ def test_batch_anchors_stop_at_the_end_of_a_text():
             assert set(found[at == i].tolist()) == _plain_anchors(text or "", length), (i, length)
 
 
+def test_a_batch_of_many_texts_is_worked_on_in_slices():
+    """Arrays of eight bytes a letter are made of a slice, not of the batch: 12 million letters."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("ACDEFGHIKLMNPQRSTVWY", k=3_000)) for _ in range(4_000)]
+    batch = pa.record_batch([pa.array(range(4_000)), pa.array(texts)], names=["_id", "_t"])
+    tracemalloc.start()
+    found = [len(x.column("_anchors").values) for x in search._with_anchors([batch], ["_id"], {6: 81, 7: 128})]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(found) > 4_000 * 50 and peak < 150e6
+
+
+def test_slices_and_pieces_of_a_long_text_lose_no_anchor(monkeypatch):
+    monkeypatch.setattr(search, "SLICE", 100)
+    rng = random.Random(6)
+    texts = ["", None, *["".join(rng.choice("ABCé") for _ in range(n)) for n in (5, 30, 99, 100, 101, 150, 1_000, 177, 40)], None, "𝛼bc" * 90]
+    for classes in ({0: 3}, {0: 3, 4: 20}, {5: 32, 6: 64}, {6: 90}):
+        batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["_id", "_t"])
+        got = [r for x in search._with_anchors([batch], ["_id"], classes) for r in x.to_pylist()]
+        assert [r["_id"] for r in got] == list(range(len(texts)))
+        for r, text in zip(got, texts):
+            want = {int(search._marked(np.int64(a), c)) for c, n in classes.items() for a in _plain_anchors(text or "", n)}
+            assert sorted(r["_anchors"]) == sorted(want)
+
+
 def _case(spark, n_texts, n_queries):
     rng = random.Random(2)
     word = lambda n: "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(n))
