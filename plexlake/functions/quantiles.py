@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plexlake.plans.sizing import LARGE_GROUP_ROWS, broadcast_if
+from plexlake.plans.sizing import LARGE_GROUP_ROWS, broadcast_if, dealt_by
 
 _SKETCH = 1000  # rank error of the sketch is n / _SKETCH
 _MARGIN = 3.0 / _SKETCH  # more than the error plus two ranks once n > _SKETCH
@@ -197,9 +197,11 @@ def cell_median(
     ``null_propagating`` gives NULL when any member is NULL, otherwise NULLs are
     skipped. A first pass of counts decides: when no cell has more than two
     rows (the usual case, one measurement per cell) the mean is the median. Cells above ``hot_rows`` (at most rows / hot_rows of them)
-    take :func:`exact_median`, all others are sorted within their cell.
+    take :func:`exact_median`, all others are sorted within their cell. Cells are dealt to
+    tasks by the number of rows, so a task holds as many in a table of any size.
     """
     keys = list(keys)
+    df = dealt_by(df.select(*keys, value), keys)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     sizes = counts.agg(F.max("_n").alias("largest"), F.count_if(F.col("_n") > hot_rows).alias("hot")).first()
     if (sizes["largest"] or 0) <= 2:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -44,6 +46,20 @@ def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: in
     return F.broadcast(df) if rows <= limit and (size or 0) <= most_bytes else df
 
 
+# Rows of a table with as many groups as rows that one task sorts or groups.
+TASK_ROWS = 500_000
+
+
+def dealt_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` shuffled by ``keys`` into parts in proportion to its rows, counted first; a small one as it is.
+
+    For keys with few rows each: what a task holds of them stays the same however large the table is, which a
+    fixed number of partitions, or one that goes by compressed bytes, does not ensure.
+    """
+    parts = math.ceil(df.count() / TASK_ROWS)
+    return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism), *keys) if parts > 1 else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small input over all cores before heavy work in Python.
 

@@ -1,6 +1,7 @@
 """Distributed statistics against plain numpy on small random data."""
 
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from plexlake.functions import special
 from plexlake.functions.quantiles import cell_median, exact_quantiles, quantiles_by_counts
 from plexlake.operators import arrays, batch, model, project, results
+from plexlake.plans import sizing
 from plexlake.plans.session import materialise
 
 GROUPS = {f"plex{p}_t_{c}": "ABC"[c % 3] for p in (1, 2) for c in range(6)}
@@ -444,3 +446,20 @@ def test_row_order_does_not_matter(spark, pdf):
     key = ["protein_group", "contrast"]
     a, b = (t.toPandas().sort_values(key).drop(columns=key).to_numpy(float) for t in (a, b))
     assert a == pytest.approx(b)
+
+
+def _many_small_groups():
+    rng = random.Random(11)
+    rows = [(rng.choice([f"f{i}" for i in range(300)] + [None]), f"s{rng.randrange(4)}", rng.choice([None, 0.5, rng.random()])) for _ in range(3_000)]
+    return [*rows, ("none", "s0", None), ("none", "s0", None)]
+
+
+def test_cells_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "TASK_ROWS", 100)
+    rows, groups = _many_small_groups(), {}
+    for f, s, v in rows:
+        groups.setdefault((f, s), []).append(v)
+    out = cell_median(spark.createDataFrame(rows, "f string, s string, v double"), ["f", "s"], "v", "m")
+    assert out.rdd.getNumPartitions() >= 30  # more than spark.sql.shuffle.partitions, and not coalesced
+    got = {(r["f"], r["s"]): r["m"] for r in out.collect()}
+    assert got == {k: None if None in v else pytest.approx(float(np.median(v))) for k, v in groups.items()}
