@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plexlake.functions.scalars import first_of, is_flagged
 from plexlake.plans.session import materialise
-from plexlake.plans.sizing import broadcast_if, checked_broadcast
+from plexlake.plans.sizing import broadcast_if, checked_broadcast, dealt_by
 
 FLAGS = ("reverse", "potential_contaminant", "only_identified_by_site")
 
@@ -43,8 +43,14 @@ def drop_all_missing(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def drop_all_missing_long(long: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Drop the rows of keys without any value.
+
+    Both sides are shuffled by key into parts of bounded size, where the keys with a value are hashed and the
+    rows stream past them.
+    """
+    long = dealt_by(long, keys)
     seen = long.where(F.col(value).isNotNull()).select(*keys).distinct()
-    return long.join(seen, list(keys), "left_semi")
+    return long.join(seen.hint("shuffle_hash"), list(keys), "left_semi")
 
 
 def confident_sites(df: DataFrame, probability: str = "localization_prob", minimum: float = 0.5) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plexlake.functions import special
 from plexlake.functions.quantiles import cell_median, exact_quantiles, quantiles_by_counts
-from plexlake.operators import arrays, batch, model, project, results
+from plexlake.operators import arrays, batch, clean, model, project, results
 from plexlake.plans import sizing
 from plexlake.plans.session import materialise
 
@@ -463,3 +463,12 @@ def test_cells_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
     assert out.rdd.getNumPartitions() >= 30  # more than spark.sql.shuffle.partitions, and not coalesced
     got = {(r["f"], r["s"]): r["m"] for r in out.collect()}
     assert got == {k: None if None in v else pytest.approx(float(np.median(v))) for k, v in groups.items()}
+
+
+def test_rows_of_keys_with_values_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "TASK_ROWS", 100)
+    rows = _many_small_groups()
+    seen = {(f, s) for f, s, v in rows if v is not None and f is not None}
+    out = clean.drop_all_missing_long(spark.createDataFrame(rows, "f string, s string, v double"), ["f", "s"], "v")
+    assert out.rdd.getNumPartitions() >= 30
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([r for r in rows if r[:2] in seen], key=str)
