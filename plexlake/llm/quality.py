@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from plexlake.llm import words
-from plexlake.llm.stage import keep, remove, unused
+from plexlake.llm.stage import keep, keep_by, remove, unused
 from plexlake.plans.sizing import checked_broadcast
 
 ORDER = 4
@@ -303,8 +303,10 @@ def _asked(dealt: DataFrame, alphabet: Alphabet) -> DataFrame:
     return dealt.mapInArrow(ask, "block long, context long, symbol int")
 
 
-def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity", n_symbols: str = "n_symbols", text: str = "text", standard_error: str = "standard_error") -> DataFrame:
-    """``docs`` with the three columns added to every row, written to shared storage.
+def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity", n_symbols: str = "n_symbols", text: str = "text", standard_error: str = "standard_error", with_text: bool = True) -> DataFrame:
+    """``docs`` with the three columns added to every row, written to shared storage; ``with_text=False`` leaves the text out.
+
+    Texts are written once, in buckets by block, and stay there: only the answers are shuffled.
 
     The standard error is that of the mean over the text's own symbols. The spread among n symbols is taken
     as one of n + ``FEW``, the others as far off the mean as a symbol drawn at random from the alphabet would be:
@@ -312,13 +314,17 @@ def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity",
     """
     alphabet, block = model.alphabet, unused(docs, "_block")
     far = float(np.log(alphabet.size)) ** 2
-    dealt = keep(_blocks(docs, text, block), "blocks")
+    dealt = keep_by(_blocks(docs, text, block), "blocks", block)
     asked = keep(_asked(dealt.select(F.col(f"`{text}`").cast("string"), block), alphabet), "asked")
     questions = keep(asked.select("context", "symbol").distinct(), "questions")
     found = answer(questions, model)
     remove(questions)
-    answers = asked.join(found, ["context", "symbol"]).select("block", "context", "symbol", F.log("p").alias("log_p"))
-    at, names = docs.columns.index(text), [*docs.columns, n_symbols, log_perplexity, standard_error]
+    answers = keep(asked.join(found, ["context", "symbol"]).select("block", "context", "symbol", F.log("p").alias("log_p")), "answers")
+    for table in (asked, found):
+        remove(table)
+    at, fields = docs.columns.index(text), [f for f in docs.schema.fields if with_text or f.name != text]
+    kept = [k for k, c in enumerate(docs.columns) if with_text or c != text]
+    names = [*(f.name for f in fields), n_symbols, log_perplexity, standard_error]
 
     def scores(rows: pa.Table, known: pa.Table) -> pa.Table:
         context, symbol, log_p = (known.column(k).to_numpy() for k in ("context", "symbol", "log_p"))
@@ -338,12 +344,12 @@ def score(docs: DataFrame, model: Model, log_perplexity: str = "log_perplexity",
             lengths.append(counts)
             means.append(-mean)
             errors.append(np.sqrt((squares + FEW * far) / (counts + FEW) / counts))
-        columns = [rows.column(k) for k in range(len(names) - 3)]
+        columns = [rows.column(k) for k in kept]
         return pa.table([*columns, *(pa.array(np.concatenate(v)) for v in (lengths, means, errors))], names=names)
 
-    schema = StructType([*docs.schema.fields, StructField(n_symbols, LongType()), StructField(log_perplexity, DoubleType()), StructField(standard_error, DoubleType())])
+    schema = StructType([*fields, StructField(n_symbols, LongType()), StructField(log_perplexity, DoubleType()), StructField(standard_error, DoubleType())])
     scored = keep(dealt.groupBy(block).cogroup(answers.groupBy("block")).applyInArrow(scores, schema), "scored")
-    for table in (dealt, asked, found):
+    for table in (dealt, answers):
         remove(table)
     return scored
 
@@ -373,7 +379,7 @@ def _trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"].cast("long") == F.col("_trusted_id"), "left_semi")
 
 
-def decide(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, dict[str, str]]:
+def decide(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), with_text: bool = True) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with five columns more; their names in ``docs``'s terms.
 
     The model is trained on the trusted part. All rows are scored once, and the thresholds are read off the
@@ -381,7 +387,7 @@ def decide(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
     """
     names = {n: unused(docs, n) for n in ("log_perplexity", "n_symbols", "standard_error", "threshold", "kept")}
     model = train(_trusted(docs, labels).select(F.col("text").cast("string").alias("text")), CHARACTERS)
-    scored = score(docs, model, names["log_perplexity"], names["n_symbols"], "text", names["standard_error"])
+    scored = score(docs, model, names["log_perplexity"], names["n_symbols"], "text", names["standard_error"], with_text)
     model.remove()
     good = _trusted(scored, labels).select(F.col("lang").cast("string").alias("lang"), F.col(names["log_perplexity"]).alias("log_perplexity"))
     return with_decision(scored, names, *thresholds(good, settings), settings), names
@@ -401,7 +407,7 @@ def with_decision(scored: DataFrame, names: dict[str, str], own: DataFrame, over
 def assess(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, lang, n_symbols, log_perplexity, threshold, kept) of every row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    decided, _ = decide(rows, labels, settings)
+    decided, _ = decide(rows, labels, settings, with_text=False)
     return decided.select("doc_id", "lang", "n_symbols", "log_perplexity", "threshold", "kept")
 
 

@@ -1,3 +1,4 @@
+import os
 import random
 import re
 import textwrap
@@ -5,8 +6,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from plexlake.llm import licenses, quality, secret_scan, toxicity
+from plexlake.llm import licenses, quality, secret_scan, stage, toxicity
 
 from .helpers import frame
 
@@ -329,3 +331,36 @@ def test_threshold_is_the_quantile_and_length_the_only_allowance(spark):
     names = {n: n for n in ("log_perplexity", "n_symbols", "standard_error", "threshold", "kept")}
     decided = quality.with_decision(quality.score(docs, model), names, own, None)
     assert {r.doc_id: r[names["kept"]] for r in decided.collect()} == {0: False, 1: True, 2: True}
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    kept = stage.keep(spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count(), "counted")
+    assert _shuffle_files(spark) <= before
+    assert kept.count() == 7
+
+
+def test_buckets_are_read_without_a_shuffle(spark):
+    rows = spark.range(1_000).select("id", (F.col("id") % 37).alias("k"))
+    kept = stage.keep_by(rows, "bucketed", "k")
+    grouped = kept.groupBy("k").agg(F.count("*").alias("n"))
+    assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, kept.collect())) == [(i, i % 37) for i in range(1_000)]
+    assert {r["n"] for r in grouped.collect()} == {27, 28}
+    table = kept._table
+    stage.remove(kept)
+    assert not spark.catalog.tableExists(table) and not os.path.exists(kept._kept_at.removeprefix("file:"))
+
+
+def test_scores_without_their_texts_are_the_same(spark):
+    docs = spark.createDataFrame([(i, "en", f"some plain words {i % 5} stand here") for i in range(40)] + [(99, None, None)], "doc_id long, lang string, text string")
+    model = quality.train(docs.where("doc_id < 30").select("text"), quality.CHARACTERS)
+    full = quality.score(docs, model)
+    bare = quality.score(docs, model, with_text=False)
+    assert bare.columns == [c for c in full.columns if c != "text"]
+    assert sorted(map(tuple, bare.collect()), key=str) == sorted(map(tuple, full.drop("text").collect()), key=str)
